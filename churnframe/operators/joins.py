@@ -1,0 +1,25 @@
+"""Joins with a broadcast side only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may hold; beyond it the join stays a shuffle join.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has no more than ``max_rows`` rows.
+
+    ``limit(n+1).count()`` stops reading once n+1 rows are seen, so the check
+    costs at most n+1 rows of work even when the frame is huge."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
+               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``small`` when it is proven to be at most ``max_rows`` rows,
+    otherwise fall back to a shuffle join (AQE may still convert it)."""
+    side = F.broadcast(small) if has_at_most(small, max_rows) else small
+    return big.join(side, on, how)
