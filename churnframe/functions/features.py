@@ -34,3 +34,20 @@ def avg_monthly_spend(tenure="tenure_months", total="total_charges") -> Column:
     tot = _col(total).cast("double")
     ratio = F.try_divide(tot, F.when(t != 0, t))
     return finite_or_null(F.when(F.coalesce(t, F.lit(0.0)) > 0, ratio).otherwise(F.lit(0.0)))
+
+
+def engineer(df, addon_columns=ADDON_COLUMNS):
+    """Stateless feature engineering (J1): keeps every input column, coerces
+    the four measures, adds avg_monthly_spend, tenure_band and addon_count."""
+    from churnframe.functions.bands import tenure_band_cut
+    from churnframe.functions.coerce import safe_double
+
+    out = df
+    for c in ("tenure_months", "total_charges", "monthly_charges", "cltv"):
+        if c in df.columns:
+            out = out.withColumn(c, safe_double(c))
+    return out.withColumns({
+        "avg_monthly_spend": avg_monthly_spend("tenure_months", "total_charges"),
+        "tenure_band": tenure_band_cut("tenure_months"),
+        "addon_count": addon_count(df.columns, addon_columns),
+    })

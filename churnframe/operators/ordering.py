@@ -26,7 +26,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnframe.session import default_parallelism
+from churnframe.session import default_parallelism, materialize
 
 
 def _range_buckets(df: DataFrame, key_col: str, n_buckets: int) -> DataFrame:
@@ -40,12 +40,20 @@ def _range_buckets(df: DataFrame, key_col: str, n_buckets: int) -> DataFrame:
 
 def cumulative_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
                     descending: bool = False, n_buckets: int | None = None,
-                    prefix: str = "cum_") -> DataFrame:
+                    prefix: str = "cum_", materialize_input: bool = True,
+                    tie_cols=()) -> DataFrame:
     """Add ``prefix+c`` = sum of ``c`` over rows of the same group whose order
     value is <= the current one (>= when ``descending``), current row included.
 
-    ``order_col`` must be numeric and non-null, unique within each group."""
+    ``order_col`` must be numeric and non-null; (order value, ``tie_cols``)
+    must be unique within each group -- ties on the value are ordered by
+    ``tie_cols`` and stay inside one range because ranges cut on the value.
+    The input is read three times (split points, running totals, range
+    totals), so it is first written once to the shared checkpoint folder
+    unless the caller already did."""
     group_cols = list(group_cols)
+    if materialize_input:
+        df = materialize(df, "ordered_input")
     sum_cols = list(sum_cols)
     p = n_buckets or default_parallelism(df.sparkSession)
     key = F.col(order_col).cast("double")
@@ -53,7 +61,7 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
     b = _range_buckets(keyed, "_key", p)
     part = group_cols + ["_bucket"]
 
-    within = (Window.partitionBy(*part).orderBy("_key")
+    within = (Window.partitionBy(*part).orderBy("_key", *tie_cols)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(within).alias(f"_loc_{c}") for c in sum_cols])
 
@@ -92,10 +100,12 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
     gathered into one task."""
     group_cols = list(group_cols)
     v = F.col(value_col)
-    counts = (df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
-              .groupBy(*group_cols, v.cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    cum = cumulative_sums(counts, "_v", ["_n"], group_cols, n_buckets=n_buckets)
+    counts = materialize(
+        df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
+        .groupBy(*group_cols, v.cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n")), "value_counts")
+    cum = cumulative_sums(counts, "_v", ["_n"], group_cols, n_buckets=n_buckets,
+                          materialize_input=False)
     cum = cum.withColumn("_prev", F.col("cum__n") - F.col("_n"))
 
     sizes = counts.groupBy(*group_cols).agg(F.sum("_n").alias("_size"))

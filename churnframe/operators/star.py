@@ -193,11 +193,20 @@ def write_star(star: Star, path: str) -> None:
      .partitionBy("snapshot_date").parquet(f"{path}/fact_customer_snapshot"))
 
 
+FACT_COLUMNS = ["snapshot_id", "customer_key", "contract_key", "services_key",
+                *MEASURE_COLS, "churn_label", "snapshot_date"]
+
+
 def read_star(spark, path: str) -> Star:
+    # partition values are text dates: keep them as strings, not inferred DATEs
+    fact = (spark.read.option("basePath", f"{path}/fact_customer_snapshot")
+            .parquet(f"{path}/fact_customer_snapshot")
+            .withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+            .select(*FACT_COLUMNS))
     return Star(spark.read.parquet(f"{path}/dim_customer"),
                 spark.read.parquet(f"{path}/dim_contract"),
                 spark.read.parquet(f"{path}/dim_services"),
-                spark.read.parquet(f"{path}/fact_customer_snapshot"))
+                fact)
 
 
 def load_report(star: Star) -> DataFrame:

@@ -304,3 +304,329 @@ def target_counts(spark, sf_dir) -> DataFrame:
 
 __all__ = ["QUERIES", "ORACLE", "VIEW_COLUMNS", "CONTRACT_COLS", "CUSTOMER_ATTRS",
            "avg_monthly_spend"]
+
+
+# ---------------------------------------------------------------- D: profiling
+from churnframe.functions.features import engineer  # noqa: E402
+from churnframe.operators import profile as P  # noqa: E402
+from churnframe.schema import (DEFAULT_CATEGORICAL_BASE, FEATURE_COLUMNS,  # noqa: E402
+                               NUMERIC_FEATURES)
+
+_VIEW_NUMERIC = ["senior_citizen", "tenure_months", "monthly_charges", "total_charges", "cltv",
+                 "churn_target"]
+_VIEW_STRING = [c for c in O.VIEW_COLS if c not in _VIEW_NUMERIC]
+_VIEW_TYPES = {c: ("INTEGER" if c in ("senior_citizen", "tenure_months", "churn_target")
+                   else "DOUBLE" if c in _VIEW_NUMERIC else "VARCHAR") for c in O.VIEW_COLS}
+ENG = (f"eng AS (SELECT *, {O.avg_spend_sql()} AS avg_monthly_spend, "
+       f"{O.cut_band_sql('tenure_months')} AS tenure_band, "
+       f"{O.addon_sum_sql()} AS addon_count FROM vw)")
+
+
+def _nulls_sql(cols, positive=False, top=10):
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM vw" for c in cols)
+    where = "WHERE null_count > 0 " if positive else ""
+    return f"SELECT * FROM ({parts}) t {where}ORDER BY null_count DESC, column_name LIMIT {top}"
+
+
+@query("null_counts_top", W(_nulls_sql(O.VIEW_COLS)))
+def null_counts_top(spark, sf_dir) -> DataFrame:
+    return P.null_counts(datasets(spark, sf_dir).view, top=10)
+
+
+@query("null_counts_positive", W(_nulls_sql(FEATURE_COLUMNS, positive=True, top=20)))
+def null_counts_positive(spark, sf_dir) -> DataFrame:
+    return P.null_counts(datasets(spark, sf_dir).view.select(*FEATURE_COLUMNS), top=20,
+                         positive_only=True)
+
+
+@query("column_info", W(" UNION ALL ".join(
+    f"SELECT CAST({i + 1} AS INTEGER) AS position, '{c}' AS column_name, "
+    f"COUNT({c}) AS non_null_count, '{_VIEW_TYPES[c]}' AS dtype FROM vw"
+    for i, c in enumerate(O.VIEW_COLS))))
+def column_info(spark, sf_dir) -> DataFrame:
+    return P.column_info(datasets(spark, sf_dir).view)
+
+
+@query("dataset_shape", W(f"SELECT COUNT(*) AS n_rows, {len(O.VIEW_COLS)} AS n_columns FROM vw"))
+def dataset_shape(spark, sf_dir) -> DataFrame:
+    return P.dataset_shape(datasets(spark, sf_dir).view)
+
+
+@query("describe_numeric", W(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS count, AVG(CAST({c} AS DOUBLE)) AS mean, "
+    f"STDDEV_SAMP(CAST({c} AS DOUBLE)) AS std, MIN(CAST({c} AS DOUBLE)) AS min, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, MAX(CAST({c} AS DOUBLE)) AS max FROM vw"
+    for c in _VIEW_NUMERIC)))
+def describe_numeric(spark, sf_dir) -> DataFrame:
+    return P.describe_numeric(datasets(spark, sf_dir).view, _VIEW_NUMERIC)
+
+
+def _mode_sql(cols, src="vw", value_alias="top", count_alias="freq", with_summary=True):
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM {src}" for c in cols)
+    counts = (f"SELECT column_name, value, COUNT(*) AS n FROM ({parts}) l "
+              "WHERE value IS NOT NULL GROUP BY column_name, value")
+    ranked = (f"SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) "
+              f"AS r FROM ({counts}) c")
+    top = f"SELECT column_name, value AS {value_alias}, n AS {count_alias} FROM ({ranked}) x WHERE r = 1"
+    if not with_summary:
+        return top
+    summ = (f"SELECT column_name, SUM(n) AS count, COUNT(*) AS \"unique\" FROM ({counts}) c "
+            "GROUP BY column_name")
+    return (f"SELECT s.column_name, s.count, s.\"unique\", t.{value_alias}, t.{count_alias} "
+            f"FROM ({summ}) s JOIN ({top}) t ON s.column_name = t.column_name")
+
+
+@query("describe_categorical", W(_mode_sql(_VIEW_STRING)))
+def describe_categorical(spark, sf_dir) -> DataFrame:
+    return P.describe_categorical(datasets(spark, sf_dir).view, _VIEW_STRING)
+
+
+def _box_sql(value, src):
+    q = (f"SELECT churn_target, COUNT(*) AS n, "
+         f"quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median, "
+         f"quantile_cont({value}, 0.75) AS q3 FROM {src} WHERE {value} IS NOT NULL "
+         "GROUP BY churn_target")
+    f = ("SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, "
+         f"q3 + 1.5 * (q3 - q1) AS upper_fence FROM ({q}) q")
+    return (f"SELECT b.churn_target, b.n, b.q1, b.median, b.q3, b.iqr, b.lower_fence, "
+            f"b.upper_fence, MIN(CASE WHEN s.{value} BETWEEN b.lower_fence AND b.upper_fence "
+            f"THEN s.{value} END) AS whisker_low, "
+            f"MAX(CASE WHEN s.{value} BETWEEN b.lower_fence AND b.upper_fence "
+            f"THEN s.{value} END) AS whisker_high, "
+            f"SUM(CASE WHEN s.{value} BETWEEN b.lower_fence AND b.upper_fence THEN 0 ELSE 1 END)"
+            f" AS n_outliers FROM ({f}) b JOIN {src} s ON s.churn_target = b.churn_target "
+            f"AND s.{value} IS NOT NULL GROUP BY ALL")
+
+
+@query("box_stats_monthly_charges", W(_box_sql("monthly_charges", "vw")))
+def box_stats_monthly_charges(spark, sf_dir) -> DataFrame:
+    return P.box_stats(datasets(spark, sf_dir).view_with(()), "monthly_charges", "churn_target")
+
+
+@query("box_stats_avg_spend", W(_box_sql("avg_monthly_spend", "eng"), ENG))
+def box_stats_avg_spend(spark, sf_dir) -> DataFrame:
+    return P.box_stats(engineer(datasets(spark, sf_dir).view_with(("services",))),
+                       "avg_monthly_spend", "churn_target")
+
+
+@query("tenure_histogram", W(
+    "SELECT bin, churn_target, lo + bin * width AS bin_start, lo + (bin + 1) * width AS bin_end, "
+    "COUNT(*) AS n FROM (SELECT churn_target, lo, width, CAST(CASE WHEN width > 0 THEN "
+    "least(floor((CAST(tenure_months AS DOUBLE) - lo) / width), 39) ELSE 0 END AS INTEGER) "
+    "AS bin FROM vw, (SELECT MIN(CAST(tenure_months AS DOUBLE)) AS lo, "
+    "(MAX(CAST(tenure_months AS DOUBLE)) - MIN(CAST(tenure_months AS DOUBLE))) / 40.0 AS width "
+    "FROM vw) r WHERE tenure_months IS NOT NULL) b GROUP BY bin, churn_target, lo, width"))
+def tenure_histogram(spark, sf_dir) -> DataFrame:
+    return P.histogram(datasets(spark, sf_dir).view_with(()), "tenure_months", "churn_target", 40)
+
+
+@query("impute_median_fit", W(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median FROM eng"
+    for c in NUMERIC_FEATURES), ENG))
+def impute_median_fit(spark, sf_dir) -> DataFrame:
+    return P.medians(engineer(datasets(spark, sf_dir).view_with(("services",))), NUMERIC_FEATURES)
+
+
+_MODE_COLS = ["senior_citizen"] + DEFAULT_CATEGORICAL_BASE + ["tenure_band"]
+
+
+@query("impute_mode_fit", W(_mode_sql(_MODE_COLS, src="eng", value_alias="fill_value",
+                                      with_summary=False), ENG))
+def impute_mode_fit(spark, sf_dir) -> DataFrame:
+    return P.most_frequent(engineer(datasets(spark, sf_dir).view), _MODE_COLS)
+
+
+# ---------------------------------------------------------------- evaluation
+from churnframe.operators import evaluate as E  # noqa: E402
+from churnframe.operators import monitoring as M  # noqa: E402
+from churnframe.operators import split as SP  # noqa: E402
+from churnframe.operators.validate import validate_requests  # noqa: E402
+from churnframe.functions.policy import churn_flag, threshold_for_mode  # noqa: E402
+
+SCORED = ("scored AS (SELECT snapshot_id, churn_target AS label, "
+          "1 - CAST((snapshot_id * 7919) % 100 AS DOUBLE) / 128 AS score FROM vw)")
+PR = (SCORED + ",\ng AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg "
+      "FROM scored GROUP BY score),\n"
+      "c AS (SELECT score, SUM(pos) OVER (ORDER BY score DESC) AS tp, "
+      "SUM(neg) OVER (ORDER BY score DESC) AS fp FROM g),\n"
+      "pr AS (SELECT score AS threshold, tp / (tp + fp) AS precision, "
+      "tp / (SELECT SUM(label) FROM scored) AS recall, tp, fp FROM c)")
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    v = datasets(spark, sf_dir).view_with((), keep_snapshot_id=True)
+    return v.select("snapshot_id", F.col("churn_target").alias("label"),
+                    E.deterministic_score().alias("score"))
+
+
+def _pr(spark, sf_dir) -> DataFrame:
+    return E.pr_curve(_scored(spark, sf_dir))
+
+
+@query("pr_curve", W("SELECT * FROM pr", PR))
+def pr_curve(spark, sf_dir) -> DataFrame:
+    return _pr(spark, sf_dir)
+
+
+@query("pr_top_recall", W("SELECT threshold, precision, recall FROM pr "
+                          "ORDER BY recall DESC, threshold DESC LIMIT 5", PR))
+def pr_top_recall(spark, sf_dir) -> DataFrame:
+    return E.top_by(_pr(spark, sf_dir), "recall", 5)
+
+
+@query("pr_top_threshold", W("SELECT threshold, precision, recall FROM pr "
+                             "ORDER BY threshold DESC LIMIT 5", PR))
+def pr_top_threshold(spark, sf_dir) -> DataFrame:
+    return E.top_by(_pr(spark, sf_dir), "threshold", 5)
+
+
+def _best_sql(floor):
+    return W("SELECT threshold, precision, recall FROM pr WHERE recall >= " + str(floor) +
+             " ORDER BY precision DESC, recall DESC, threshold DESC LIMIT 10", PR)
+
+
+@query("best_threshold_080", _best_sql(0.8))
+def best_threshold_080(spark, sf_dir) -> DataFrame:
+    return E.best_thresholds(_pr(spark, sf_dir), 0.80)
+
+
+@query("best_threshold_085", _best_sql(0.85))
+def best_threshold_085(spark, sf_dir) -> DataFrame:
+    return E.best_thresholds(_pr(spark, sf_dir), 0.85)
+
+
+@query("roc_auc", W(
+    "SELECT CAST(SUM(pos * (2 * below + neg)) AS DOUBLE) / (2.0 * CAST(SUM(pos) AS DOUBLE) * "
+    "CAST(SUM(neg) AS DOUBLE)) AS auc, SUM(pos) AS n_pos, SUM(neg) AS n_neg FROM "
+    "(SELECT pos, neg, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING), 0) AS below FROM g) t",
+    SCORED + ",\ng AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg "
+    "FROM scored GROUP BY score)"))
+def roc_auc(spark, sf_dir) -> DataFrame:
+    return E.roc_auc(_scored(spark, sf_dir))
+
+
+_CM = (SCORED + ",\ncm AS (SELECT "
+       "SUM(CASE WHEN label = 1 AND score >= 0.48 THEN 1 ELSE 0 END) AS tp, "
+       "SUM(CASE WHEN label = 0 AND score >= 0.48 THEN 1 ELSE 0 END) AS fp, "
+       "SUM(CASE WHEN label = 1 AND score < 0.48 THEN 1 ELSE 0 END) AS fn, "
+       "SUM(CASE WHEN label = 0 AND score < 0.48 THEN 1 ELSE 0 END) AS tn FROM scored),\n"
+       "m AS (SELECT CASE WHEN tn + fn > 0 THEN CAST(tn AS DOUBLE) / (tn + fn) ELSE 0.0 END AS p0, "
+       "CASE WHEN tn + fp > 0 THEN CAST(tn AS DOUBLE) / (tn + fp) ELSE 0.0 END AS r0, "
+       "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS p1, "
+       "CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS r1, "
+       "tn + fp AS s0, tp + fn AS s1, tp + tn AS ok FROM cm),\n"
+       "m2 AS (SELECT *, CASE WHEN p0 + r0 > 0 THEN 2.0 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0, "
+       "CASE WHEN p1 + r1 > 0 THEN 2.0 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1, "
+       "s0 + s1 AS n FROM m)")
+
+
+@query("classification_report", W(
+    "SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, "
+    "CAST(s0 AS BIGINT) AS support FROM m2 UNION ALL "
+    "SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM m2 UNION ALL "
+    "SELECT 'accuracy', NULL, NULL, CAST(ok AS DOUBLE) / CAST(n AS DOUBLE), CAST(n AS BIGINT) "
+    "FROM m2 UNION ALL "
+    "SELECT 'macro avg', (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, CAST(n AS BIGINT) "
+    "FROM m2 UNION ALL "
+    "SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, "
+    "(f0 * s0 + f1 * s1) / n, CAST(n AS BIGINT) FROM m2", _CM))
+def classification_report(spark, sf_dir) -> DataFrame:
+    s = _scored(spark, sf_dir).withColumn("prediction", churn_flag("score", F.lit(0.48)))
+    return E.classification_report(s)
+
+
+@query("class_weights", W(
+    "SELECT churn_target, COUNT(*) AS n_c, CAST(SUM(COUNT(*)) OVER () AS DOUBLE) / "
+    "CAST(COUNT(*) OVER () * COUNT(*) AS DOUBLE) AS weight FROM vw GROUP BY churn_target"))
+def class_weights(spark, sf_dir) -> DataFrame:
+    return SP.class_weights(datasets(spark, sf_dir).view_with(()), "churn_target")
+
+
+@query("stratified_split", W(
+    "SELECT churn_target, 'train' AS split, CAST(q AS BIGINT) AS n FROM quota UNION ALL "
+    "SELECT churn_target, 'test', CAST(n_c - q AS BIGINT) FROM quota",
+    "cnt AS (SELECT churn_target, COUNT(*) AS n_c FROM vw GROUP BY churn_target),\n"
+    "tot AS (SELECT SUM(n_c) AS n, SUM(n_c) - CAST(ceil(0.2 * SUM(n_c)) AS BIGINT) AS n_train "
+    "FROM cnt),\n"
+    "cont AS (SELECT churn_target, n_c, n_train * n_c / n AS c, floor(n_train * n_c / n) AS fl, "
+    "n_train FROM cnt, tot),\n"
+    "rk AS (SELECT *, row_number() OVER (ORDER BY c - fl DESC, churn_target) AS r, "
+    "n_train - SUM(fl) OVER () AS lft FROM cont),\n"
+    "quota AS (SELECT churn_target, n_c, fl + CASE WHEN r <= lft THEN 1 ELSE 0 END AS q FROM rk)"))
+def stratified_split_q(spark, sf_dir) -> DataFrame:
+    v = datasets(spark, sf_dir).view_with((), keep_snapshot_id=True)
+    s = SP.stratified_split(v, "churn_target", "snapshot_id")
+    return s.groupBy("churn_target", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- policy, monitoring
+@query("decision_policy", W(
+    "SELECT snapshot_id, score AS churn_probability, "
+    "CASE WHEN score >= 0.48 THEN 1 ELSE 0 END AS flag_default, "
+    "CASE WHEN score >= 0.28 THEN 1 ELSE 0 END AS flag_aggressive FROM scored", SCORED))
+def decision_policy(spark, sf_dir) -> DataFrame:
+    s = _scored(spark, sf_dir)
+    return s.select("snapshot_id", F.col("score").alias("churn_probability"),
+                    churn_flag("score", threshold_for_mode(F.lit("default")))
+                    .alias("flag_default"),
+                    churn_flag("score", threshold_for_mode(F.lit("aggressive")))
+                    .alias("flag_aggressive"))
+
+
+LOG = ("plog AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS ts_utc, "
+       "'u' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS request_id, "
+       "CASE WHEN event_type = 'purchase' THEN 'aggressive' ELSE 'default' END AS mode, "
+       "CASE WHEN event_type = 'purchase' THEN CAST(0.28 AS DOUBLE) ELSE CAST(0.48 AS DOUBLE) END "
+       "AS threshold, least(value / 128, CAST(1 AS DOUBLE)) AS churn_probability FROM events),\n"
+       "plog2 AS (SELECT *, CAST(CASE WHEN churn_probability >= threshold THEN 1 ELSE 0 END "
+       "AS INTEGER) AS churn_flag FROM plog)")
+
+
+@query("prediction_log", "WITH " + LOG + "\nSELECT * FROM plog2")
+def prediction_log_q(spark, sf_dir) -> DataFrame:
+    return datasets(spark, sf_dir).prediction_log
+
+
+@query("monitoring_summary", "WITH " + LOG + "\nSELECT churn_flag, AVG(churn_probability) AS "
+       "avg_probability, COUNT(*) AS count, 1000 AS window_size FROM "
+       "(SELECT * FROM plog2 ORDER BY id DESC LIMIT 1000) t GROUP BY churn_flag")
+def monitoring_summary(spark, sf_dir) -> DataFrame:
+    return M.monitoring_summary(datasets(spark, sf_dir).prediction_log, 1000)
+
+
+@query("monitoring_summary_all", "WITH " + LOG + "\nSELECT churn_flag, AVG(churn_probability) "
+       "AS avg_probability, COUNT(*) AS count FROM plog2 GROUP BY churn_flag")
+def monitoring_summary_all(spark, sf_dir) -> DataFrame:
+    return M.monitoring_summary_all(datasets(spark, sf_dir).prediction_log)
+
+
+_REQ_MODE = "CASE WHEN contract_type = 'Month-to-month' THEN 'aggressive' ELSE 'default' END"
+
+
+def _violations_sql():
+    from churnframe.operators.validate import REQUIRED
+    parts = [f"CASE WHEN {c} IS NULL THEN '{c}_required' END" for c in REQUIRED]
+    parts += ["CASE WHEN NOT (senior_citizen BETWEEN 0 AND 1) THEN 'senior_citizen_range' END",
+              "CASE WHEN tenure_months < 0 THEN 'tenure_months_negative' END",
+              "CASE WHEN monthly_charges < 0 THEN 'monthly_charges_negative' END",
+              "CASE WHEN cltv < 0 THEN 'cltv_negative' END",
+              "CASE WHEN mode IS NULL OR mode NOT IN ('default', 'aggressive') "
+              "THEN 'mode_invalid' END"]
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
+@query("validate_requests", W(
+    f"SELECT snapshot_id, mode, v AS violations, v = '' AS is_valid FROM "
+    f"(SELECT snapshot_id, mode, {_violations_sql()} AS v FROM "
+    f"(SELECT *, {_REQ_MODE} AS mode FROM vw) r) t"))
+def validate_requests_q(spark, sf_dir) -> DataFrame:
+    """Each view row as a scoring request (mode from the contract type)."""
+    v = datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                          keep_snapshot_id=True)
+    req = v.withColumn("mode", F.expr(_REQ_MODE))
+    return validate_requests(req).select("snapshot_id", "mode", "violations", "is_valid")
