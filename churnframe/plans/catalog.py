@@ -630,3 +630,167 @@ def validate_requests_q(spark, sf_dir) -> DataFrame:
                                           keep_snapshot_id=True)
     req = v.withColumn("mode", F.expr(_REQ_MODE))
     return validate_requests(req).select("snapshot_id", "mode", "violations", "is_valid")
+
+
+# ---------------------------------------------------------------- ML
+from churnframe.ml import pipeline as MP  # noqa: E402
+from churnframe.ml.explain import explain  # noqa: E402
+from churnframe.ml.transformers import MedianImputer, ModeImputer  # noqa: E402
+from pyspark.ml.feature import StringIndexer  # noqa: E402
+
+_CATS = MP.categorical_columns("with_senior")
+
+
+@query("engineered_features", W(
+    "SELECT " + VIEW_SELECT + ", avg_monthly_spend, tenure_band, addon_count FROM eng", ENG))
+def engineered_features(spark, sf_dir) -> DataFrame:
+    return engineer(datasets(spark, sf_dir).view)
+
+
+def _median_ctes():
+    meds = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in NUMERIC_FEATURES)
+    return ENG + f",\nmed AS (SELECT {meds} FROM eng)"
+
+
+@query("imputed_numeric", W(
+    "SELECT snapshot_id, " + ", ".join(
+        f"COALESCE(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in NUMERIC_FEATURES) +
+    " FROM eng, med", _median_ctes()))
+def imputed_numeric(spark, sf_dir) -> DataFrame:
+    eng = engineer(datasets(spark, sf_dir).view_with(("services",), keep_snapshot_id=True))
+    model = MedianImputer(inputCols=NUMERIC_FEATURES).fit(eng)
+    return model.transform(eng).select("snapshot_id", *NUMERIC_FEATURES)
+
+
+@query("imputed_categorical", W(
+    "SELECT e.snapshot_id, " + ", ".join(
+        f"COALESCE(CAST(e.{c} AS VARCHAR), (SELECT fill_value FROM modes WHERE column_name = "
+        f"'{c}')) AS {c}" for c in _CATS) + " FROM eng e",
+    ENG + ",\nmodes AS (" + _mode_sql(_CATS, src="eng", value_alias="fill_value",
+                                       with_summary=False) + ")"))
+def imputed_categorical(spark, sf_dir) -> DataFrame:
+    eng = engineer(datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                                     keep_snapshot_id=True))
+    model = ModeImputer(inputCols=_CATS).fit(eng)
+    return model.transform(eng).select("snapshot_id", *_CATS)
+
+
+@query("one_hot_long", W(
+    "SELECT snapshot_id, column_name, category, CAST(dense_rank() OVER (PARTITION BY "
+    "column_name ORDER BY category) - 1 AS DOUBLE) AS slot FROM (" + " UNION ALL ".join(
+        f"SELECT snapshot_id, '{c}' AS column_name, CAST({c} AS VARCHAR) AS category FROM eng"
+        for c in _CATS) + ") l", ENG))
+def one_hot_long(spark, sf_dir) -> DataFrame:
+    """Category slot of every (row, categorical column): the alphabetical
+    index the one-hot encoder uses (unknown -> the dropped extra slot)."""
+    eng = ModeImputer(inputCols=_CATS).fit(
+        engineer(datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                                   keep_snapshot_id=True)))
+    data = eng.transform(engineer(datasets(spark, sf_dir).view_with(
+        ("customer", "contract", "services"), keep_snapshot_id=True)))
+    idx = [f"{c}__idx" for c in _CATS]
+    ind = StringIndexer(inputCols=_CATS, outputCols=idx, stringOrderType="alphabetAsc",
+                        handleInvalid="keep").fit(data).transform(data)
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("category"),
+                 F.col(i).alias("slot")) for c, i in zip(_CATS, idx)])).alias("_s")
+    return ind.select("snapshot_id", stack).select("snapshot_id", "_s.*")
+
+
+_CAT_UNION = " UNION ALL ".join(
+    f"SELECT {k} AS ord, '{c}' AS column_name, CAST({c} AS VARCHAR) AS category FROM eng"
+    for k, c in enumerate(_CATS))
+
+
+@query("feature_names", W(
+    " UNION ALL ".join(f"SELECT {i} AS position, 'num__{c}' AS feature_name"
+                       for i, c in enumerate(NUMERIC_FEATURES)) +
+    f" UNION ALL SELECT CAST({len(NUMERIC_FEATURES)} + o.off + dense_rank() OVER (PARTITION BY "
+    "c.ord ORDER BY c.category) - 1 AS INTEGER) AS position, 'cat__' || c.column_name || '_' || "
+    "c.category AS feature_name FROM cats c JOIN offs o ON o.ord = c.ord",
+    ENG + ",\ncats AS (SELECT DISTINCT ord, column_name, category FROM (" + _CAT_UNION + ") u "
+    "WHERE category IS NOT NULL),\n"
+    "cols AS (SELECT ord, COUNT(*) AS nd FROM cats GROUP BY ord),\n"
+    "offs AS (SELECT ord, COALESCE(SUM(nd) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING), 0) AS off FROM cols)"))
+def feature_names_q(spark, sf_dir) -> DataFrame:
+    """Names of the assembled vector slots, fitted on the whole view."""
+    eng = engineer(datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                                     keep_snapshot_id=True))
+    prep = MP.build_preprocessor("with_senior").fit(eng)
+    names = MP.feature_names(prep.transform(eng.limit(0)))
+    return spark.createDataFrame(list(enumerate(names)), "position int, feature_name string")
+
+
+def _requests(spark, sf_dir) -> DataFrame:
+    train, test = datasets(spark, sf_dir).split
+    return test.withColumn("mode", F.expr(_REQ_MODE))
+
+
+@query("score_batch")
+def score_batch(spark, sf_dir) -> DataFrame:
+    """Held-out accounts scored end to end: features -> random-forest
+    probability -> mode threshold -> flag (the logged response fields)."""
+    d = datasets(spark, sf_dir)
+    scored = MP.score(d.model("rf"), _requests(spark, sf_dir))
+    return scored.select("snapshot_id", "mode", "threshold", "churn_probability", "churn_flag")
+
+
+@query("model_comparison")
+def model_comparison(spark, sf_dir) -> DataFrame:
+    """Logistic regression, random forest and gradient boosting on the same
+    split: held-out AUC and class-1 precision/recall/F1 at 0.5."""
+    d = datasets(spark, sf_dir)
+    _, test = d.split
+    out = None
+    for kind in ("lr", "rf", "gbt"):
+        s = MP.positive_probability(d.model(kind).transform(test))
+        auc = E.roc_auc(s.select(F.col("churn_probability").alias("score"), "label"))
+        rep = E.classification_report(s.select("label", "prediction")) \
+            .where(F.col("class_label") == "1").select("precision", "recall", "f1_score")
+        row = auc.select(F.lit(kind).alias("model"), "auc").withColumn("_k", F.lit(1)) \
+            .join(rep.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _shap(spark, sf_dir):
+    d = datasets(spark, sf_dir)
+    cache = d.__dict__.setdefault("_shap", {})
+    if "long" not in cache:
+        model = d.model("rf")
+        _, test = d.split
+        feats = model.transform(test)
+        names = MP.feature_names(feats)
+        name_df = spark.createDataFrame(list(enumerate(names)),
+                                        "feature_index int, feature_name string")
+        from churnframe.session import materialize
+        long = explain(model.stages[-1], feats, "snapshot_id")
+        cache["long"] = materialize(long.join(F.broadcast(name_df), "feature_index"), "shap")
+    return cache["long"]
+
+
+@query("shap_global")
+def shap_global(spark, sf_dir) -> DataFrame:
+    """Features ranked by mean |phi| over the held-out rows."""
+    return (_shap(spark, sf_dir).groupBy("feature_index", "feature_name")
+            .agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))
+            .orderBy(F.desc("mean_abs_shap"), "feature_index"))
+
+
+@query("shap_dependence")
+def shap_dependence(spark, sf_dir) -> DataFrame:
+    """(value, phi) pairs of num__tenure_months."""
+    return (_shap(spark, sf_dir).where(F.col("feature_name") == "num__tenure_months")
+            .select("snapshot_id", "value", "phi"))
+
+
+@query("shap_local")
+def shap_local(spark, sf_dir) -> DataFrame:
+    """One account's explanation (the held-out row with the smallest id):
+    base value and per-feature phi, largest |phi| first."""
+    s = _shap(spark, sf_dir)
+    first = s.agg(F.min("snapshot_id").alias("snapshot_id"))
+    return (s.join(first, "snapshot_id")
+            .select("snapshot_id", "feature_name", "value", "phi", "base_value")
+            .orderBy(F.desc(F.abs("phi")), "feature_name"))

@@ -18,6 +18,8 @@ from churnframe.session import scratch_path
 from churnframe.sources import fixtures
 
 _REGISTRY: dict = {}
+QUERY_TREES = 50          # forest size used by registered queries (default 300)
+QUERY_BOOST_ROUNDS = 50   # boosting rounds used by registered queries (default 300)
 
 
 class Datasets:
@@ -55,6 +57,37 @@ class Datasets:
     def view_with(self, dims, keep_snapshot_id: bool = False) -> DataFrame:
         return training_view(self.star, dims=dims, keep_snapshot_id=keep_snapshot_id)
 
+    @cached_property
+    def split(self):
+        """Stratified 80/20 split of the full view (train, test)."""
+        from churnframe.ml.pipeline import train_test
+        return train_test(self.view_with(("customer", "contract", "services"),
+                                         keep_snapshot_id=True))
+
+    @cached_property
+    def preprocessor(self):
+        from churnframe.ml.pipeline import fit_preprocessor
+        return fit_preprocessor(self.split[0])
+
+    @cached_property
+    def train_features(self) -> DataFrame:
+        from churnframe.ml.pipeline import prepared
+        return prepared(self.preprocessor, self.split[0])
+
+    def model(self, kind: str = "rf"):
+        """Fitted scoring pipelines, one per kind, shared by the queries of a
+        session.  Tree counts are reduced for registered queries (the
+        defaults in ``churnframe.ml.pipeline`` are the full sizes)."""
+        cache = self.__dict__.setdefault("_models", {})
+        if kind not in cache:
+            from churnframe.ml import pipeline as mp
+            n_train = self.train_features.count()
+            clf = {"rf": lambda: mp.random_forest(QUERY_TREES),
+                   "lr": lambda: mp.logistic_regression(n_train),
+                   "gbt": lambda: mp.gradient_boosting(QUERY_BOOST_ROUNDS)}[kind]()
+            cache[kind] = mp.fit_classifier(self.preprocessor, self.train_features, clf)
+        return cache[kind]
+
     @cached_property
     def prediction_log(self) -> DataFrame:
         return fixtures.prediction_log(self.spark, self.sf_dir)

@@ -41,6 +41,7 @@ def get_spark(master: str | None = None, app: str = "churnframe",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -92,3 +93,27 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (pandas UDFs,
+    mapInPandas) by shipping it as a zip with ``addPyFile`` once per app."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="churnframe-pkg-")   # driver-local; Spark ships it
+    zpath = os.path.join(out_dir, "churnframe.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("churnframe",
+                                               os.path.relpath(full, pkg_dir)))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)
