@@ -794,3 +794,40 @@ def shap_local(spark, sf_dir) -> DataFrame:
     return (s.join(first, "snapshot_id")
             .select("snapshot_id", "feature_name", "value", "phi", "base_value")
             .orderBy(F.desc(F.abs("phi")), "feature_name"))
+
+
+# ---------------------------------------------------------------- streaming
+from churnframe.schema import REQUEST_SCHEMA  # noqa: E402
+from churnframe.session import scratch_path  # noqa: E402
+from churnframe.streaming import scoring as ST  # noqa: E402
+
+
+def _stream_run(spark, sf_dir) -> dict:
+    """Held-out accounts as request files (4 files), scored by a streaming
+    query with availableNow + maxFilesPerTrigger=1 (4 micro-batches)."""
+    d = datasets(spark, sf_dir)
+    cache = d.__dict__.setdefault("_stream", {})
+    if not cache:
+        base = scratch_path(spark, "stream")
+        req = (_requests(spark, sf_dir)
+               .withColumn("request_id", F.concat(F.lit("r"), F.col("snapshot_id").cast("string")))
+               .select(*REQUEST_SCHEMA.fieldNames()))
+        req.repartition(4, "request_id").write.parquet(f"{base}/requests")
+        q = ST.start(spark, d.model("rf"), f"{base}/requests", REQUEST_SCHEMA, f"{base}/log",
+                     f"{base}/summary", f"{base}/quarantine", f"{base}/checkpoint")
+        q.awaitTermination()
+        cache.update(log=f"{base}/log", summary=f"{base}/summary")
+    return cache
+
+
+@query("stream_scoring_log")
+def stream_scoring_log(spark, sf_dir) -> DataFrame:
+    """Prediction log written by the streaming scorer (one partition per batch)."""
+    return spark.read.parquet(_stream_run(spark, sf_dir)["log"]).select(*ST.LOG_COLUMNS,
+                                                                        "batch_id")
+
+
+@query("stream_monitoring_summary")
+def stream_monitoring_summary(spark, sf_dir) -> DataFrame:
+    """Last-1000 summary refreshed by the streaming scorer after each batch."""
+    return spark.read.parquet(_stream_run(spark, sf_dir)["summary"])

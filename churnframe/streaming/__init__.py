@@ -1,0 +1 @@
+from churnframe.streaming.scoring import scoring_stream, start, with_stable_ids  # noqa: F401
