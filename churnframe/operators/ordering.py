@@ -124,17 +124,18 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
         if not rows:
             return targets.select("p", F.lit(None).cast("double").alias("value"))
         aggs, fracs = [], []
-        for r in rows:
+        for i, r in enumerate(rows):
             lo, hi = int(r["_lo"]), int(r["_hi"])
             sel_lo = (F.col("_prev") <= lo) & (F.col("cum__n") > lo)
             sel_hi = (F.col("_prev") <= hi) & (F.col("cum__n") > hi)
-            aggs += [F.max(F.when(sel_lo, F.col("_v"))), F.max(F.when(sel_hi, F.col("_v")))]
+            aggs += [F.max(F.when(sel_lo, F.col("_v"))).alias(f"_lo{i}"),
+                     F.max(F.when(sel_hi, F.col("_v"))).alias(f"_hi{i}")]
             fracs.append((float(r["p"]), float(r["_frac"])))
         agg = cum.agg(*aggs)
         exprs = []
         for i, (p, frac) in enumerate(fracs):
-            lo_v = F.col(agg.columns[2 * i])
-            hi_v = F.col(agg.columns[2 * i + 1])
+            lo_v = F.col(f"_lo{i}")
+            hi_v = F.col(f"_hi{i}")
             exprs.append(F.struct(F.lit(p).alias("p"),
                                   (lo_v + (hi_v - lo_v) * F.lit(frac)).alias("value")))
         return agg.select(F.explode(F.array(*exprs)).alias("_q")).select("_q.p", "_q.value")
