@@ -29,10 +29,16 @@ from pyspark.sql import functions as F
 from churnframe.session import default_parallelism, materialize
 
 
+# Inputs up to this many rows are ordered as one range per group.
+SINGLE_RANGE_MAX_ROWS = 20_000
+
+
 def _range_buckets(df: DataFrame, key_col: str, n_buckets: int) -> DataFrame:
     probs = [i / n_buckets for i in range(1, n_buckets)]
     cuts = df.approxQuantile(key_col, probs, 1.0 / (4 * n_buckets)) if probs else []
     cuts = sorted({c for c in cuts if c is not None and math.isfinite(c)})
+    if not cuts:
+        return df.withColumn("_bucket", F.lit(0.0))
     splits = [float("-inf")] + cuts + [float("inf")]
     return Bucketizer(splits=splits, inputCol=key_col, outputCol="_bucket",
                       handleInvalid="keep").transform(df)
@@ -56,6 +62,10 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
         df = materialize(df, "ordered_input")
     sum_cols = list(sum_cols)
     p = n_buckets or default_parallelism(df.sparkSession)
+    if n_buckets is None and materialize_input and df.count() <= SINGLE_RANGE_MAX_ROWS:
+        # written input: the count comes from file metadata; a small input
+        # needs no split-point pass (one range per group, bounded size)
+        p = 1
     key = F.col(order_col).cast("double")
     keyed = df.withColumn("_key", -key if descending else key)
     b = _range_buckets(keyed, "_key", p)
@@ -104,6 +114,8 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
         df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
         .groupBy(*group_cols, v.cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n")), "value_counts")
+    if n_buckets is None and counts.count() <= SINGLE_RANGE_MAX_ROWS:
+        n_buckets = 1
     cum = cumulative_sums(counts, "_v", ["_n"], group_cols, n_buckets=n_buckets,
                           materialize_input=False)
     cum = cum.withColumn("_prev", F.col("cum__n") - F.col("_n"))

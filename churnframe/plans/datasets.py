@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnframe.operators.star import Star, load_star, read_star, stage, write_star
 from churnframe.operators.view import training_view
-from churnframe.session import scratch_path
+from churnframe.session import materialize, scratch_path
 from churnframe.sources import fixtures
 
 _REGISTRY: dict = {}
@@ -37,7 +37,10 @@ class Datasets:
 
     @cached_property
     def staging(self) -> DataFrame:
-        return stage(self.raw)
+        """Cleaned rows written once as the staging table: the dimension and
+        fact builds read it (column-pruned) instead of re-deriving the raw
+        extract three times."""
+        return materialize(stage(self.raw), "staging")
 
     @cached_property
     def star_lazy(self) -> Star:

@@ -20,6 +20,12 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keep small shuffles spread over the cores instead of coalescing them
+    # into one task; large shuffles are sized by the advisory size as usual
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    # broadcast only genuinely small relations (dimension tables, per-group
+    # statistics); anything larger is joined by shuffle so the work spreads
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
