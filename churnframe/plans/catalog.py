@@ -44,6 +44,17 @@ def raw_scan(spark, sf_dir) -> DataFrame:
     return datasets(spark, sf_dir).raw
 
 
+@query("raw_csv_scan", W("SELECT * FROM raw"))
+def raw_csv_scan(spark, sf_dir) -> DataFrame:
+    """The extract landed as CSV in the shared folder and read back with the
+    explicit all-string contract schema (no inference)."""
+    from churnframe.session import scratch_path as _sp
+    from churnframe.sources.raw import read_raw, write_csv_extract
+    path = _sp(spark, "extract_csv")
+    write_csv_extract(datasets(spark, sf_dir).raw, path)
+    return read_raw(spark, path, "csv")
+
+
 @query("staging_clean", W("SELECT * FROM staging"))
 def staging_clean(spark, sf_dir) -> DataFrame:
     return datasets(spark, sf_dir).staging

@@ -27,7 +27,10 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     try:
         if fmt == "csv":
             df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-                  .option("enforceSchema", False).schema(RAW_SCHEMA).csv(path))
+                  .option("enforceSchema", False)
+                  .option("ignoreLeadingWhiteSpace", False)
+                  .option("ignoreTrailingWhiteSpace", False)
+                  .schema(RAW_SCHEMA).csv(path))
         else:
             df = spark.read.format(fmt).load(path)
     except AnalysisException as exc:
@@ -37,3 +40,11 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     require_columns(df, ["row_id"] + REQUIRED_HEADERS)
     return df.select(F.col("row_id").cast("long"),
                      *[F.col(f"`{h}`").cast("string").alias(h) for h in REQUIRED_HEADERS])
+
+
+def write_csv_extract(raw: DataFrame, path: str) -> None:
+    """Land an extract as CSV with a header; every value quoted so blank and
+    whitespace-only cells survive the round trip (NULL stays an empty field)."""
+    (raw.write.mode("overwrite").option("header", True).option("quoteAll", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
