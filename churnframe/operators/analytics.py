@@ -82,11 +82,9 @@ def label_share_by(view: DataFrame, key: str = "contract_type",
 
 def target_share(view: DataFrame, label: str = TARGET) -> DataFrame:
     counts = view.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    # the total is one row: join on a constant key instead of a cartesian product
-    return (counts.withColumn("_k", F.lit(1))
-            .join(F.broadcast(total.withColumn("_k", F.lit(1))), "_k")
-            .select(label, "n", (F.col("n") / F.col("total")).alias("share")))
+    # one row per label value: a window over the aggregated rows is bounded
+    return counts.select(label, "n", (F.col("n") / F.sum("n").over(Window.partitionBy()))
+                         .alias("share"))
 
 
 def target_counts(view: DataFrame, label: str = TARGET) -> DataFrame:

@@ -74,6 +74,10 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
     within = (Window.partitionBy(*part).orderBy("_key", *tie_cols)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(within).alias(f"_loc_{c}") for c in sum_cols])
+    if p == 1:
+        # one range per group: the running totals are already global
+        return local.select(*[c for c in df.columns],
+                            *[F.col(f"_loc_{c}").alias(prefix + c) for c in sum_cols])
 
     totals = b.groupBy(*part).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     before = (Window.partitionBy(*group_cols).orderBy("_bucket")

@@ -143,9 +143,14 @@ def histogram(df: DataFrame, value: str, group: str, nbins: int = 40) -> DataFra
     min/max pass, bin = floor((x - min) / width) capped at the last bin."""
     data = df.select(F.col(value).cast("double").alias("x"), F.col(group).alias("grp")) \
         .where(F.col("x").isNotNull())
-    rng = data.agg(F.min("x").alias("lo"), F.max("x").alias("hi")) \
-        .withColumn("width", (F.col("hi") - F.col("lo")) / F.lit(float(nbins)))
-    j = data.withColumn("_k", F.lit(1)).join(F.broadcast(rng.withColumn("_k", F.lit(1))), "_k")
+    lo, hi = data.agg(F.min("x"), F.max("x")).first()       # two scalars
+    if lo is None:
+        return data.select(F.lit(0).alias("bin"), F.col("grp").alias(group),
+                           F.lit(None).cast("double").alias("bin_start"),
+                           F.lit(None).cast("double").alias("bin_end"),
+                           F.lit(0).cast("long").alias("n")).limit(0)
+    j = data.withColumn("lo", F.lit(float(lo))).withColumn(
+        "width", (F.lit(float(hi)) - F.lit(float(lo))) / F.lit(float(nbins)))
     b = F.when(F.col("width") > 0,
                F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")),
                        F.lit(nbins - 1))).otherwise(F.lit(0)).cast("int")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnframe.operators.ordering import cumulative_sums
@@ -47,10 +47,12 @@ def stratified_split(df: DataFrame, label: str, row_id: str, test_size: float =
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (k * n_c) per class (k = number of classes)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
-    tot = counts.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
-    j = counts.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-    return j.select(label, "n_c", (F.col("n").cast("double") /
-                                   (F.col("k") * F.col("n_c")).cast("double")).alias("weight"))
+    # one row per class: windows over the aggregated rows are bounded
+    everything = Window.partitionBy()
+    n = F.sum("n_c").over(everything)
+    k = F.count(F.lit(1)).over(everything)
+    return counts.select(label, "n_c", (n.cast("double") / (k * F.col("n_c")).cast("double"))
+                         .alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:

@@ -756,11 +756,11 @@ def model_comparison(spark, sf_dir) -> DataFrame:
     out = None
     for kind in ("lr", "rf", "gbt"):
         s = MP.positive_probability(d.model(kind).transform(test))
-        auc = E.roc_auc(s.select(F.col("churn_probability").alias("score"), "label"))
+        auc = E.roc_auc(s.select(F.col("churn_probability").alias("score"), "label")).first()
         rep = E.classification_report(s.select("label", "prediction")) \
             .where(F.col("class_label") == "1").select("precision", "recall", "f1_score")
-        row = auc.select(F.lit(kind).alias("model"), "auc").withColumn("_k", F.lit(1)) \
-            .join(rep.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        row = rep.select(F.lit(kind).alias("model"), F.lit(float(auc.auc)).alias("auc"),
+                         "precision", "recall", "f1_score")
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -842,3 +842,11 @@ def stream_scoring_log(spark, sf_dir) -> DataFrame:
 def stream_monitoring_summary(spark, sf_dir) -> DataFrame:
     """Last-1000 summary refreshed by the streaming scorer after each batch."""
     return spark.read.parquet(_stream_run(spark, sf_dir)["summary"])
+
+
+@query("view_preview", W(f"SELECT {VIEW_SELECT}, snapshot_id FROM vw ORDER BY snapshot_id LIMIT 5"))
+def view_preview(spark, sf_dir) -> DataFrame:
+    """head(5) of the view under a total order (the limit is the feature)."""
+    v = datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                          keep_snapshot_id=True)
+    return v.orderBy("snapshot_id").limit(5)
