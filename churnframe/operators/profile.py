@@ -8,7 +8,7 @@ group into a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnframe.operators.ordering import exact_quantiles
@@ -89,18 +89,21 @@ def describe_categorical(df: DataFrame, cols=None) -> DataFrame:
     counts = (df.select(stack).select("_kv.column_name", "_kv.value")
               .where(F.col("value").isNotNull())
               .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
-    top = counts.withColumn("_r", F.row_number().over(w)).where("_r = 1") \
-        .select("column_name", F.col("value").alias("top"), F.col("n").alias("freq"))
-    summ = counts.groupBy("column_name").agg(F.sum("n").alias("count"),
-                                             F.count(F.lit(1)).alias("unique"))
+    # Aggregations only: a window per column would put every distinct value of
+    # a high-cardinality column (an id) into one task.
+    summ = counts.groupBy("column_name").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
+        F.max("n").alias("freq"))
+    # one row per profiled column: a proven bound for the broadcast
+    top = (counts.join(F.broadcast(summ.select("column_name", F.col("freq").alias("n"))),
+                       ["column_name", "n"])
+           .groupBy("column_name").agg(F.min("value").alias("top")))
     return summ.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")
 
 
 def most_frequent(df: DataFrame, cols) -> DataFrame:
     """Fit of a most-frequent imputer: per column, the modal non-null value,
-    ties broken by the smallest value.  Counting runs on (column, value)
-    aggregates; the window only ranks distinct values."""
+    ties broken by the smallest value; all steps are aggregations."""
     d = describe_categorical(df, cols)
     return d.select("column_name", F.col("top").alias("fill_value"), F.col("freq"))
 
