@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from churnframe.schema import TENURE_BAND_LABELS, TENURE_CUT_EDGES
+from churnframe.schema import (TENURE_BAND_LABELS, TENURE_CUT_EDGES, TENURE_SQL_BANDS,
+                               TENURE_SQL_OTHER)
 
 
 def _col(c) -> Column:
@@ -16,10 +17,11 @@ def tenure_band_sql(c="tenure_months") -> Column:
     """BETWEEN on inclusive integer ranges; everything else (NULL, negatives,
     fractions between ranges, large values) falls to the last label."""
     t = _col(c)
-    return (F.when(t.between(0, 12), "0-12")
-            .when(t.between(13, 24), "13-24")
-            .when(t.between(25, 48), "25-48")
-            .otherwise("49+"))
+    expr = None
+    for lo, hi, label in TENURE_SQL_BANDS:
+        cond = t.between(lo, hi)
+        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
+    return expr.otherwise(TENURE_SQL_OTHER)
 
 
 def tenure_band_cut(c="tenure_months", fill_null: bool = True,

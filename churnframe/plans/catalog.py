@@ -457,7 +457,9 @@ from churnframe.operators import monitoring as M  # noqa: E402
 from churnframe.operators import split as SP  # noqa: E402
 from churnframe.operators.validate import validate_requests  # noqa: E402
 from churnframe.functions.policy import churn_flag, threshold_for_mode  # noqa: E402
+from churnframe.schema import AGGRESSIVE_THRESHOLD, DEFAULT_THRESHOLD  # noqa: E402
 
+DT, AT = DEFAULT_THRESHOLD, AGGRESSIVE_THRESHOLD
 SCORED = ("scored AS (SELECT snapshot_id, churn_target AS label, "
           "1 - CAST((snapshot_id * 7919) % 100 AS DOUBLE) / 128 AS score FROM vw)")
 PR = (SCORED + ",\ng AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg "
@@ -522,10 +524,10 @@ def roc_auc(spark, sf_dir) -> DataFrame:
 
 
 _CM = (SCORED + ",\ncm AS (SELECT "
-       "SUM(CASE WHEN label = 1 AND score >= 0.48 THEN 1 ELSE 0 END) AS tp, "
-       "SUM(CASE WHEN label = 0 AND score >= 0.48 THEN 1 ELSE 0 END) AS fp, "
-       "SUM(CASE WHEN label = 1 AND score < 0.48 THEN 1 ELSE 0 END) AS fn, "
-       "SUM(CASE WHEN label = 0 AND score < 0.48 THEN 1 ELSE 0 END) AS tn FROM scored),\n"
+       f"SUM(CASE WHEN label = 1 AND score >= {DT} THEN 1 ELSE 0 END) AS tp, "
+       f"SUM(CASE WHEN label = 0 AND score >= {DT} THEN 1 ELSE 0 END) AS fp, "
+       f"SUM(CASE WHEN label = 1 AND score < {DT} THEN 1 ELSE 0 END) AS fn, "
+       f"SUM(CASE WHEN label = 0 AND score < {DT} THEN 1 ELSE 0 END) AS tn FROM scored),\n"
        "m AS (SELECT CASE WHEN tn + fn > 0 THEN CAST(tn AS DOUBLE) / (tn + fn) ELSE 0.0 END AS p0, "
        "CASE WHEN tn + fp > 0 THEN CAST(tn AS DOUBLE) / (tn + fp) ELSE 0.0 END AS r0, "
        "CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS p1, "
@@ -547,7 +549,7 @@ _CM = (SCORED + ",\ncm AS (SELECT "
     "SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, "
     "(f0 * s0 + f1 * s1) / n, CAST(n AS BIGINT) FROM m2", _CM))
 def classification_report(spark, sf_dir) -> DataFrame:
-    s = _scored(spark, sf_dir).withColumn("prediction", churn_flag("score", F.lit(0.48)))
+    s = _scored(spark, sf_dir).withColumn("prediction", churn_flag("score", F.lit(DT)))
     return E.classification_report(s)
 
 
@@ -578,8 +580,8 @@ def stratified_split_q(spark, sf_dir) -> DataFrame:
 # ---------------------------------------------------------------- policy, monitoring
 @query("decision_policy", W(
     "SELECT snapshot_id, score AS churn_probability, "
-    "CASE WHEN score >= 0.48 THEN 1 ELSE 0 END AS flag_default, "
-    "CASE WHEN score >= 0.28 THEN 1 ELSE 0 END AS flag_aggressive FROM scored", SCORED))
+    f"CASE WHEN score >= {DT} THEN 1 ELSE 0 END AS flag_default, "
+    f"CASE WHEN score >= {AT} THEN 1 ELSE 0 END AS flag_aggressive FROM scored", SCORED))
 def decision_policy(spark, sf_dir) -> DataFrame:
     s = _scored(spark, sf_dir)
     return s.select("snapshot_id", F.col("score").alias("churn_probability"),
@@ -592,7 +594,7 @@ def decision_policy(spark, sf_dir) -> DataFrame:
 LOG = ("plog AS (SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS ts_utc, "
        "'u' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS request_id, "
        "CASE WHEN event_type = 'purchase' THEN 'aggressive' ELSE 'default' END AS mode, "
-       "CASE WHEN event_type = 'purchase' THEN CAST(0.28 AS DOUBLE) ELSE CAST(0.48 AS DOUBLE) END "
+       f"CASE WHEN event_type = 'purchase' THEN CAST({AT} AS DOUBLE) ELSE CAST({DT} AS DOUBLE) END "
        "AS threshold, least(value / 128, CAST(1 AS DOUBLE)) AS churn_probability FROM events),\n"
        "plog2 AS (SELECT *, CAST(CASE WHEN churn_probability >= threshold THEN 1 ELSE 0 END "
        "AS INTEGER) AS churn_flag FROM plog)")

@@ -7,6 +7,10 @@ the training view; each oracle query is ``WITH <chain> SELECT ...``.
 
 from __future__ import annotations
 
+from churnframe.schema import (ADDON_COLUMNS, CONTRACT_COLS, CUSTOMER_ATTRS, HEADER_TO_COLUMN,
+                               SERVICE_COLS, SNAPSHOT_DATE, TENURE_BAND_LABELS,
+                               TENURE_CUT_EDGES, TENURE_SQL_BANDS, TENURE_SQL_OTHER)
+
 NUM_RE = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -23,22 +27,12 @@ def _clean_total(x: str) -> str:
     return f"(CASE WHEN {x} IS NULL OR trim({x}) = '' THEN NULL ELSE {_safe_double(x)} END)"
 
 
-ADDON = ["online_security", "online_backup", "device_protection", "tech_support",
-         "streaming_tv", "streaming_movies"]
-CONTRACT = ["contract_type", "paperless_billing", "payment_method"]
-SERVICES = ["phone_service", "multiple_lines", "internet_service"] + ADDON
-CUST = ["gender", "senior_citizen", "partner", "dependents", "country", "state"]
-HEADERS = [("CustomerID", "customer_id"), ("Gender", "gender"),
-           ("Senior Citizen", "senior_citizen"), ("Partner", "partner"),
-           ("Dependents", "dependents"), ("Country", "country"), ("State", "state"),
-           ("Contract", "contract_type"), ("Paperless Billing", "paperless_billing"),
-           ("Payment Method", "payment_method"), ("Phone Service", "phone_service"),
-           ("Multiple Lines", "multiple_lines"), ("Internet Service", "internet_service"),
-           ("Online Security", "online_security"), ("Online Backup", "online_backup"),
-           ("Device Protection", "device_protection"), ("Tech Support", "tech_support"),
-           ("Streaming TV", "streaming_tv"), ("Streaming Movies", "streaming_movies"),
-           ("Tenure Months", "tenure_months"), ("Monthly Charges", "monthly_charges"),
-           ("Total Charges", "total_charges"), ("CLTV", "cltv"), ("Churn Label", "churn_label")]
+ADDON = list(ADDON_COLUMNS)
+CONTRACT = list(CONTRACT_COLS)
+SERVICES = list(SERVICE_COLS)
+CUST = list(CUSTOMER_ATTRS)
+HEADERS = list(HEADER_TO_COLUMN.items())
+SNAPSHOT = f"'{SNAPSHOT_DATE}'"
 
 
 def _addon_case(cond: str) -> str:
@@ -98,7 +92,7 @@ subscriber AS (
               (CASE o_orderstatus WHEN 'F' THEN 45 WHEN 'O' THEN 15 ELSE 5 END)
               + (CASE WHEN ten <= 12 THEN 20 ELSE 0 END)
          THEN 'Yes' ELSE 'No' END AS churn_label,
-    '2026-01-28' AS snapshot_date
+    {SNAPSHOT} AS snapshot_date
   FROM base)"""
 
 
@@ -126,7 +120,7 @@ def _staging_select() -> str:
     for h, c in HEADERS:
         f = coerce.get(c)
         cols.append(f"{f(chr(34) + h + chr(34)) if f else chr(34) + h + chr(34)} AS {c}")
-    cols.append("'2026-01-28' AS snapshot_date")
+    cols.append(f"{SNAPSHOT} AS snapshot_date")
     return ",\n    ".join(cols)
 
 
@@ -195,15 +189,16 @@ def addon_sum_sql(prefix: str = "") -> str:
 def cut_band_sql(x: str, null_label: str | None = "'nan'", fill: bool = True) -> str:
     t = f"COALESCE(CAST({x} AS DOUBLE), 0.0)" if fill else f"CAST({x} AS DOUBLE)"
     other = null_label if null_label is not None else "NULL"
-    return (f"CASE WHEN {t} > -1 AND {t} <= 12 THEN '0-12' "
-            f"WHEN {t} > 12 AND {t} <= 24 THEN '13-24' "
-            f"WHEN {t} > 24 AND {t} <= 48 THEN '25-48' "
-            f"WHEN {t} > 48 AND {t} <= 1200 THEN '49+' ELSE {other} END")
+    edges = TENURE_CUT_EDGES
+    arms = " ".join(f"WHEN {t} > {lo} AND {t} <= {hi} THEN '{lab}'"
+                    for lo, hi, lab in zip(edges[:-1], edges[1:], TENURE_BAND_LABELS))
+    return f"CASE {arms} ELSE {other} END"
 
 
 def sql_band_sql(x: str) -> str:
-    return (f"CASE WHEN {x} BETWEEN 0 AND 12 THEN '0-12' WHEN {x} BETWEEN 13 AND 24 THEN '13-24' "
-            f"WHEN {x} BETWEEN 25 AND 48 THEN '25-48' ELSE '49+' END")
+    arms = " ".join(f"WHEN {x} BETWEEN {lo} AND {hi} THEN '{lab}'"
+                    for lo, hi, lab in TENURE_SQL_BANDS)
+    return f"CASE {arms} ELSE '{TENURE_SQL_OTHER}' END"
 
 
 def avg_spend_sql(t: str = "tenure_months", total: str = "total_charges") -> str:

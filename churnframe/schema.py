@@ -42,6 +42,8 @@ ADDON_COLUMNS = ["online_security", "online_backup", "device_protection",
                  "tech_support", "streaming_tv", "streaming_movies"]
 TENURE_CUT_EDGES = [-1, 12, 24, 48, 1200]
 TENURE_BAND_LABELS = ["0-12", "13-24", "25-48", "49+"]
+TENURE_SQL_BANDS = [(0, 12, "0-12"), (13, 24, "13-24"), (25, 48, "25-48")]
+TENURE_SQL_OTHER = "49+"
 NUMERIC_FEATURES = ["tenure_months", "monthly_charges", "total_charges", "cltv",
                     "avg_monthly_spend", "addon_count"]
 DEFAULT_CATEGORICAL_BASE = [

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnframe.schema import HEADER_TO_COLUMN, SNAPSHOT_DATE
+from churnframe.schema import (AGGRESSIVE_THRESHOLD, DEFAULT_THRESHOLD, HEADER_TO_COLUMN,
+                               SNAPSHOT_DATE)
 from churnframe.sources.tables import read_table
 
 
@@ -118,7 +119,7 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value"])
     purchase = F.col("event_type") == "purchase"
     prob = F.least(F.col("value") / 128, F.lit(1.0))
-    thr = F.when(purchase, F.lit(0.28)).otherwise(F.lit(0.48))
+    thr = F.when(purchase, F.lit(AGGRESSIVE_THRESHOLD)).otherwise(F.lit(DEFAULT_THRESHOLD))
     return ev.select(
         F.col("event_id").alias("id"),
         F.col("ts").cast("timestamp").alias("ts_utc"),
