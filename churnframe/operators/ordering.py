@@ -104,6 +104,12 @@ def dense_index(df: DataFrame, order_col: str, name: str = "idx",
     return out.withColumnRenamed("_cum_one", name).drop("_one")
 
 
+def lerp(lo, hi, t):
+    """Linear interpolation as numpy computes it: from the nearer end, so the
+    result is monotone in t and exact at both ends."""
+    return F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t)
+
+
 def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
                     n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
@@ -153,7 +159,7 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
             lo_v = F.col(f"_lo{i}")
             hi_v = F.col(f"_hi{i}")
             exprs.append(F.struct(F.lit(p).alias("p"),
-                                  (lo_v + (hi_v - lo_v) * F.lit(frac)).alias("value")))
+                                  lerp(lo_v, hi_v, F.lit(frac)).alias("value")))
         return agg.select(F.explode(F.array(*exprs)).alias("_q")).select("_q.p", "_q.value")
     sel_lo = (F.col("_prev") <= F.col("_lo")) & (F.col("cum__n") > F.col("_lo"))
     sel_hi = (F.col("_prev") <= F.col("_hi")) & (F.col("cum__n") > F.col("_hi"))
@@ -162,5 +168,4 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
               .agg(F.max(F.when(sel_lo, F.col("_v"))).alias("_vlo"),
                    F.max(F.when(sel_hi, F.col("_v"))).alias("_vhi")))
     return picked.select(*group_cols, "p",
-                         (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac"))
-                         .alias("value"))
+                         lerp(F.col("_vlo"), F.col("_vhi"), F.col("_frac")).alias("value"))

@@ -367,9 +367,10 @@ def dataset_shape(spark, sf_dir) -> DataFrame:
 @query("describe_numeric", W(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, COUNT({c}) AS count, AVG(CAST({c} AS DOUBLE)) AS mean, "
     f"STDDEV_SAMP(CAST({c} AS DOUBLE)) AS std, MIN(CAST({c} AS DOUBLE)) AS min, "
-    f"quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, "
-    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, "
-    f"quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, MAX(CAST({c} AS DOUBLE)) AS max FROM vw"
+    f"(SELECT q0 FROM ({O.quantile_sql('vw', c, [0.25, 0.5, 0.75])}) z) AS q25, "
+    f"(SELECT q1 FROM ({O.quantile_sql('vw', c, [0.25, 0.5, 0.75])}) z) AS q50, "
+    f"(SELECT q2 FROM ({O.quantile_sql('vw', c, [0.25, 0.5, 0.75])}) z) AS q75, "
+    f"MAX(CAST({c} AS DOUBLE)) AS max FROM vw"
     for c in _VIEW_NUMERIC)))
 def describe_numeric(spark, sf_dir) -> DataFrame:
     return P.describe_numeric(datasets(spark, sf_dir).view, _VIEW_NUMERIC)
@@ -397,10 +398,11 @@ def describe_categorical(spark, sf_dir) -> DataFrame:
 
 
 def _box_sql(value, src):
-    q = (f"SELECT churn_target, COUNT(*) AS n, "
-         f"quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median, "
-         f"quantile_cont({value}, 0.75) AS q3 FROM {src} WHERE {value} IS NOT NULL "
-         "GROUP BY churn_target")
+    q = (f"SELECT c.churn_target, c.n, z.q0 AS q1, z.q1 AS median, z.q2 AS q3 FROM "
+         f"(SELECT churn_target, COUNT(*) AS n FROM {src} WHERE {value} IS NOT NULL "
+         f"GROUP BY churn_target) c JOIN ("
+         f"{O.quantile_sql(src, value, [0.25, 0.5, 0.75], group='churn_target')}) z "
+         "ON z.g = c.churn_target")
     f = ("SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_fence, "
          f"q3 + 1.5 * (q3 - q1) AS upper_fence FROM ({q}) q")
     return (f"SELECT b.churn_target, b.n, b.q1, b.median, b.q3, b.iqr, b.lower_fence, "
@@ -436,7 +438,7 @@ def tenure_histogram(spark, sf_dir) -> DataFrame:
 
 
 @query("impute_median_fit", W(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median FROM eng"
+    f"SELECT '{c}' AS column_name, q0 AS median FROM ({O.quantile_sql('eng', c, [0.5])}) z"
     for c in NUMERIC_FEATURES), ENG))
 def impute_median_fit(spark, sf_dir) -> DataFrame:
     return P.medians(engineer(datasets(spark, sf_dir).view_with(("services",))), NUMERIC_FEATURES)
@@ -661,8 +663,9 @@ def engineered_features(spark, sf_dir) -> DataFrame:
 
 
 def _median_ctes():
-    meds = ", ".join(f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS m_{c}" for c in NUMERIC_FEATURES)
-    return ENG + f",\nmed AS (SELECT {meds} FROM eng)"
+    meds = ", ".join(f"(SELECT q0 FROM ({O.quantile_sql('eng', c, [0.5])}) z) AS m_{c}"
+                     for c in NUMERIC_FEATURES)
+    return ENG + f",\nmed AS (SELECT {meds})"
 
 
 @query("imputed_numeric", W(

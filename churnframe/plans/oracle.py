@@ -204,3 +204,27 @@ def sql_band_sql(x: str) -> str:
 def avg_spend_sql(t: str = "tenure_months", total: str = "total_charges") -> str:
     return (f"CASE WHEN COALESCE(CAST({t} AS DOUBLE), 0.0) > 0 "
             f"THEN CAST({total} AS DOUBLE) / CAST({t} AS DOUBLE) ELSE 0.0 END")
+
+
+def quantile_sql(src: str, value: str, probs, group: str | None = None,
+                 where: str = "TRUE") -> str:
+    """Exact quantiles by order statistics (row_number) with numpy's linear
+    interpolation; one row per group with columns q0, q1, ... in ``probs``
+    order.  ``group`` None -> a single row."""
+    g = group or "0"
+    parts = []
+    for i, p in enumerate(probs):
+        pos = f"(n - 1) * CAST({p} AS DOUBLE)"
+        parts.append(
+            f"MAX(CASE WHEN rn = CAST(floor({pos}) AS BIGINT) + 1 THEN v END) AS lo{i}, "
+            f"MAX(CASE WHEN rn = CAST(ceil({pos}) AS BIGINT) + 1 THEN v END) AS hi{i}, "
+            f"MAX({pos} - floor({pos})) AS t{i}")
+    inner = (f"SELECT {g} AS g, CAST({value} AS DOUBLE) AS v, "
+             f"row_number() OVER (PARTITION BY {g} ORDER BY CAST({value} AS DOUBLE)) AS rn, "
+             f"COUNT(*) OVER (PARTITION BY {g}) AS n FROM {src} "
+             f"WHERE {value} IS NOT NULL AND {where}")
+    agg = f"SELECT g, {', '.join(parts)} FROM ({inner}) o GROUP BY g"
+    outs = ", ".join(
+        f"CASE WHEN t{i} >= 0.5 THEN hi{i} - (hi{i} - lo{i}) * (1.0 - t{i}) "
+        f"ELSE lo{i} + (hi{i} - lo{i}) * t{i} END AS q{i}" for i in range(len(probs)))
+    return f"SELECT g, {outs} FROM ({agg}) a"
