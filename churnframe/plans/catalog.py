@@ -157,6 +157,20 @@ def dim_services_rerun_noop(spark, sf_dir) -> DataFrame:
     return S.merge_dimension(d.star.dim_services, ds, SERVICE_COLS, "services_key")
 
 
+@query("feature_matrix", W(
+    "SELECT snapshot_id, " + ", ".join(c for c in O.VIEW_COLS
+                                        if c not in ("customer_id", "snapshot_date",
+                                                     "churn_target")) +
+    ", churn_target AS label FROM vw"))
+def feature_matrix(spark, sf_dir) -> DataFrame:
+    """The 22 model features (identifier, constant date and target dropped)
+    with the integer label alongside."""
+    from churnframe.schema import FEATURE_COLUMNS, TARGET
+    v = datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                          keep_snapshot_id=True)
+    return v.select("snapshot_id", *FEATURE_COLUMNS, F.col(TARGET).cast("int").alias("label"))
+
+
 @query("training_view", W(f"SELECT {VIEW_SELECT} FROM vw"))
 def training_view_q(spark, sf_dir) -> DataFrame:
     return datasets(spark, sf_dir).view
