@@ -188,11 +188,31 @@ def write_star(star: Star, path: str) -> None:
     star.dim_customer.write.mode("overwrite").parquet(f"{path}/dim_customer")
     star.dim_contract.write.mode("overwrite").parquet(f"{path}/dim_contract")
     star.dim_services.write.mode("overwrite").parquet(f"{path}/dim_services")
-    (star.fact.write.mode("overwrite")
+    _write_fact(star.fact, path)
+
+
+def _write_fact(fact: DataFrame, path: str) -> None:
+    (fact.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("snapshot_date").parquet(f"{path}/fact_customer_snapshot"))
 
 
+def load_and_write(staging: DataFrame, path: str) -> Star:
+    """Warehouse order: write the dimensions, then resolve the fact's keys
+    against the stored dimensions (each dimension is aggregated once), write
+    the fact, and return the stored star."""
+    spark = staging.sparkSession
+    build_dim_customer(staging).write.mode("overwrite").parquet(f"{path}/dim_customer")
+    dk, ds = small_dimensions(staging)
+    dk.write.mode("overwrite").parquet(f"{path}/dim_contract")
+    ds.write.mode("overwrite").parquet(f"{path}/dim_services")
+    dc = spark.read.parquet(f"{path}/dim_customer")
+    dk = spark.read.parquet(f"{path}/dim_contract")
+    ds = spark.read.parquet(f"{path}/dim_services")
+    _write_fact(build_fact(staging, dc, dk, ds), path)
+    return read_star(spark, path)
+
+
 FACT_COLUMNS = ["snapshot_id", "customer_key", "contract_key", "services_key",
                 *MEASURE_COLS, "churn_label", "snapshot_date"]
 

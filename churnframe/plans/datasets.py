@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnframe.operators.star import Star, load_star, read_star, stage, write_star
+from churnframe.operators.star import Star, load_and_write, load_star, stage
 from churnframe.operators.view import training_view
 from churnframe.session import materialize, scratch_path
 from churnframe.sources import fixtures
@@ -49,9 +49,7 @@ class Datasets:
     @cached_property
     def star(self) -> Star:
         """The loaded star schema, written once to the shared folder."""
-        path = scratch_path(self.spark, "star")
-        write_star(self.star_lazy, path)
-        return read_star(self.spark, path)
+        return load_and_write(self.staging, scratch_path(self.spark, "star"))
 
     @cached_property
     def view(self) -> DataFrame:
