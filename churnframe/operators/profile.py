@@ -63,21 +63,37 @@ def _long_numeric(df: DataFrame, cols) -> DataFrame:
     return df.select(stack).select("_kv.column_name", "_kv.value")
 
 
+EXACT = "decimal(38,18)"
+
+
 def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
-    """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column."""
+    """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column.
+
+    Mean and standard deviation are order-independent: the mean comes from an
+    exact decimal sum, the variance from a second pass summing the per-row
+    terms (x - mean)^2 / (n - 1) exactly (non-negative terms of the size of
+    the variance: no overflow, relative error of one rounding)."""
     cols = cols or [n for n, t in df.dtypes if _is_numeric(t)]
     long = _long_numeric(df, cols).where(F.col("value").isNotNull())
     basic = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
+        F.count(F.lit(1)).alias("count"),
+        F.sum(F.col("value").cast(EXACT)).alias("_sum"),
+        F.min("value").alias("min"), F.max("value").alias("max")) \
+        .withColumn("mean", F.col("_sum").cast("double") / F.col("count").cast("double"))
+    # one row per profiled column: a proven bound for the broadcast
+    centred = long.join(F.broadcast(basic.select("column_name", "mean", "count")), "column_name")
+    dev = F.col("value") - F.col("mean")
+    var = centred.groupBy("column_name").agg(
+        F.sum((dev * dev / (F.col("count") - 1).cast("double")).cast(EXACT)).alias("_var"))
     q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column_name"])
     qw = q.groupBy("column_name").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q25"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("q50"),
         F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q75"))
-    return basic.join(qw, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    return (basic.join(var, "column_name", "left").join(qw, "column_name", "left")
+            .select("column_name", "count", "mean",
+                    F.when(F.col("count") > 1, F.sqrt(F.col("_var").cast("double")))
+                    .alias("std"), "min", "q25", "q50", "q75", "max"))
 
 
 def describe_categorical(df: DataFrame, cols=None) -> DataFrame:

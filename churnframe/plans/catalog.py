@@ -378,14 +378,19 @@ def dataset_shape(spark, sf_dir) -> DataFrame:
     return P.dataset_shape(datasets(spark, sf_dir).view)
 
 
-@query("describe_numeric", W(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, COUNT({c}) AS count, AVG(CAST({c} AS DOUBLE)) AS mean, "
-    f"STDDEV_SAMP(CAST({c} AS DOUBLE)) AS std, MIN(CAST({c} AS DOUBLE)) AS min, "
-    f"(SELECT q0 FROM ({O.quantile_sql('vw', c, [0.25, 0.5, 0.75])}) z) AS q25, "
-    f"(SELECT q1 FROM ({O.quantile_sql('vw', c, [0.25, 0.5, 0.75])}) z) AS q50, "
-    f"(SELECT q2 FROM ({O.quantile_sql('vw', c, [0.25, 0.5, 0.75])}) z) AS q75, "
-    f"MAX(CAST({c} AS DOUBLE)) AS max FROM vw"
-    for c in _VIEW_NUMERIC)))
+def _describe_sql(c):
+    x = f"CAST({c} AS DOUBLE)"
+    quant = O.quantile_sql("vw", c, [0.25, 0.5, 0.75])
+    return (f"SELECT '{c}' AS column_name, b.n AS count, b.mean, "
+            f"CASE WHEN b.n > 1 THEN sqrt(CAST((SELECT SUM(CAST(({x} - b.mean) * ({x} - b.mean) / "
+            f"CAST(b.n - 1 AS DOUBLE) AS DECIMAL(38,18))) FROM vw WHERE {c} IS NOT NULL) AS DOUBLE)) "
+            f"END AS std, b.mn AS min, z.q0 AS q25, z.q1 AS q50, z.q2 AS q75, b.mx AS max "
+            f"FROM (SELECT COUNT({c}) AS n, CAST(SUM(CAST({x} AS DECIMAL(38,18))) AS DOUBLE) / "
+            f"CAST(COUNT({c}) AS DOUBLE) AS mean, MIN({x}) AS mn, MAX({x}) AS mx FROM vw) b, "
+            f"({quant}) z")
+
+
+@query("describe_numeric", W(" UNION ALL ".join(_describe_sql(c) for c in _VIEW_NUMERIC)))
 def describe_numeric(spark, sf_dir) -> DataFrame:
     return P.describe_numeric(datasets(spark, sf_dir).view, _VIEW_NUMERIC)
 
@@ -869,3 +874,18 @@ def view_preview(spark, sf_dir) -> DataFrame:
     v = datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
                                           keep_snapshot_id=True)
     return v.orderBy("snapshot_id").limit(5)
+
+
+@query("stream_log_summary", "WITH " + LOG + "\nSELECT churn_flag, "
+       "CAST(SUM(CAST(churn_probability AS DECIMAL(38,18))) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) "
+       "AS avg_probability, COUNT(*) AS count FROM plog2 GROUP BY churn_flag")
+def stream_log_summary(spark, sf_dir) -> DataFrame:
+    """The events-derived prediction log landed as 4 files and summarised by a
+    stateful streaming aggregation (one micro-batch per file)."""
+    from churnframe.streaming.monitoring import start_summary
+    base = scratch_path(spark, "log_stream")
+    log = datasets(spark, sf_dir).prediction_log
+    log.repartitionByRange(4, "id").write.parquet(f"{base}/log")
+    q = start_summary(spark, f"{base}/log", f"{base}/summary", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/summary")

@@ -10,7 +10,7 @@ import pytest
 from __spark_entry__ import oracle_sql, queries
 from churnframe.sources.tables import TABLES
 
-FAST = ["raw_scan", "staging_clean", "dim_customer_first_wins", "dim_contract", "dim_services",
+FAST = ["stream_log_summary", "raw_scan", "staging_clean", "dim_customer_first_wins", "dim_contract", "dim_services",
         "fact_snapshot", "training_view", "load_report", "dq_orphans", "surrogate_keys",
         "dim_customer_merge", "coerce_numeric", "coerce_int_default", "tenure_band_variants",
         "churn_by_contract", "churn_by_tenure_band", "revenue_at_risk", "churn_by_addon_count",
@@ -24,7 +24,7 @@ FAST = ["raw_scan", "staging_clean", "dim_customer_first_wins", "dim_contract",
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else float(f"{v:.9g}")
+        return "nan" if math.isnan(v) else v
     return v
 
 
