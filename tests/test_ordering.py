@@ -45,3 +45,32 @@ def test_mode_tie_smallest(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 2.0), ("b", 3.0), ("a", 10.0)], "c string, x double")
     assert most_frequent(df, ["c"]).first().fill_value == "a"
     assert medians(df, ["x"]).first().median == 2.5
+
+
+def test_many_ranges_and_empty_ranges(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"g": rng.integers(0, 4, 120), "v": rng.integers(0, 30, 120).astype(float)})
+    pdf = pdf.drop_duplicates(["g", "v"]).assign(w=1)
+    got = cumulative_sums(spark.createDataFrame(pdf), "v", ["w"], ["g"], n_buckets=64).toPandas()
+    exp = pdf.sort_values("v").assign(c=lambda d: d.groupby("g")["w"].cumsum())
+    m = got.merge(exp, on=["g", "v", "w"])
+    assert len(m) == len(pdf) and (m["cum_w"] == m["c"]).all()
+    q = exact_quantiles(spark.createDataFrame(pdf), "v", [0.0, 0.3, 1.0], ["g"], n_buckets=64)
+    for _, r in q.toPandas().iterrows():
+        assert r.value == np.quantile(pdf.loc[pdf.g == r.g, "v"], r.p)
+
+
+def test_last_n_large_window_path(spark, monkeypatch):
+    from churnframe.operators import monitoring as M
+    df = spark.createDataFrame([(i, float(i % 7) / 7, i % 2) for i in range(500)],
+                               "id long, churn_probability double, churn_flag int")
+    small = {r.churn_flag: (r["count"], r.avg_probability)
+             for r in M.monitoring_summary(df, 123).collect()}
+    monkeypatch.setattr(M, "TOP_K_MAX", 10)
+    large = {r.churn_flag: (r["count"], r.avg_probability)
+             for r in M.monitoring_summary(df, 123).collect()}
+    assert small.keys() == large.keys()
+    for k in small:
+        assert small[k][0] == large[k][0] and abs(small[k][1] - large[k][1]) < 1e-12
+    ids = sorted(r.id for r in M.last_n(df, 123).collect())
+    assert ids == list(range(377, 500))
