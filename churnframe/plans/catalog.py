@@ -18,7 +18,7 @@ from churnframe.operators import analytics as A
 from churnframe.operators import star as S
 from churnframe.plans import oracle as O
 from churnframe.plans.datasets import datasets
-from churnframe.schema import CONTRACT_COLS, CUSTOMER_ATTRS, SERVICE_COLS, VIEW_COLUMNS
+from churnframe.schema import SERVICE_COLS
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -327,8 +327,6 @@ def target_counts(spark, sf_dir) -> DataFrame:
     return A.target_counts(datasets(spark, sf_dir).view_with(()))
 
 
-__all__ = ["QUERIES", "ORACLE", "VIEW_COLUMNS", "CONTRACT_COLS", "CUSTOMER_ATTRS",
-           "avg_monthly_spend"]
 
 
 # ---------------------------------------------------------------- D: profiling

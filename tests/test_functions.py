@@ -2,8 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
-
 from churnframe.functions import (addon_count, avg_monthly_spend, churn_flag, clean_total_charges,
                                   int_default, safe_double, tenure_band_cut, tenure_band_sql,
                                   threshold_for_mode)

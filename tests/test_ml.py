@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from churnframe.ml import pipeline as MP
-from churnframe.ml.explain import explain, forest_tables
+from churnframe.ml.explain import explain
 from churnframe.plans.datasets import datasets
 from churnframe.schema import REQUEST_SCHEMA
 

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from churnframe.operators.ordering import cumulative_sums, dense_index, exact_quantiles
 

@@ -1,7 +1,6 @@
 """Load semantics: contract, first-wins, merges, dropped rows, rerun no-op."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from churnframe.operators import star as S
 from churnframe.schema import REQUIRED_HEADERS
