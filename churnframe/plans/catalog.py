@@ -8,17 +8,30 @@ matching DuckDB SQL where one can be written; output column names agree.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnframe.functions.bands import tenure_band_cut
 from churnframe.functions.coerce import clean_total_charges, int_default, safe_double
-from churnframe.functions.features import addon_count, avg_monthly_spend
+from churnframe.functions.features import addon_count, avg_monthly_spend, engineer
+from churnframe.functions.policy import churn_flag, threshold_for_mode
+from churnframe.ml import pipeline as MP
+from churnframe.ml.explain import explain
+from churnframe.ml.transformers import MedianImputer, ModeImputer
 from churnframe.operators import analytics as A
+from churnframe.operators import evaluate as E
+from churnframe.operators import monitoring as M
+from churnframe.operators import profile as P
+from churnframe.operators import split as SP
 from churnframe.operators import star as S
+from churnframe.operators.validate import validate_requests
 from churnframe.plans import oracle as O
 from churnframe.plans.datasets import datasets
-from churnframe.schema import SERVICE_COLS
+from churnframe.schema import (AGGRESSIVE_THRESHOLD, DEFAULT_CATEGORICAL_BASE, DEFAULT_THRESHOLD,
+                               FEATURE_COLUMNS, NUMERIC_FEATURES, REQUEST_SCHEMA, SERVICE_COLS)
+from churnframe.session import scratch_path
+from churnframe.streaming import scoring as ST
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -330,10 +343,6 @@ def target_counts(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- D: profiling
-from churnframe.functions.features import engineer  # noqa: E402
-from churnframe.operators import profile as P  # noqa: E402
-from churnframe.schema import (DEFAULT_CATEGORICAL_BASE, FEATURE_COLUMNS,  # noqa: E402
-                               NUMERIC_FEATURES)
 
 _VIEW_NUMERIC = ["senior_citizen", "tenure_months", "monthly_charges", "total_charges", "cltv",
                  "churn_target"]
@@ -471,12 +480,6 @@ def impute_mode_fit(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- evaluation
-from churnframe.operators import evaluate as E  # noqa: E402
-from churnframe.operators import monitoring as M  # noqa: E402
-from churnframe.operators import split as SP  # noqa: E402
-from churnframe.operators.validate import validate_requests  # noqa: E402
-from churnframe.functions.policy import churn_flag, threshold_for_mode  # noqa: E402
-from churnframe.schema import AGGRESSIVE_THRESHOLD, DEFAULT_THRESHOLD  # noqa: E402
 
 DT, AT = DEFAULT_THRESHOLD, AGGRESSIVE_THRESHOLD
 SCORED = ("scored AS (SELECT snapshot_id, churn_target AS label, "
@@ -665,10 +668,6 @@ def validate_requests_q(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ML
-from churnframe.ml import pipeline as MP  # noqa: E402
-from churnframe.ml.explain import explain  # noqa: E402
-from churnframe.ml.transformers import MedianImputer, ModeImputer  # noqa: E402
-from pyspark.ml.feature import StringIndexer  # noqa: E402
 
 _CATS = MP.categorical_columns("with_senior")
 
@@ -830,9 +829,6 @@ def shap_local(spark, sf_dir) -> DataFrame:
 
 
 # ---------------------------------------------------------------- streaming
-from churnframe.schema import REQUEST_SCHEMA  # noqa: E402
-from churnframe.session import scratch_path  # noqa: E402
-from churnframe.streaming import scoring as ST  # noqa: E402
 
 
 def _stream_run(spark, sf_dir) -> dict:
