@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnframe.operators.ordering import exact_quantiles
+from churnframe.session import materialize
 
 SQL_TYPE = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
             "float": "FLOAT", "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP",
@@ -74,7 +75,8 @@ def describe_numeric(df: DataFrame, cols=None) -> DataFrame:
     terms (x - mean)^2 / (n - 1) exactly (non-negative terms of the size of
     the variance: no overflow, relative error of one rounding)."""
     cols = cols or [n for n, t in df.dtypes if _is_numeric(t)]
-    long = _long_numeric(df, cols).where(F.col("value").isNotNull())
+    # read by three passes (moments, deviations, quantiles): written once
+    long = materialize(_long_numeric(df, cols).where(F.col("value").isNotNull()), "long_numeric")
     basic = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"),
         F.sum(F.col("value").cast(EXACT)).alias("_sum"),
@@ -134,8 +136,10 @@ def medians(df: DataFrame, cols) -> DataFrame:
 def box_stats(df: DataFrame, value: str, group: str) -> DataFrame:
     """Box-plot table per group: quartiles (linear), IQR fences, whiskers at
     the most extreme values inside the fences, outlier count."""
-    data = df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("v")) \
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
+    # read twice (quartiles, then fences): two narrow columns written once
+    data = materialize(
+        df.select(F.col(group).alias("grp"), F.col(value).cast("double").alias("v"))
+        .where(F.col("v").isNotNull() & ~F.isnan("v")), "box_input")
     q = exact_quantiles(data, "v", [0.25, 0.5, 0.75], ["grp"])
     qs = q.groupBy("grp").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
