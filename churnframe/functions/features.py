@@ -42,16 +42,12 @@ def engineer(df, addon_columns=ADDON_COLUMNS):
     from churnframe.functions.bands import tenure_band_cut
     from churnframe.functions.coerce import safe_double
 
-    from churnframe.functions.coerce import finite_or_null
-
     types = dict(df.dtypes)
     out = df
     for c in ("tenure_months", "total_charges", "monthly_charges", "cltv"):
-        if c in types:
-            # text is parsed strictly; numbers only lose NaN/inf
-            expr = safe_double(c) if types[c] == "string" else \
-                finite_or_null(F.col(c).cast("double"))
-            out = out.withColumn(c, expr)
+        if types.get(c) == "string":
+            # text is parsed strictly; numeric columns keep their type
+            out = out.withColumn(c, safe_double(c))
     return out.withColumns({
         "avg_monthly_spend": avg_monthly_spend("tenure_months", "total_charges"),
         "tenure_band": tenure_band_cut("tenure_months"),

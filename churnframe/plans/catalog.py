@@ -412,7 +412,8 @@ def _mode_sql(cols, src="vw", value_alias="top", count_alias="freq", with_summar
     top = f"SELECT column_name, value AS {value_alias}, n AS {count_alias} FROM ({ranked}) x WHERE r = 1"
     if not with_summary:
         return top
-    summ = (f"SELECT column_name, SUM(n) AS count, COUNT(*) AS \"unique\" FROM ({counts}) c "
+    summ = (f"SELECT column_name, CAST(SUM(n) AS BIGINT) AS count, COUNT(*) AS \"unique\" "
+            f"FROM ({counts}) c "
             "GROUP BY column_name")
     return (f"SELECT s.column_name, s.count, s.\"unique\", t.{value_alias}, t.{count_alias} "
             f"FROM ({summ}) s JOIN ({top}) t ON s.column_name = t.column_name")
@@ -436,8 +437,8 @@ def _box_sql(value, src):
             f"THEN s.{value} END) AS whisker_low, "
             f"MAX(CASE WHEN s.{value} BETWEEN b.lower_fence AND b.upper_fence "
             f"THEN s.{value} END) AS whisker_high, "
-            f"SUM(CASE WHEN s.{value} BETWEEN b.lower_fence AND b.upper_fence THEN 0 ELSE 1 END)"
-            f" AS n_outliers FROM ({f}) b JOIN {src} s ON s.churn_target = b.churn_target "
+            f"CAST(SUM(CASE WHEN s.{value} BETWEEN b.lower_fence AND b.upper_fence THEN 0 ELSE 1 "
+            f"END) AS BIGINT) AS n_outliers FROM ({f}) b JOIN {src} s ON s.churn_target = b.churn_target "
             f"AND s.{value} IS NOT NULL GROUP BY ALL")
 
 
@@ -489,7 +490,8 @@ PR = (SCORED + ",\ng AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg
       "c AS (SELECT score, SUM(pos) OVER (ORDER BY score DESC) AS tp, "
       "SUM(neg) OVER (ORDER BY score DESC) AS fp FROM g),\n"
       "pr AS (SELECT score AS threshold, tp / (tp + fp) AS precision, "
-      "tp / (SELECT SUM(label) FROM scored) AS recall, tp, fp FROM c)")
+      "tp / (SELECT SUM(label) FROM scored) AS recall, CAST(tp AS BIGINT) AS tp, "
+      "CAST(fp AS BIGINT) AS fp FROM c)")
 
 
 def _scored(spark, sf_dir) -> DataFrame:
@@ -536,7 +538,8 @@ def best_threshold_085(spark, sf_dir) -> DataFrame:
 
 @query("roc_auc", W(
     "SELECT CAST(SUM(pos * (2 * below + neg)) AS DOUBLE) / (2.0 * CAST(SUM(pos) AS DOUBLE) * "
-    "CAST(SUM(neg) AS DOUBLE)) AS auc, SUM(pos) AS n_pos, SUM(neg) AS n_neg FROM "
+    "CAST(SUM(neg) AS DOUBLE)) AS auc, CAST(SUM(pos) AS BIGINT) AS n_pos, "
+    "CAST(SUM(neg) AS BIGINT) AS n_neg FROM "
     "(SELECT pos, neg, COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING "
     "AND 1 PRECEDING), 0) AS below FROM g) t",
     SCORED + ",\ng AS (SELECT score, SUM(label) AS pos, SUM(1 - label) AS neg "
