@@ -53,3 +53,16 @@ def test_every_query_has_oracle_or_is_model_based():
     no_oracle = set(queries()) - set(oracle_sql())
     assert no_oracle <= {"score_batch", "model_comparison", "shap_global", "shap_dependence",
                          "shap_local", "stream_scoring_log", "stream_monitoring_summary"}
+
+
+SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", ["describe_categorical", "box_stats_avg_spend", "pr_curve",
+                                  "roc_auc", "engineered_features", "column_info",
+                                  "stream_log_summary", "one_hot_long"])
+def test_column_types_match_oracle(spark, sf, duck, name):
+    got = dict(queries()[name](spark, sf).dtypes)
+    exp = {r[0]: r[1] for r in duck.execute("DESCRIBE " + oracle_sql()[name]).fetchall()}
+    assert {c: SQL_TYPE.get(t, t) for c, t in got.items()} == exp
