@@ -12,7 +12,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from churnframe.operators.star import Star, load_and_write, load_star, stage
+from churnframe.operators.star import Star, load_and_write, stage
 from churnframe.operators.view import training_view
 from churnframe.session import materialize, scratch_path
 from churnframe.sources import fixtures
@@ -42,10 +42,6 @@ class Datasets:
         extract three times."""
         return materialize(stage(self.raw), "staging")
 
-    @cached_property
-    def star_lazy(self) -> Star:
-        return load_star(self.staging)
-
     @cached_property
     def star(self) -> Star:
         """The loaded star schema, written once to the shared folder."""

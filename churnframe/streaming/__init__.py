@@ -1 +1 @@
-from churnframe.streaming.scoring import scoring_stream, start, with_stable_ids  # noqa: F401
+from churnframe.streaming.scoring import stamp_requests, start, with_stable_ids  # noqa: F401
