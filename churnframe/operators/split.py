@@ -29,19 +29,30 @@ def stratified_split(df: DataFrame, label: str, row_id: str, test_size: float =
                      seed: int = 42) -> DataFrame:
     """Adds ``split`` ('train'/'test').  Inside each class rows are ordered by a
     seeded 53-bit hash of the row id (ties by row id) and the first quota rows
-    train.  Ranks come from ``cumulative_sums`` -- no class is gathered into a
-    single task -- and depend only on the data, so reruns agree."""
+    train.
+
+    Only a narrow (label, hash, row id) table is ranked -- in parallel by
+    ``cumulative_sums``, no class gathered into one task -- to find each
+    class's cut-off (hash, row id); the split is then a per-row predicate on
+    the original rows (one cut-off per class reaches the driver), so wide rows
+    are neither shuffled nor copied.  Deterministic for a given seed."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
     quota = stratified_quotas(counts, test_size)
     h = F.shiftright(F.xxhash64(F.lit(seed), F.col(row_id)), 11)   # fits a double exactly
-    keyed = df.withColumn("_h", h.cast("double")).withColumn("_one", F.lit(1).cast("long"))
-    ranked = cumulative_sums(keyed, "_h", ["_one"], [label], prefix="_rank",
+    narrow = df.select(label, row_id, h.alias("_h")) \
+        .withColumn("_hd", F.col("_h").cast("double")).withColumn("_one", F.lit(1).cast("long"))
+    ranked = cumulative_sums(narrow, "_hd", ["_one"], [label], prefix="_rank",
                              tie_cols=[row_id])
-    q = F.lit(None).cast("long")
+    wanted = F.lit(False)
     for k, v in quota.items():
-        q = F.when(F.col(label) == F.lit(k), F.lit(v)).otherwise(q)
-    return ranked.withColumn("split", F.when(F.col("_rank_one") <= q, "train").otherwise("test")) \
-        .drop("_h", "_one", "_rank_one")
+        wanted = wanted | ((F.col(label) == F.lit(k)) & (F.col("_rank_one") == F.lit(v)))
+    cuts = {r[label]: (r["_h"], r[row_id]) for r in ranked.where(wanted).collect()}
+    train = F.lit(False)
+    for k, (hk, rk) in cuts.items():
+        below = (F.col("_h") < F.lit(hk)) | ((F.col("_h") == F.lit(hk)) & (F.col(row_id) <= F.lit(rk)))
+        train = train | ((F.col(label) == F.lit(k)) & below)
+    return df.withColumn("_h", h).withColumn(
+        "split", F.when(train, "train").otherwise("test")).drop("_h")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
