@@ -45,3 +45,16 @@ def test_append_log_creates_and_appends(spark, sf):
     assert back.count() == 2 * log.count()
     s = {r.churn_flag: r["count"] for r in monitoring_summary(back, 1000).collect()}
     assert sum(s.values()) == 1000
+
+
+def test_stamp_requests_keeps_client_ids(spark):
+    from churnframe.session import materialize
+    from churnframe.streaming.scoring import stamp_requests
+    df = spark.createDataFrame([("a1", 1), (None, 2), (None, 3)], "request_id string, x int")
+    stamped = materialize(stamp_requests(df), "stamped")    # drawn once, then reused
+    rows = {r.x: r for r in stamped.collect()}
+    assert rows[1].request_id == "a1"
+    assert rows[2].request_id and rows[3].request_id and rows[2].request_id != rows[3].request_id
+    assert all(r.ts_utc is not None for r in rows.values())
+    again = {r.x: r.request_id for r in stamped.collect()}
+    assert again == {k: r.request_id for k, r in rows.items()}
