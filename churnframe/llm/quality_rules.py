@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from churnframe.llm.common import fresh, materialize_as
+from churnframe.llm.common import fresh, materialize_as, maybe_broadcast
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -161,7 +161,8 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang",
     names = {c: f"c{i}" for i, c in enumerate(need)}  # no clash with the measures
     plain = df.select(F.col(text).alias("text_"), *[F.col(c).alias(names[c]) for c in need])
     measured = materialize_as(measures(plain, "text_").drop("text_"), "quality-measures")
-    fences = thresholds(sketch(measured, names[lang], names[source]))
+    fences = maybe_broadcast(materialize_as(
+        thresholds(sketch(measured, names[lang], names[source])), "quality-fences"))
     values = rule_values()
     ok = F.lit(True)
     for r in RULES:
@@ -172,7 +173,8 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang",
     keyed = (measured
              .withColumn("g_lang", F.coalesce(F.col(names[lang]).cast("string"), F.lit("")))
              .withColumn("g_source", F.coalesce(F.col(names[source]).cast("string"), F.lit(""))))
-    # one row of fences per group; broadcast only if the planner measures it small
+    # one row of fences per group, broadcast if counted small; else shuffled,
+    # where AQE splits a hot group
     joined = keyed.join(fences, ["g_lang", "g_source"], "left")
     return joined.select(*[F.col(names[c]).alias(c) for c in carry], *MEASURES,
                          base_failed().alias("base_failed"),

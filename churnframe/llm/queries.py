@@ -11,13 +11,44 @@ from churnframe.llm import oracle
 from churnframe.llm.common import table
 
 
+def op2_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.bpe import encode_decode, sha256
+    coded = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return coded.select("doc_id", F.col("bpe_n_tokens").alias("n_tokens"),
+                        sha256("bpe_ids").alias("ids_sha256"),
+                        sha256("bpe_decoded").alias("decoded_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnframe.llm.quality_rules import judge
     return judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.bigru import predict, train
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    fitted = train(docs.filter(~held).select("doc_id", "text", "lang"))
+    out = predict(docs.select("doc_id", held.alias("held_out"), "text"), fitted)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.ordinal import score, train
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # grades: 0 toxic, 1 low quality, 2 good
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    model = train(docs, table(spark, sf_dir, "labels"), grade)
+    out = score(docs, model)
+    return out.select("doc_id", "expected_grade", F.get("tails", F.lit(0)).alias("p_not_toxic"),
+                      F.get("tails", F.lit(1)).alias("p_good"), "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe_forced_boundaries": op2_bpe_forced_boundaries,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
+    "op10_ordinal_quality": op10_ordinal_quality,
 }
 
 ORACLE: dict[str, str] = {
