@@ -19,6 +19,11 @@ def op2_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
                         sha256("bpe_decoded").alias("decoded_sha256"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.ngram_join import with_components
+    return with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnframe.llm.quality_rules import judge
     return judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -46,6 +51,7 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_forced_boundaries": op2_bpe_forced_boundaries,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_ordinal_quality": op10_ordinal_quality,
