@@ -19,6 +19,22 @@ def op2_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
                         sha256("bpe_decoded").alias("decoded_sha256"))
 
 
+def op4_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm import pii
+    out = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *[pii.count_kind(F.col("base_spans"), k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+                      F.sha2(pii.span_text(F.col("base_spans")), 256).alias("base_sha256"),
+                      pii.span_text(F.col("all_spans")).alias("spans"))
+
+
+def op5_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm import secrets_scan as ss
+    out = ss.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *[ss.count_kind(F.col("base_spans"), k).alias(f"n_{k}") for k in ss.BASE_KINDS],
+                      F.sha2(ss.span_text(F.col("base_spans")), 256).alias("base_sha256"),
+                      ss.span_text(F.col("all_spans")).alias("spans"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnframe.llm.ngram_join import with_components
     return with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -51,6 +67,8 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_forced_boundaries": op2_bpe_forced_boundaries,
+    "op4_pii_weak_supervision": op4_pii_weak_supervision,
+    "op5_secret_entropy": op5_secret_entropy,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
