@@ -40,6 +40,15 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.line_dedup import line_verdicts
+    lines = line_verdicts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone = F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line"))))
+    return lines.groupBy(F.col("doc").alias("doc_id")).agg(
+        F.count_if(F.col("n") > 0).alias("n_lines"), F.count_if("removed").alias("n_removed"),
+        F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnframe.llm.quality_rules import judge
     return judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
@@ -70,11 +79,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii_weak_supervision": op4_pii_weak_supervision,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_ordinal_quality": op10_ordinal_quality,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_line_dedup": oracle.OP7,
     "op8_quality_rules": oracle.OP8,
 }
