@@ -22,9 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from churnframe.llm.common import fresh
+from churnframe.llm.common import bounded_sample, fresh
 from churnframe.llm.wordhash import text_buffers
 
 WINDOW = 64
@@ -211,11 +210,9 @@ def train(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     pieces = F.array(*[
         F.substring(F.col(text), (F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(j)), span) + 1).cast("int"),
                     F.lit(WINDOW)) for j in range(WINDOWS_PER_DOC)])
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "pieces"))
-    sample = (df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-                .select(F.col(lang).alias("lang"), h.alias("h"), pieces.alias("pieces"))
-                .withColumn("rank", rank).filter(F.col("rank") <= per_lang)
-                .select("lang", "h", "pieces").collect())
+    learn = (df.filter(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+               .select(F.col(lang).alias("lang"), h.alias("h"), pieces.alias("pieces")))
+    sample = bounded_sample(learn, "lang", "h", per_lang).collect()
     if not sample:
         return None
     sample.sort(key=lambda r: (r["lang"], r["h"], r["pieces"]))

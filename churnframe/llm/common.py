@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from churnframe.session import ensure_checkpoint_dir, materialize, ship_package
 
-#: words are maximal runs outside these characters (fixed by the contracts)
-WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\f\r"
-
 #: a relation is broadcast only when it has been written and counted, and has
 #: at most this many rows; beyond it the join shuffles
 BROADCAST_ROWS = 200_000
@@ -39,9 +36,22 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def words(text: Column) -> Column:
-    """Array of the words of a text; none for null or blank."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def bounded_sample(df: DataFrame, group: str, rank_by: str, per_group: int) -> DataFrame:
+    """At most ``per_group`` rows of each value of ``group``, those with the
+    smallest ``rank_by`` (a 64-bit hash).  The rows are first thinned by a
+    threshold on the hash that leaves about three times as many as wanted, so
+    the ranking sorts a bounded number of rows however large the group is.
+    ``group`` has few values (languages, grades); their counts are collected."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()
+    keep = F.lit(False)
+    for r in counts:
+        share = min(1.0, 3.0 * per_group / r["n"])
+        top = (1 << 63) - 1 if share == 1.0 else int((2 * share - 1) * ((1 << 63) - 1))
+        keep = keep | (F.col(group).eqNullSafe(F.lit(r[group])) & (F.col(rank_by) <= F.lit(top)))
+    rank, = fresh(df, ["rank"])
+    order = Window.partitionBy(group).orderBy(rank_by, *[c for c in df.columns if c not in (group, rank_by)])
+    return (df.filter(keep).withColumn(rank, F.row_number().over(order))
+              .filter(F.col(rank) <= per_group).drop(rank))
 
 
 def fresh(df: DataFrame, names: Iterable[str]) -> list[str]:

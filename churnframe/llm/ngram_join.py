@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from churnframe.llm.common import materialize_as, maybe_broadcast
 from churnframe.llm.components import connected_components
-from churnframe.llm.wordhash import mix, rows_shingles
+from churnframe.llm.wordhash import mix, rows_shingles, slices
 
 SHINGLE = 5
 #: similarity as a fraction, 80 / 100
@@ -66,10 +66,9 @@ def _sets(docs: DataFrame, k: int, prefix_only: bool) -> DataFrame:
     extended prefix or the whole set, ascending."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at, texts in slices(b.column(1)):
                 n, f1, f2, toks = [], [], [], []
-                for s in rows_shingles(part.column(1), k):
+                for s in rows_shingles(texts, k):
                     size = len(s)
                     n.append(size)
                     f1.append(np.bitwise_xor.reduce(mix(s)) if size else np.uint64(0))
@@ -80,7 +79,7 @@ def _sets(docs: DataFrame, k: int, prefix_only: bool) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum([len(t) for t in toks])]).astype(np.int32)
                 flat = np.concatenate(toks) if toks else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n, pa.int64()),
+                    [b.column(0).slice(at, len(texts)), pa.array(n, pa.int64()),
                      pa.array(np.array(f1, np.uint64).view(np.int64)),
                      pa.array(np.array(f2, np.uint64).view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],

@@ -23,10 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from churnframe.llm.common import fresh
-from churnframe.llm.wordhash import _LOWER, hash_spans, mix, row_word_bounds, text_buffers
+from churnframe.llm.common import bounded_sample, fresh
+from churnframe.llm.wordhash import _LOWER, hash_spans, mix, row_word_bounds, slices, text_buffers
 
 BITS = 20
 PER_GRADE = 3000
@@ -57,6 +56,14 @@ def _quantise(share: np.ndarray) -> np.ndarray:
 
 def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of a batch: (row, slot) sorted by row, without repeats."""
+    parts = [(at, *_features(part)) for at, part in slices(column)]
+    if not parts:
+        return np.zeros(0, np.intp), np.zeros(0, np.int32)
+    return (np.concatenate([rows + at for at, rows, _ in parts]),
+            np.concatenate([slots for _, _, slots in parts]))
+
+
+def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = text_buffers(column)
     n = len(offsets) - 1
     word = _WORDLIKE[raw]
@@ -156,11 +163,9 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, text: str = "text",
     """Fit on a bounded sample of ``labels`` (columns ``key`` and those of
     ``grade``, an integer from 0 up) joined with the documents' texts."""
     h = F.xxhash64(F.col(key).cast("string"), F.lit(13))
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "id"))
-    picked = (labels.select(F.col(key).alias("id"), grade.cast("int").alias("y"), h.alias("h"))
-                    .filter(F.col("id").isNotNull() & F.col("y").isNotNull() & (F.col("y") >= 0))
-                    .withColumn("rank", rank).filter(F.col("rank") <= per_grade)
-                    .select("id", "y"))
+    rated = (labels.select(F.col(key).alias("id"), grade.cast("int").alias("y"), h.alias("h"))
+                   .filter(F.col("id").isNotNull() & F.col("y").isNotNull() & (F.col("y") >= 0)))
+    picked = bounded_sample(rated, "y", "h", per_grade).select("id", "y")
     # at most per_grade rows of each grade: bounded, so the texts do not move
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     hashed = F.arrow_udf(_slots, "array<int>")
@@ -197,8 +202,10 @@ def score(df: DataFrame, model: Ordinal | None, text: str = "text", keep_grade:
         used, values, theta = sent.value
         w = np.zeros(1 << BITS, np.float32)
         w[used] = values
-        rows, slots = features(texts)
-        s = np.bincount(rows, w[slots], minlength=len(texts))
+        s = np.zeros(len(texts))
+        for at, part in slices(texts):
+            rows, slots = _features(part)
+            s[at:at + len(part)] = np.bincount(rows, w[slots], minlength=len(part))
         tails = Ordinal(w, theta).tails(s)
         offsets = np.arange(0, tails.size + 1, tails.shape[1], dtype=np.int32)
         return pa.StructArray.from_arrays(

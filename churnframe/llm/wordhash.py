@@ -67,6 +67,18 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def slices(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, rows): consecutive parts of at most ``limit`` bytes of text,
+    or one row, so that working arrays stay small whatever the batch."""
+    _, offsets = text_buffers(column)
+    at = 0
+    while at < len(column):
+        stop = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
+        stop = min(max(stop, at + 1), len(column))
+        yield at, column.slice(at, stop - at)
+        at = stop
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of every word; a row's end also ends a word."""
     if not len(raw):
