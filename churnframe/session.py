@@ -98,7 +98,22 @@ def materialize(df, name: str = "table"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*frames) -> None:
+    """Delete the files behind frames returned by ``materialize`` that nothing
+    will read again; other frames are left alone."""
+    for df in frames:
+        path = getattr(df, "_scratch_path", None)
+        if path is None:
+            continue
+        jvm, jsc = df.sparkSession._jvm, df.sparkSession._jsc
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(jsc.hadoopConfiguration()).delete(folder, True)
+        df._scratch_path = None
 
 
 _SHIPPED: set = set()
