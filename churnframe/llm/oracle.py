@@ -93,3 +93,47 @@ OP7 = line_dedup_sql("documents") + """
 SELECT doc_id, count(*) FILTER (WHERE n > 0) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed,
   coalesce(string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (WHERE removed), '') AS removed_lines
 FROM v GROUP BY doc_id"""
+
+
+def decontamination_sql(docs: str) -> str:
+    """Per document and item: best weighted Jaccard similarity of the windows
+    that line up with a common shingle."""
+    return rf"""
+WITH shingled AS (SELECT kind, id, w, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END AS sh
+      FROM (SELECT kind, id, [y FOR y IN string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') IF y <> ''] AS w
+            FROM (SELECT 'd' AS kind, doc_id AS id, text FROM {docs} UNION ALL SELECT 'b', item_id, text FROM benchmark))),
+e AS (SELECT kind, id, len(w) AS n, unnest(sh) AS s, unnest(range(len(sh))) AS at FROM shingled),
+st AS (SELECT DISTINCT d.id AS doc, b.n AS size, greatest(0, least(d.at - b.at, d.n - b.n)) AS start
+       FROM e d JOIN e b ON d.s = b.s WHERE d.kind = 'd' AND b.kind = 'b'),
+win AS (SELECT doc, size, start, CASE WHEN len(x) < 5 THEN [array_to_string(x, ' ')]
+          ELSE [array_to_string(x[i:i+4], ' ') FOR i IN range(1, len(x) - 3)] END AS sh
+        FROM (SELECT doc, size, start, s.w[start + 1:start + size] AS x
+              FROM st JOIN shingled s ON s.kind = 'd' AND s.id = st.doc)),
+wc AS (SELECT doc, size, start, s, count(*) AS c FROM (SELECT doc, size, start, unnest(sh) AS s FROM win) GROUP BY ALL),
+ic AS (SELECT id AS item, n AS size, s, count(*) AS c FROM e WHERE kind = 'b' GROUP BY ALL),
+wn AS (SELECT doc, size, start, sum(c) AS t FROM wc GROUP BY ALL), tn AS (SELECT item, size, sum(c) AS t FROM ic GROUP BY ALL),
+o AS (SELECT doc, wc.size, start, item, sum(least(wc.c, ic.c)) AS o FROM wc JOIN ic ON wc.s = ic.s AND wc.size = ic.size GROUP BY ALL),
+r AS (SELECT o.doc, o.item, o.start, o.o::DOUBLE / (wn.t + tn.t - o.o)::DOUBLE AS similarity
+      FROM o JOIN wn ON o.doc = wn.doc AND o.size = wn.size AND o.start = wn.start
+      JOIN tn ON o.item = tn.item AND o.size = tn.size
+      WHERE o.o * 100 >= (wn.t + tn.t - o.o) * 80)"""
+
+
+OP3 = decontamination_sql("documents") + """
+SELECT doc AS doc_id, item AS item_id, max(similarity) AS similarity,
+  arg_min(start, struct_pack(a := -similarity, b := start))::BIGINT AS word FROM r GROUP BY doc, item"""
+
+
+OP6 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, [y FOR y IN string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+') IF y <> ''] AS w FROM documents),
+s AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS t FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) * 100 >= 80 * (a.n + b.n - count(*))),
+reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM reach r JOIN l ON r.to_id = l.a)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id
+FROM s JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) m ON s.doc_id = m.doc_id"""

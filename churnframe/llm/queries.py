@@ -19,6 +19,12 @@ def op2_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
                         sha256("bpe_decoded").alias("decoded_sha256"))
 
 
+def op3_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.decontaminate import contaminated_documents
+    return contaminated_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                  table(spark, sf_dir, "benchmark"))
+
+
 def op4_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnframe.llm import pii
     out = pii.detect(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -69,13 +75,16 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     # grades: 0 toxic, 1 low quality, 2 good
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     model = train(docs, table(spark, sf_dir, "labels"), grade)
-    out = score(docs, model)
+    # the sample holds the grades in equal shares, the corpus mostly good text:
+    # at nine good to one other the even point lies at 0.1
+    out = score(docs, model, keep_at=0.1)
     return out.select("doc_id", "expected_grade", F.get("tails", F.lit(0)).alias("p_not_toxic"),
                       F.get("tails", F.lit(1)).alias("p_good"), "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe_forced_boundaries": op2_bpe_forced_boundaries,
+    "op3_simhash_decontamination": op3_simhash_decontamination,
     "op4_pii_weak_supervision": op4_pii_weak_supervision,
     "op5_secret_entropy": op5_secret_entropy,
     "op6_ngram_jaccard": op6_ngram_jaccard,
@@ -86,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_simhash_decontamination": oracle.OP3,
+    "op6_ngram_jaccard": oracle.OP6,
     "op7_line_dedup": oracle.OP7,
     "op8_quality_rules": oracle.OP8,
 }
