@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnframe.llm.common import materialize_as
+from churnframe.session import release
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -37,7 +38,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     e = materialize_as(edges.select("u", "v").filter("u <> v").distinct(), "cc-edges")
     mark = None
     for _ in range(max_rounds):
-        e = materialize_as(_small_star(_large_star(e)), "cc-round")
+        last, e = e, materialize_as(_small_star(_large_star(e)), "cc-round")
+        release(last)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break

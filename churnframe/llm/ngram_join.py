@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from churnframe.llm.common import materialize_as, maybe_broadcast
 from churnframe.llm.components import connected_components
 from churnframe.llm.wordhash import mix, rows_shingles, slices
+from churnframe.session import release
 
 SHINGLE = 5
 #: similarity as a fraction, 80 / 100
@@ -50,6 +51,9 @@ FREQUENT = 16
 #: earlier signatures carried with each entry to skip repeated pairs
 RUN = 4
 MIN_HASHES = 3
+#: sets are broadcast for verification only if they are counted and hold at
+#: most this many tokens (8 bytes each); beyond it the pairs are shuffled
+BROADCAST_TOKENS = 1_000_000
 #: leaders are tried until at most this many raw matches per entry are left
 RAW_PER_ENTRY = 8
 MAX_STAR_ROUNDS = 6
@@ -93,6 +97,8 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sets; ``toks`` may lack shingles that no other set has."""
     a = sets.select(F.col("node").alias("u"), F.col("n").alias("na"), F.col("toks").alias("ta"))
     b = sets.select(F.col("node").alias("v"), F.col("n").alias("nb"), F.col("toks").alias("tb"))
+    if (sets.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_TOKENS:
+        a, b = F.broadcast(a), F.broadcast(b)
     both = pairs.join(a, "u").join(b, "v")
     common = F.size(F.array_intersect("ta", "tb"))
     return both.filter((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM)
@@ -146,7 +152,7 @@ def _signatures(ranked: DataFrame) -> DataFrame:
     listed = cut.select("node", "n", "s", F.flatten(F.transform(t, sigs)).alias("sigs"))
     entry = F.transform("sigs", lambda x, i: F.struct(
         x.alias("sig"), F.slice("sigs", F.greatest(F.lit(1), i - RUN + 1), F.least(F.lit(RUN), i)).alias("prev")))
-    return listed.select("node", "n", "s", F.explode(entry).alias("e")).select("e.sig", "node", "n", "s", "e.prev")
+    return listed.select("node", "n", "s", F.explode_outer(entry).alias("e")).select("e.sig", "node", "n", "s", "e.prev")
 
 
 def _crossing(entries: DataFrame, comp: DataFrame) -> DataFrame:
@@ -206,6 +212,7 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     whole = whole.join(small, ["node", "f1"], "left_anti").dropDuplicates(["node", "f1", "f2"])
     sets = materialize_as(whole, "ngram-sets")
     ranked = materialize_as(_by_rarity(sets), "ngram-ranked")
+    release(sets)
 
     edges = materialize_as(_links(_min_hash_stars(ranked), ranked), "ngram-links")
     entries = materialize_as(_signatures(ranked), "ngram-signatures")
@@ -220,9 +227,13 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
         if new.isEmpty():
             break
         edges = edges.union(new)
+        old = comp, cross
         comp = _label(ranked, edges)
-        cross = materialize_as(_crossing(entries, comp), "ngram-cross")
-    last = _links(materialize_as(_cross_pairs(cross), "ngram-pairs"), ranked)
+        cross = materialize_as(_crossing(old[1].drop("comp"), comp), "ngram-cross")
+        release(*old)
+    release(entries)
+    last = materialize_as(_links(_cross_pairs(cross), ranked), "ngram-links")
+    release(cross)
     same = copies.select(F.col("node").alias("u"), F.col("rep").alias("v"))
     # a document with several rows has several sets: its copies tie them
     return prefixes.drop("toks"), connected_components(edges.union(last).union(same))
