@@ -11,6 +11,13 @@ from churnframe.llm import oracle
 from churnframe.llm.common import table
 
 
+def op1_html_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.html_template import extract
+    out = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col("main_text").alias("text"),
+                      F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op2_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnframe.llm.bpe import encode_decode, sha256
     coded = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -83,6 +90,7 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_template": op1_html_template,
     "op2_bpe_forced_boundaries": op2_bpe_forced_boundaries,
     "op3_simhash_decontamination": op3_simhash_decontamination,
     "op4_pii_weak_supervision": op4_pii_weak_supervision,
