@@ -251,7 +251,13 @@ def keep_one_per_group(docs: DataFrame, text: str = "text", key: str = "doc_id",
     """Rows of ``docs`` without those that have a smaller document in their
     component; of rows that repeat a document one stays.  Rows with a null key
     stay."""
-    _, comp = similar_documents(docs, text, key, k)
+    sets, comp = similar_documents(docs, text, key, k)
     drop = materialize_as(comp.filter("node <> component").select(F.col("node").alias(key)), "ngram-drop")
     kept = docs.join(maybe_broadcast(drop), key, "left_anti").select(*docs.columns)
-    return kept
+    twice = materialize_as(sets.filter("node IS NOT NULL").groupBy(F.col("node").alias(key)).count()
+                           .filter("count > 1").select(key), "ngram-repeated")
+    if twice.isEmpty():
+        return kept
+    twice = maybe_broadcast(twice)  # only rows that repeat an id move
+    once = kept.join(twice, key, "left_anti").select(*docs.columns)
+    return once.union(kept.join(twice, key, "left_semi").select(*docs.columns).dropDuplicates([key]))
