@@ -22,6 +22,7 @@ read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -207,26 +208,29 @@ def candidates(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(*carry, udf(F.coalesce(F.col(text), F.lit(""))).alias("spans"))
 
 
-def em(patterns: list[str], counts: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def em(patterns: list[str], counts: np.ndarray, known: np.ndarray | None = None,
+       rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Two-class model of independent labelers over vote patterns: returns the
     probability of each pattern and (2, labelers, 3) vote rates, for class
-    "not personal" and "personal" and votes -, 0, +."""
+    "not personal" and "personal" and votes -, 0, +.  ``known`` marks patterns
+    of spans that are personal for certain (the base kinds)."""
     x = np.array([["-0+".index(c) for c in p] for p in patterns])
     hot = (x[:, :, None] == np.arange(3)).astype(float)  # (patterns, labelers, 3)
-    score = (x - 1).sum(axis=1)
-    q = np.clip(0.5 + 0.2 * score, 0.05, 0.95)  # start: majority vote
+    known = np.zeros(len(patterns), bool) if known is None else known
+    q = np.clip(0.5 + 0.2 * (x - 1).sum(axis=1), 0.05, 0.95)  # start: majority vote
+    q[known] = 0.99
+    # a weak belief that labelers are better than chance names the classes
+    belief = (1 + 0.01 * counts.sum()) * np.array([[0.4, 0.5, 0.1], [0.1, 0.5, 0.4]])
     rates = np.zeros((2, x.shape[1], 3))
     for _ in range(rounds):
         for c, weight in ((0, counts * (1 - q)), (1, counts * q)):
-            got = np.einsum("p,plv->lv", weight, hot) + 0.1
+            got = np.einsum("p,plv->lv", weight, hot) + belief[c]
             rates[c] = got / got.sum(axis=1, keepdims=True)
-        # labelers are better than chance: "+" is likelier for personal spans
-        for j in range(x.shape[1]):
-            if rates[1, j, 2] * rates[0, j, 0] < rates[0, j, 2] * rates[1, j, 0]:
-                rates[0, j] = rates[1, j] = (rates[0, j] + rates[1, j]) / 2
-        prior = np.clip((counts * q).sum() / counts.sum(), 0.01, 0.99)
+        free = counts * ~known
+        prior = np.clip(((free * q).sum() + 1) / (free.sum() + 2), 0.05, 0.95)
         log = np.einsum("plv,clv->pc", hot, np.log(rates))
         q = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1] + np.log((1 - prior) / prior), -50, 50)))
+        q[known] = 0.99
     return q, rates
 
 
@@ -258,22 +262,23 @@ def detect(df: DataFrame, text: str = "text") -> DataFrame:
     of (start, kind, end) sorted by start, then kind; ``kind`` indexes
     ``KINDS``."""
     found = materialize_as(candidates(df, text), "pii-candidates")
-    seen = (found.filter(F.size("spans") > 0).select(F.explode("spans").alias("s"))
-                 .groupBy("s.votes", "s.feats").agg(F.count(F.lit(1)).alias("n")).collect())
+    seen = (found.filter(F.size("spans") > 0).select(F.explode_outer("spans").alias("s"))
+                 .groupBy("s.base", "s.votes", "s.feats").agg(F.count(F.lit(1)).alias("n")).collect())
     accepted: list[str] = []
     if seen:
         seen.sort()
-        patterns = sorted({r["votes"] for r in seen})
-        total = dict.fromkeys(patterns, 0)
+        total = Counter()
         for r in seen:
-            total[r["votes"]] += r["n"]
-        q, _ = em(patterns, np.array([total[p] for p in patterns], float))
+            total[r["base"], r["votes"]] += r["n"]
+        patterns = sorted(total)
+        q, _ = em([p for _, p in patterns], np.array([total[p] for p in patterns], float),
+                  np.array([base for base, _ in patterns]))
         posterior = dict(zip(patterns, q))
         feats = sorted({r["feats"] for r in seen})
         yes, no = dict.fromkeys(feats, 0.0), dict.fromkeys(feats, 0.0)
         for r in seen:
-            yes[r["feats"]] += r["n"] * posterior[r["votes"]]
-            no[r["feats"]] += r["n"] * (1 - posterior[r["votes"]])
+            yes[r["feats"]] += r["n"] * posterior[r["base"], r["votes"]]
+            no[r["feats"]] += r["n"] * (1 - posterior[r["base"], r["votes"]])
         prob = fit_classifier(feats, np.array([yes[f] for f in feats]), np.array([no[f] for f in feats]))
         accepted = [f for f in feats if prob[f] >= ACCEPT]
     plain = lambda a: F.sort_array(F.transform(a, lambda s: F.struct(
