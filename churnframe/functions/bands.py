@@ -36,7 +36,7 @@ def tenure_band_cut(c="tenure_months", fill_null: bool = True,
     """
     t = _col(c)
     if fill_null:
-        t = F.coalesce(t.cast("double"), F.lit(0.0))
+        t = F.coalesce(F.nanvl(t.cast("double"), F.lit(None).cast("double")), F.lit(0.0))
     expr = None
     for lo, hi, lab in zip(edges[:-1], edges[1:], labels):
         cond = (t > F.lit(lo)) & (t <= F.lit(hi))

@@ -27,7 +27,7 @@ def finite_or_null(c) -> Column:
 def safe_double(c) -> Column:
     """Unparsable/blank/NULL -> NULL, else the double value."""
     c = _col(c)
-    s = F.trim(c.cast("string"))
+    s = F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
     parsed = s.try_cast("double")
     return finite_or_null(F.when(s.rlike(NUMERIC_PATTERN), parsed)).cast("double")
 
@@ -41,7 +41,7 @@ def int_default(c, default: int = 0) -> Column:
 def blank_to_null(c) -> Column:
     """NULL or whitespace-only strings -> NULL."""
     c = _col(c)
-    return F.when(c.isNull() | (F.trim(c.cast("string")) == ""), F.lit(None)).otherwise(c)
+    return F.when(c.isNull() | c.cast("string").rlike(r"^\s*$"), F.lit(None)).otherwise(c)
 
 
 def clean_total_charges(c) -> Column:

@@ -30,7 +30,7 @@ def addon_count(columns_present, addon_columns=ADDON_COLUMNS, yes: str = "Yes")
 def avg_monthly_spend(tenure="tenure_months", total="total_charges") -> Column:
     """total / tenure when tenure > 0 (NULL tenure counts as 0), else 0.0;
     a NULL total stays NULL and infinities become NULL."""
-    t = _col(tenure).cast("double")
+    t = F.nanvl(_col(tenure).cast("double"), F.lit(None).cast("double"))
     tot = _col(total).cast("double")
     ratio = F.try_divide(tot, F.when(t != 0, t))
     return finite_or_null(F.when(F.coalesce(t, F.lit(0.0)) > 0, ratio).otherwise(F.lit(0.0)))

@@ -103,6 +103,15 @@ def score(model: PipelineModel, requests: DataFrame, mode_col: str = "mode") ->
             .withColumn("churn_flag", churn_flag("churn_probability", "threshold")))
 
 
+def score_requests(model: PipelineModel, requests: DataFrame):
+    """The scoring path of batch and stream: fill in the default mode,
+    validate, score the valid requests.  Returns (scored, rejected); rejected
+    rows carry the names of the rules they broke."""
+    from churnframe.operators.validate import split_valid
+    valid, rejected = split_valid(requests)
+    return score(model, valid.drop("violations", "is_valid")), rejected
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -26,11 +26,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnframe.session import default_parallelism, materialize
+from churnframe.session import materialize
 
 
-# Inputs up to this many rows are ordered as one range per group.
-SINGLE_RANGE_MAX_ROWS = 20_000
+# Rows sorted by one window task; the number of ranges follows the row count.
+ROWS_PER_RANGE = 200_000
 
 
 def _range_buckets(df: DataFrame, key_col: str, n_buckets: int) -> DataFrame:
@@ -52,8 +52,9 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
     value is <= the current one (>= when ``descending``), current row included.
 
     ``order_col`` must be numeric and non-null; (order value, ``tie_cols``)
-    must be unique within each group -- ties on the value are ordered by
-    ``tie_cols`` and stay inside one range because ranges cut on the value.
+    must be unique within each group.  Rows are ordered by the column itself;
+    its double only chooses the range, and values with equal doubles share a
+    range, so integers beyond 2**53 keep their exact order.
     The input is read three times (split points, running totals, range
     totals), so it is first written once to the shared checkpoint folder
     unless the caller already did."""
@@ -61,23 +62,18 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols, group_cols=(),
     if materialize_input:
         df = materialize(df, "ordered_input")
     sum_cols = list(sum_cols)
-    p = n_buckets or default_parallelism(df.sparkSession)
-    if n_buckets is None and materialize_input and df.count() <= SINGLE_RANGE_MAX_ROWS:
-        # written input: the count comes from file metadata; a small input
-        # needs no split-point pass (one range per group, bounded size)
-        p = 1
+    # the input is written, so the count comes from file metadata; at least two
+    # ranges, so that every input takes the same plan
+    p = n_buckets or max(2, math.ceil(df.count() / ROWS_PER_RANGE))
     key = F.col(order_col).cast("double")
+    native = F.col(order_col).desc() if descending else F.col(order_col).asc()
     keyed = df.withColumn("_key", -key if descending else key)
     b = _range_buckets(keyed, "_key", p)
     part = group_cols + ["_bucket"]
 
-    within = (Window.partitionBy(*part).orderBy("_key", *tie_cols)
+    within = (Window.partitionBy(*part).orderBy(native, *tie_cols)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select("*", *[F.sum(c).over(within).alias(f"_loc_{c}") for c in sum_cols])
-    if p == 1:
-        # one range per group: the running totals are already global
-        return local.select(*[c for c in df.columns],
-                            *[F.col(f"_loc_{c}").alias(prefix + c) for c in sum_cols])
 
     totals = b.groupBy(*part).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     before = (Window.partitionBy(*group_cols).orderBy("_bucket")
@@ -124,8 +120,6 @@ def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(),
         df.where(v.isNotNull() & ~F.isnan(v.cast("double")))
         .groupBy(*group_cols, v.cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n")), "value_counts")
-    if n_buckets is None and counts.count() <= SINGLE_RANGE_MAX_ROWS:
-        n_buckets = 1
     cum = cumulative_sums(counts, "_v", ["_n"], group_cols, n_buckets=n_buckets,
                           materialize_input=False)
     cum = cum.withColumn("_prev", F.col("cum__n") - F.col("_n"))

@@ -27,9 +27,9 @@ def stratified_quotas(class_counts: dict, test_size: float = 0.2) -> dict:
 
 def stratified_split(df: DataFrame, label: str, row_id: str, test_size: float = 0.2,
                      seed: int = 42) -> DataFrame:
-    """Adds ``split`` ('train'/'test').  Inside each class rows are ordered by a
-    seeded 53-bit hash of the row id (ties by row id) and the first quota rows
-    train.
+    """Adds ``split`` ('train'/'test').  Inside each class rows are ordered by
+    the first 13 hex digits of ``md5('seed:row_id')`` (ties by row id) and the
+    first quota rows train.
 
     Only a narrow (label, hash, row id) table is ranked -- in parallel by
     ``cumulative_sums``, no class gathered into one task -- to find each
@@ -38,10 +38,10 @@ def stratified_split(df: DataFrame, label: str, row_id: str, test_size: float =
     are neither shuffled nor copied.  Deterministic for a given seed."""
     counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}   # one row per class
     quota = stratified_quotas(counts, test_size)
-    h = F.shiftright(F.xxhash64(F.lit(seed), F.col(row_id)), 11)   # fits a double exactly
-    narrow = df.select(label, row_id, h.alias("_h")) \
-        .withColumn("_hd", F.col("_h").cast("double")).withColumn("_one", F.lit(1).cast("long"))
-    ranked = cumulative_sums(narrow, "_hd", ["_one"], [label], prefix="_rank",
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string"))), 1, 13)
+    h = F.conv(digits, 16, 10).cast("long")
+    narrow = df.select(label, row_id, h.alias("_h")).withColumn("_one", F.lit(1).cast("long"))
+    ranked = cumulative_sums(narrow, "_h", ["_one"], [label], prefix="_rank",
                              tie_cols=[row_id])
     wanted = F.lit(False)
     for k, v in quota.items():

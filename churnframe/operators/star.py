@@ -17,7 +17,6 @@ planner knows their real size and broadcasts them only when it is under
 
 from __future__ import annotations
 
-import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -28,7 +27,7 @@ from churnframe.operators.ordering import dense_index
 from churnframe.schema import (CONTRACT_COLS, CUSTOMER_ATTRS, HEADER_TO_COLUMN,
                                MEASURE_COLS, REQUIRED_HEADERS, SERVICE_COLS,
                                SNAPSHOT_DATE)
-from churnframe.session import materialize
+from churnframe.session import materialize, release
 from churnframe.sources.raw import require_columns
 
 
@@ -102,15 +101,24 @@ def _null_safe_cond(left: DataFrame, right: DataFrame, cols):
     return cond
 
 
-def merge_dimension(existing: DataFrame, incoming: DataFrame, natural_key, key: str) -> DataFrame:
-    """Append only incoming rows whose natural key is absent (null-safe) from
-    ``existing``; existing rows are never updated.  New keys continue after
-    the existing maximum, in ingest order.  Rerunning a batch is a no-op."""
+def new_rows(existing: DataFrame, incoming: DataFrame, natural_key, key: str) -> DataFrame:
+    """Incoming rows whose natural key is absent from ``existing``, with keys
+    that continue after the existing maximum, in ingest order.  A single-column
+    key is compared by plain equality, so rows with a NULL id are all new (a
+    NULL never equals another); composite keys are compared null-safe."""
     natural_key = list(natural_key)
     known = existing.select(*natural_key)
-    new = incoming.join(known, _null_safe_cond(incoming, known, natural_key), "left_anti")
+    same = (incoming[natural_key[0]] == known[natural_key[0]] if len(natural_key) == 1
+            else _null_safe_cond(incoming, known, natural_key))
+    new = incoming.join(known, same, "left_anti")
     base = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("_base")).first()["_base"]
-    return existing.unionByName(new.withColumn(key, F.col(key) + F.lit(int(base))))
+    return new.withColumn(key, F.col(key) + F.lit(int(base)))
+
+
+def merge_dimension(existing: DataFrame, incoming: DataFrame, natural_key, key: str) -> DataFrame:
+    """``existing`` plus its ``new_rows``; existing rows are never updated.
+    Rerunning a batch without NULL ids is a no-op."""
+    return existing.unionByName(new_rows(existing, incoming, natural_key, key))
 
 
 def build_fact(staging: DataFrame, dim_customer: DataFrame, dim_contract: DataFrame,
@@ -187,35 +195,53 @@ def dense_keys(dim: DataFrame, key: str) -> DataFrame:
     return dense_index(dim, key, name="dense_key")
 
 
-def load_and_write(staging: DataFrame, path: str, buckets: int | None = None) -> Star:
+def read_star(spark, path: str) -> Star:
+    """A stored star; the fact's partition column comes back as text."""
+    fact = spark.read.parquet(f"{path}/fact_customer_snapshot")
+    fact = fact.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+    return Star(*[spark.read.parquet(f"{path}/{t}") for t in ("dim_customer", "dim_contract", "dim_services")],
+                fact.select(*FACT_COLUMNS))
+
+
+def _write_fact(fact: DataFrame, path: str) -> None:
+    (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("snapshot_date").parquet(f"{path}/fact_customer_snapshot"))
+
+
+def load_and_write(staging: DataFrame, path: str) -> Star:
     """Warehouse order: write the dimensions, then resolve the fact's keys
     against the stored dimensions (each dimension is aggregated once), write
-    the fact, and return the stored star.
+    the fact by ``snapshot_date``, and return the stored star.
 
-    The customer dimension and the fact are written as external tables
-    bucketed (and sorted) by ``customer_key`` with the same bucket count, so
-    the view's largest join -- fact to customer -- is co-located: the shuffle
-    is paid once here instead of in every query over the full view."""
+    Plain Parquet, not buckets: a join on a hot customer then goes through a
+    shuffle, which AQE can split."""
     spark = staging.sparkSession
-    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-    tag = uuid.uuid4().hex[:10]
-    cust_table, fact_table = f"cf_dim_customer_{tag}", f"cf_fact_{tag}"
-    (build_dim_customer(staging).write.mode("overwrite")
-     .option("path", f"{path}/dim_customer")
-     .bucketBy(n, "customer_key").sortBy("customer_key").saveAsTable(cust_table))
+    build_dim_customer(staging).write.mode("overwrite").parquet(f"{path}/dim_customer")
     dk, ds = small_dimensions(staging)
     dk.write.mode("overwrite").parquet(f"{path}/dim_contract")
     ds.write.mode("overwrite").parquet(f"{path}/dim_services")
-    dc = spark.table(cust_table)
-    dk = spark.read.parquet(f"{path}/dim_contract")
-    ds = spark.read.parquet(f"{path}/dim_services")
-    (build_fact(staging, dc, dk, ds).write.mode("overwrite")
-     .option("path", f"{path}/fact_customer_snapshot")
-     .bucketBy(n, "customer_key").sortBy("customer_key").saveAsTable(fact_table))
-    return Star(spark.table(cust_table), dk, ds,
-                spark.table(fact_table).select(*FACT_COLUMNS))
+    dims = [spark.read.parquet(f"{path}/{t}") for t in ("dim_customer", "dim_contract", "dim_services")]
+    _write_fact(build_fact(staging, *dims), path)
+    return read_star(spark, path)
 
 
+def merge_and_write(path: str, staging: DataFrame) -> Star:
+    """Load a new batch into a stored star: unknown natural keys are appended
+    to the dimensions (stored rows are never rewritten), and the fact's
+    partitions of the batch's snapshot dates are replaced."""
+    spark = staging.sparkSession
+    old = read_star(spark, path)
+    parts = (("dim_customer", old.dim_customer, build_dim_customer(staging), ["customer_id"], "customer_key"),
+             ("dim_contract", old.dim_contract, build_dim_contract(staging), CONTRACT_COLS, "contract_key"),
+             ("dim_services", old.dim_services, build_dim_services(staging), SERVICE_COLS, "services_key"))
+    for table, existing, incoming, natural, key in parts:
+        new = materialize(new_rows(existing, incoming, natural, key).select(*existing.columns), table)
+        new.write.mode("append").parquet(f"{path}/{table}")
+        release(new)
+    dims = [spark.read.parquet(f"{path}/{t}") for t, *_ in parts]
+    _write_fact(build_fact(staging, *dims), path)
+    return read_star(spark, path)
+
 
 def load_report(star: Star) -> DataFrame:
     """Row count per table as (table_name, row_count)."""

@@ -30,7 +30,7 @@ from churnframe.plans import oracle as O
 from churnframe.plans.datasets import datasets
 from churnframe.schema import (AGGRESSIVE_THRESHOLD, DEFAULT_CATEGORICAL_BASE, DEFAULT_THRESHOLD,
                                FEATURE_COLUMNS, NUMERIC_FEATURES, REQUEST_SCHEMA, SERVICE_COLS)
-from churnframe.session import scratch_path
+from churnframe.session import materialize, scratch_path
 from churnframe.streaming import scoring as ST
 
 QUERIES: dict = {}
@@ -586,8 +586,10 @@ def class_weights(spark, sf_dir) -> DataFrame:
 
 
 @query("stratified_split", W(
-    "SELECT churn_target, 'train' AS split, CAST(q AS BIGINT) AS n FROM quota UNION ALL "
-    "SELECT churn_target, 'test', CAST(n_c - q AS BIGINT) FROM quota",
+    "SELECT o.snapshot_id, o.churn_target, CASE WHEN o.r <= q.q THEN 'train' ELSE 'test' END AS split FROM "
+    "(SELECT snapshot_id, churn_target, row_number() OVER (PARTITION BY churn_target ORDER BY "
+    "substr(md5('42:' || CAST(snapshot_id AS VARCHAR)), 1, 13), snapshot_id) AS r FROM vw) o "
+    "JOIN quota q ON o.churn_target = q.churn_target",
     "cnt AS (SELECT churn_target, COUNT(*) AS n_c FROM vw GROUP BY churn_target),\n"
     "tot AS (SELECT SUM(n_c) AS n, SUM(n_c) - CAST(ceil(0.2 * SUM(n_c)) AS BIGINT) AS n_train "
     "FROM cnt),\n"
@@ -597,9 +599,9 @@ def class_weights(spark, sf_dir) -> DataFrame:
     "n_train - SUM(fl) OVER () AS lft FROM cont),\n"
     "quota AS (SELECT churn_target, n_c, fl + CASE WHEN r <= lft THEN 1 ELSE 0 END AS q FROM rk)"))
 def stratified_split_q(spark, sf_dir) -> DataFrame:
+    """Membership of every account."""
     v = datasets(spark, sf_dir).view_with((), keep_snapshot_id=True)
-    s = SP.stratified_split(v, "churn_target", "snapshot_id")
-    return s.groupBy("churn_target", "split").agg(F.count(F.lit(1)).alias("n"))
+    return SP.stratified_split(v, "churn_target", "snapshot_id").select("snapshot_id", "churn_target", "split")
 
 
 # ---------------------------------------------------------------- policy, monitoring
@@ -653,7 +655,7 @@ def _violations_sql():
               "CASE WHEN tenure_months < 0 THEN 'tenure_months_negative' END",
               "CASE WHEN monthly_charges < 0 THEN 'monthly_charges_negative' END",
               "CASE WHEN cltv < 0 THEN 'cltv_negative' END",
-              "CASE WHEN mode IS NULL OR mode NOT IN ('default', 'aggressive') "
+              "CASE WHEN mode NOT IN ('default', 'aggressive') "
               "THEN 'mode_invalid' END"]
     return "concat_ws(',', " + ", ".join(parts) + ")"
 
@@ -758,19 +760,37 @@ def feature_names_q(spark, sf_dir) -> DataFrame:
 
 
 def _requests(spark, sf_dir) -> DataFrame:
-    train, test = datasets(spark, sf_dir).split
-    return test.withColumn("mode", F.expr(_REQ_MODE))
+    """Every account of the view as a scoring request."""
+    v = datasets(spark, sf_dir).view_with(("customer", "contract", "services"),
+                                          keep_snapshot_id=True)
+    return v.withColumn("mode", F.expr(_REQ_MODE))
 
 
 @query("score_batch")
 def score_batch(spark, sf_dir) -> DataFrame:
-    """Held-out accounts scored end to end: features -> random-forest
-    probability -> mode threshold -> flag (the logged response fields)."""
-    d = datasets(spark, sf_dir)
-    scored = MP.score(d.model("rf"), _requests(spark, sf_dir))
+    """All accounts through the one scoring path: validation -> features ->
+    random-forest probability -> mode threshold -> flag (the logged response
+    fields of the accepted requests)."""
+    scored, _ = MP.score_requests(datasets(spark, sf_dir).model("rf"), _requests(spark, sf_dir))
     return scored.select("snapshot_id", "mode", "threshold", "churn_probability", "churn_flag")
 
 
+@query("score_batch_check", W(
+    "SELECT mode, v AS violations, COUNT(*) AS n_requests, CAST(0 AS BIGINT) AS n_wrong_flags FROM "
+    f"(SELECT mode, {_violations_sql()} AS v FROM (SELECT *, {_REQ_MODE} AS mode FROM vw) r) t "
+    "GROUP BY mode, v"))
+def score_batch_check(spark, sf_dir) -> DataFrame:
+    """Requests per mode and outcome ('' when accepted, else the rules broken)
+    and accepted rows whose flag is not ``p >= threshold`` of the mode."""
+    scored, bad = MP.score_requests(datasets(spark, sf_dir).model("rf"), _requests(spark, sf_dir))
+    limit = F.when(F.col("mode") == "aggressive", F.lit(AT)).otherwise(F.lit(DT))
+    wrong = F.col("churn_flag") != (F.col("churn_probability") >= limit).cast("int")
+    rows = scored.select("mode", F.lit("").alias("violations"), wrong.alias("wrong")).unionByName(
+        bad.select("mode", "violations", F.lit(False).alias("wrong")))
+    return rows.groupBy("mode", "violations").agg(F.count(F.lit(1)).alias("n_requests"),
+                                                  F.count_if("wrong").alias("n_wrong_flags"))
+
+
 @query("model_comparison")
 def model_comparison(spark, sf_dir) -> DataFrame:
     """Logistic regression, random forest and gradient boosting on the same
@@ -779,7 +799,8 @@ def model_comparison(spark, sf_dir) -> DataFrame:
     _, test = d.split
     out = None
     for kind in ("lr", "rf", "gbt"):
-        s = MP.positive_probability(d.model(kind).transform(test))
+        s = materialize(MP.positive_probability(d.model(kind).transform(test))
+                        .select("churn_probability", "label", "prediction"), "model_scores")
         auc = E.roc_auc(s.select(F.col("churn_probability").alias("score"), "label")).first()
         rep = E.classification_report(s.select("label", "prediction")) \
             .where(F.col("class_label") == "1").select("precision", "recall", "f1_score")
@@ -794,12 +815,11 @@ def _shap(spark, sf_dir):
     cache = d.__dict__.setdefault("_shap", {})
     if "long" not in cache:
         model = d.model("rf")
-        _, test = d.split
-        feats = model.transform(test)
+        feats = MP.positive_probability(model.transform(_requests(spark, sf_dir)))
         names = MP.feature_names(feats)
         name_df = spark.createDataFrame(list(enumerate(names)),
                                         "feature_index int, feature_name string")
-        from churnframe.session import materialize
+        cache["probability"] = feats.select("snapshot_id", "churn_probability")
         long = explain(model.stages[-1], feats, "snapshot_id")
         cache["long"] = materialize(long.join(F.broadcast(name_df), "feature_index"), "shap")
     return cache["long"]
@@ -807,12 +827,22 @@ def _shap(spark, sf_dir):
 
 @query("shap_global")
 def shap_global(spark, sf_dir) -> DataFrame:
-    """Features ranked by mean |phi| over the held-out rows."""
+    """Features ranked by mean |phi| over all accounts."""
     return (_shap(spark, sf_dir).groupBy("feature_index", "feature_name")
             .agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))
             .orderBy(F.desc("mean_abs_shap"), "feature_index"))
 
 
+@query("shap_additivity", W("SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_additive FROM vw"))
+def shap_additivity(spark, sf_dir) -> DataFrame:
+    """Accounts explained, and those whose base value and contributions do not
+    add up to the model's probability."""
+    s = _shap(spark, sf_dir).groupBy("snapshot_id").agg(F.sum("phi").alias("s"), F.first("base_value").alias("b"))
+    p = datasets(spark, sf_dir).__dict__["_shap"]["probability"]
+    off = F.abs(F.col("s") + F.col("b") - F.col("churn_probability")) > 1e-9
+    return s.join(p, "snapshot_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("n_not_additive"))
+
+
 @query("shap_dependence")
 def shap_dependence(spark, sf_dir) -> DataFrame:
     """(value, phi) pairs of num__tenure_months."""
@@ -822,7 +852,7 @@ def shap_dependence(spark, sf_dir) -> DataFrame:
 
 @query("shap_local")
 def shap_local(spark, sf_dir) -> DataFrame:
-    """One account's explanation (the held-out row with the smallest id):
+    """One account's explanation (the row with the smallest id):
     base value and per-feature phi, largest |phi| first."""
     s = _shap(spark, sf_dir)
     first = s.agg(F.min("snapshot_id").alias("snapshot_id"))
@@ -835,7 +865,7 @@ def shap_local(spark, sf_dir) -> DataFrame:
 
 
 def _stream_run(spark, sf_dir) -> dict:
-    """Held-out accounts as request files (4 files), scored by a streaming
+    """All accounts as request files (4 files), scored by a streaming
     query with availableNow + maxFilesPerTrigger=1 (4 micro-batches)."""
     d = datasets(spark, sf_dir)
     cache = d.__dict__.setdefault("_stream", {})
@@ -859,6 +889,23 @@ def stream_scoring_log(spark, sf_dir) -> DataFrame:
                                                                         "batch_id")
 
 
+@query("stream_batch_check", W(
+    "SELECT COUNT(*) AS n_log, COUNT(*) AS n_ids, CAST(0 AS BIGINT) AS n_different FROM "
+    f"(SELECT {_violations_sql()} AS v FROM (SELECT *, {_REQ_MODE} AS mode FROM vw) r) t WHERE v = ''"))
+def stream_batch_check(spark, sf_dir) -> DataFrame:
+    """Rows and distinct ids of the streaming log, and rows that differ from
+    the batch scores of the same requests or lack one."""
+    log = spark.read.parquet(_stream_run(spark, sf_dir)["log"])
+    batch = score_batch(spark, sf_dir).select(
+        F.concat(F.lit("r"), F.col("snapshot_id").cast("string")).alias("request_id"),
+        F.col("churn_probability").alias("p"), F.col("churn_flag").alias("f"))
+    same = F.coalesce((F.abs(F.col("p") - F.col("churn_probability")) < 1e-12)
+                      & (F.col("f") == F.col("churn_flag")), F.lit(False))
+    joined = log.join(batch, "request_id", "full")
+    return joined.agg(F.count("id").alias("n_log"), F.countDistinct("id").alias("n_ids"),
+                      F.count_if(~same).alias("n_different"))
+
+
 @query("stream_monitoring_summary")
 def stream_monitoring_summary(spark, sf_dir) -> DataFrame:
     """Last-1000 summary refreshed by the streaming scorer after each batch."""

@@ -18,8 +18,6 @@ from churnframe.session import materialize, scratch_path
 from churnframe.sources import fixtures
 
 _REGISTRY: dict = {}
-QUERY_TREES = 50          # forest size used by registered queries (default 300)
-QUERY_BOOST_ROUNDS = 50   # boosting rounds used by registered queries (default 300)
 
 
 class Datasets:
@@ -72,16 +70,15 @@ class Datasets:
         return prepared(self.preprocessor, self.split[0])
 
     def model(self, kind: str = "rf"):
-        """Fitted scoring pipelines, one per kind, shared by the queries of a
-        session.  Tree counts are reduced for registered queries (the
-        defaults in ``churnframe.ml.pipeline`` are the full sizes)."""
+        """Fitted scoring pipelines at full size, one per kind, shared by the
+        queries of a session."""
         cache = self.__dict__.setdefault("_models", {})
         if kind not in cache:
             from churnframe.ml import pipeline as mp
             n_train = self.train_features.count()
-            clf = {"rf": lambda: mp.random_forest(QUERY_TREES),
+            clf = {"rf": lambda: mp.random_forest(),
                    "lr": lambda: mp.logistic_regression(n_train),
-                   "gbt": lambda: mp.gradient_boosting(QUERY_BOOST_ROUNDS)}[kind]()
+                   "gbt": lambda: mp.gradient_boosting()}[kind]()
             cache[kind] = mp.fit_classifier(self.preprocessor, self.train_features, clf)
         return cache[kind]
 

@@ -38,6 +38,7 @@ SNAPSHOT_DATE = "2026-01-28"
 DEFAULT_THRESHOLD = 0.48
 AGGRESSIVE_THRESHOLD = 0.28
 MODES = ("default", "aggressive")
+DEFAULT_MODE = "default"
 ADDON_COLUMNS = ["online_security", "online_backup", "device_protection",
                  "tech_support", "streaming_tv", "streaming_movies"]
 TENURE_CUT_EDGES = [-1, 12, 24, 48, 1200]
@@ -83,19 +84,6 @@ RAW_SCHEMA = T.StructType(
     [T.StructField("row_id", T.LongType(), False)]
     + [T.StructField(h, T.StringType(), True) for h in REQUIRED_HEADERS])
 
-STAGING_SCHEMA = T.StructType(
-    [T.StructField("row_id", T.LongType(), False),
-     T.StructField("customer_id", T.StringType())]
-    + [T.StructField(c, T.IntegerType() if c == "senior_citizen" else T.StringType())
-       for c in CUSTOMER_ATTRS]
-    + [T.StructField(c, T.StringType()) for c in CONTRACT_COLS + SERVICE_COLS]
-    + [T.StructField("tenure_months", T.IntegerType()),
-       T.StructField("monthly_charges", T.DoubleType()),
-       T.StructField("total_charges", T.DoubleType()),
-       T.StructField("cltv", T.DoubleType()),
-       T.StructField("churn_label", T.StringType()),
-       T.StructField("snapshot_date", T.StringType())])
-
 PREDICTION_LOG_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("ts_utc", T.TimestampType(), False),

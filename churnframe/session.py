@@ -1,9 +1,9 @@
 """Spark session and shared-storage helpers.
 
 Every job runs with the session time zone pinned to UTC, AQE on (coalescing,
-skew-join splitting) and the UI off.  Lineage is cut only with reliable
-``checkpoint()`` calls into the folder named by ``spark.checkpoint.dir``; a
-private temporary folder is created only for a local-mode session where the
+skew-join splitting) and the UI off.  Lineage is cut only with tables written
+to the folder named by ``spark.checkpoint.dir`` (``materialize``); a private
+temporary folder is created only for a local-mode session where the
 setting is absent (tests, bench).
 """
 
@@ -86,10 +86,6 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
 
 
-def env_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-
-
 def materialize(df, name: str = "table"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read
     it back.  This cuts lineage (a lost executor re-reads files instead of

@@ -124,14 +124,11 @@ def test_shap_additivity(spark, small_model):
     assert chk.count() == test.count() and err < 1e-9
 
 
-def test_stream_equals_batch(spark, sf):
+def test_stream_equals_batch_with_invalid_requests(spark, sf):
     from churnframe.plans.catalog import QUERIES, _requests
-    log = QUERIES["stream_scoring_log"](spark, sf)
-    b = MP.score(datasets(spark, sf).model("rf"), _requests(spark, sf)).select(
-        F.concat(F.lit("r"), F.col("snapshot_id").cast("string")).alias("request_id"),
-        F.col("churn_probability").alias("pb"), F.col("churn_flag").alias("fb"))
-    j = log.join(b, "request_id")
-    assert j.count() == log.count() == b.count()
-    assert j.where((F.abs(F.col("pb") - F.col("churn_probability")) > 1e-12)
-                   | (F.col("fb") != F.col("churn_flag"))).count() == 0
-    assert log.select("id").distinct().count() == log.count()
+    requests = _requests(spark, sf)
+    _, rejected = MP.score_requests(datasets(spark, sf).model("rf"), requests)
+    n_bad = rejected.count()
+    assert n_bad > 0
+    row = QUERIES["stream_batch_check"](spark, sf).first()
+    assert row.n_log == row.n_ids == requests.count() - n_bad and row.n_different == 0

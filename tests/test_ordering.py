@@ -3,6 +3,8 @@
 import numpy as np
 import pandas as pd
 
+from pyspark.sql import functions as F
+
 from churnframe.operators.ordering import cumulative_sums, dense_index, exact_quantiles
 
 
@@ -59,17 +61,33 @@ def test_many_ranges_and_empty_ranges(spark):
         assert r.value == np.quantile(pdf.loc[pdf.g == r.g, "v"], r.p)
 
 
-def test_last_n_large_window_path(spark, monkeypatch):
+def test_last_n_counts_and_large_ids(spark):
     from churnframe.operators import monitoring as M
     df = spark.createDataFrame([(i, float(i % 7) / 7, i % 2) for i in range(500)],
                                "id long, churn_probability double, churn_flag int")
     small = {r.churn_flag: (r["count"], r.avg_probability)
              for r in M.monitoring_summary(df, 123).collect()}
-    monkeypatch.setattr(M, "TOP_K_MAX", 10)
-    large = {r.churn_flag: (r["count"], r.avg_probability)
-             for r in M.monitoring_summary(df, 123).collect()}
-    assert small.keys() == large.keys()
-    for k in small:
-        assert small[k][0] == large[k][0] and abs(small[k][1] - large[k][1]) < 1e-12
-    ids = sorted(r.id for r in M.last_n(df, 123).collect())
-    assert ids == list(range(377, 500))
+    assert sum(n for n, _ in small.values()) == 123
+    for parts in (1, 7):
+        big = df.withColumn("id", F.col("id") * 3 + F.lit(2 ** 54 + 1)).repartition(parts)
+        got = sorted(r.id for r in M.last_n(big, 50).collect())
+        assert got == [2 ** 54 + 1 + 3 * i for i in range(450, 500)]
+    wide = spark.createDataFrame([(-2 ** 63,), (-5,), (0,), (7,), (2 ** 63 - 1,)], "id long")
+    assert [M.nth_largest(wide, n) for n in range(1, 7)] == [2 ** 63 - 1, 7, 0, -5, -2 ** 63, None]
+    assert sorted(r.id for r in M.last_n(df, 123).collect()) == list(range(377, 500))
+    assert M.last_n(df, 0).count() == 0 and M.last_n(df, 1000).count() == 500
+
+
+def test_last_n_above_a_hundred_thousand(spark):
+    from churnframe.operators import monitoring as M
+    ids = spark.range(0, 400_000).select((F.col("id") * 11).alias("id"))
+    got = M.last_n(ids, 150_000).agg(F.count("id"), F.min("id")).first()
+    assert tuple(got) == (150_000, 250_000 * 11)
+
+
+def test_dense_index_beyond_double_precision(spark):
+    ids = [2 ** 54 + i for i in range(200)]
+    df = spark.createDataFrame([(i,) for i in reversed(ids)], "k long")
+    for buckets in (None, 8):
+        got = {r.k: r.idx for r in dense_index(df, "k", n_buckets=buckets).collect()}
+        assert got == {k: i + 1 for i, k in enumerate(ids)}
