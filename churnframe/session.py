@@ -9,6 +9,7 @@ setting is absent (tests, bench).
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -112,6 +113,14 @@ def release(*frames) -> None:
         df._scratch_path = None
 
 
+def free_shuffles(spark) -> None:
+    """Let the cleaner remove the shuffle files of finished steps now.  It acts
+    when the driver collects its garbage, which Spark otherwise leaves to a
+    timer (``spark.cleaner.periodicGC.interval``)."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _SHIPPED: set = set()
 
 
