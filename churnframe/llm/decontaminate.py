@@ -46,7 +46,7 @@ def _shingles(h: Column, k: int = SHINGLE) -> Column:
     """Shingle hashes, in order, of an array of word hashes."""
     return (F.when(F.size(h) >= k, F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(
                 *[F.get(h, i + j) for j in range(k)])))
-            .when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>")))
+            .otherwise(F.slice(F.array(F.xxhash64(h)), F.lit(1), F.least(F.size(h), F.lit(1)))))
 
 
 def _simhash(shingles: Column) -> Column:
