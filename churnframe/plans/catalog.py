@@ -632,14 +632,14 @@ def prediction_log_q(spark, sf_dir) -> DataFrame:
     return datasets(spark, sf_dir).prediction_log
 
 
-@query("monitoring_summary", "WITH " + LOG + "\nSELECT churn_flag, AVG(churn_probability) AS "
+@query("monitoring_summary", "WITH " + LOG + "\nSELECT churn_flag, CAST(SUM(CAST(churn_probability AS DECIMAL(38,18))) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS "
        "avg_probability, COUNT(*) AS count, 1000 AS window_size FROM "
        "(SELECT * FROM plog2 ORDER BY id DESC LIMIT 1000) t GROUP BY churn_flag")
 def monitoring_summary(spark, sf_dir) -> DataFrame:
     return M.monitoring_summary(datasets(spark, sf_dir).prediction_log, 1000)
 
 
-@query("monitoring_summary_all", "WITH " + LOG + "\nSELECT churn_flag, AVG(churn_probability) "
+@query("monitoring_summary_all", "WITH " + LOG + "\nSELECT churn_flag, CAST(SUM(CAST(churn_probability AS DECIMAL(38,18))) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) "
        "AS avg_probability, COUNT(*) AS count FROM plog2 GROUP BY churn_flag")
 def monitoring_summary_all(spark, sf_dir) -> DataFrame:
     return M.monitoring_summary_all(datasets(spark, sf_dir).prediction_log)
