@@ -26,8 +26,7 @@ FEATURES = "features"
 
 def categorical_columns(feature_set: str = "with_senior") -> list[str]:
     """Named categorical sets plus the engineered ``tenure_band``."""
-    base = [c for c in CATEGORICAL_SETS[feature_set] if c not in NUMERIC_FEATURES
-            or feature_set == "all_columns"]
+    base = [c for c in CATEGORICAL_SETS[feature_set] if c not in NUMERIC_FEATURES]
     return list(base) + ["tenure_band"]
 
 

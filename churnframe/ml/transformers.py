@@ -60,6 +60,13 @@ class MedianImputerModel(Model, _ColumnsParams, DefaultParamsReadable, DefaultPa
             for c, v in zip(cols, vals)})
 
 
+def _require_values(fitted: dict, cols) -> None:
+    """A column without any value has nothing to impute from."""
+    empty = [c for c in cols if fitted.get(c) is None]
+    if empty:
+        raise ValueError(f"Cannot fit imputation, no values in: {empty}")
+
+
 class MedianImputer(Estimator, _ColumnsParams, DefaultParamsReadable, DefaultParamsWritable):
     """Median imputation with the exact (interpolated) median: Spark's
     ``Imputer`` uses an approximate quantile and returns an order statistic."""
@@ -72,7 +79,8 @@ class MedianImputer(Estimator, _ColumnsParams, DefaultParamsReadable, DefaultPar
     def _fit(self, dataset: DataFrame) -> MedianImputerModel:
         cols = self.getOrDefault(self.inputCols)
         got = {r["column_name"]: r["median"] for r in medians(dataset, cols).collect()}
-        vals = [float(got[c]) if got.get(c) is not None else 0.0 for c in cols]
+        _require_values(got, cols)
+        vals = [float(got[c]) for c in cols]
         return MedianImputerModel(inputCols=cols, fillValues=vals)
 
 
@@ -103,4 +111,5 @@ class ModeImputer(Estimator, _ColumnsParams, DefaultParamsReadable, DefaultParam
     def _fit(self, dataset: DataFrame) -> ModeImputerModel:
         cols = self.getOrDefault(self.inputCols)
         got = {r["column_name"]: r["fill_value"] for r in most_frequent(dataset, cols).collect()}
-        return ModeImputerModel(inputCols=cols, fillValues=[got.get(c) or "" for c in cols])
+        _require_values(got, cols)
+        return ModeImputerModel(inputCols=cols, fillValues=[got[c] for c in cols])

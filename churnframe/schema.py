@@ -77,7 +77,6 @@ FEATURE_COLUMNS = [c for c in VIEW_COLUMNS if c not in ID_COLUMNS + [TARGET]]
 CATEGORICAL_SETS = {
     "default": DEFAULT_CATEGORICAL_BASE,
     "with_senior": ["senior_citizen"] + DEFAULT_CATEGORICAL_BASE,
-    "all_columns": FEATURE_COLUMNS,
 }
 
 RAW_SCHEMA = T.StructType(

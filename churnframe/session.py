@@ -132,16 +132,8 @@ def ship_package(spark: SparkSession) -> None:
         return
     import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    if _is_local(spark):
-        out_dir = tempfile.mkdtemp(prefix="churnframe-pkg-")  # driver and executors share it
-    else:
-        shared = ensure_checkpoint_dir(spark)
-        if "://" in shared and not shared.startswith("file:"):
-            # object store / HDFS: deploy the package with --py-files instead
-            _SHIPPED.add(app)
-            return
-        out_dir = os.path.join(shared.replace("file:", "", 1), f"churnframe-pkg-{app}")
-        os.makedirs(out_dir, exist_ok=True)
+    # the driver serves the zip to the executors, so its own folder will do
+    out_dir = tempfile.mkdtemp(prefix="churnframe-pkg-")
     zpath = os.path.join(out_dir, "churnframe.zip")
     with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg_dir):
