@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from churnframe.llm.common import fresh, materialize_as, maybe_broadcast
+from churnframe.session import release
 
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -151,41 +152,60 @@ def thresholds(counts: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
         for r in RULES for side in ("lo", "hi")])
 
 
+def _within() -> Column:
+    """Every rule's value lies inside its fences."""
+    values, ok = rule_values(), F.lit(True)
+    for r in RULES:
+        v = values[r.value]
+        ok = ok & (v <= F.col(f"{r.value}_hi"))
+        if r.low:
+            ok = ok & (v >= F.col(f"{r.value}_lo"))
+    return ok
+
+
+def _with_fences(measured: DataFrame, fences: DataFrame, lang: str, source: str) -> DataFrame:
+    """One row of fences per group, broadcast if counted small; else shuffled,
+    where AQE splits a hot group."""
+    keyed = (measured.withColumn("g_lang", F.coalesce(F.col(lang).cast("string"), F.lit("")))
+                     .withColumn("g_source", F.coalesce(F.col(source).cast("string"), F.lit(""))))
+    return keyed.join(maybe_broadcast(fences), ["g_lang", "g_source"], "left")
+
+
+def _fences(measured: DataFrame, lang: str, source: str) -> DataFrame:
+    return materialize_as(thresholds(sketch(measured, lang, source)), "quality-fences")
+
+
 def judge(df: DataFrame, text: str = "text", lang: str = "lang",
           source: str = "source", carry: list[str] | None = None) -> DataFrame:
     """The columns in ``carry`` (all by default), the measures, ``base_failed``
     and ``kept``.  The measured rows are written once to the shared folder: the
-    sketch and the verdicts both read them, so texts are measured once."""
+    sketch and the verdicts both read them, so texts are measured once.  Carry
+    narrow columns only; to filter whole rows use ``quality_filter``."""
     carry = list(df.columns) if carry is None else carry
     need = carry + [c for c in (lang, source) if c not in carry]
     names = {c: f"c{i}" for i, c in enumerate(need)}  # no clash with the measures
     plain = df.select(F.col(text).alias("text_"), *[F.col(c).alias(names[c]) for c in need])
     measured = materialize_as(measures(plain, "text_").drop("text_"), "quality-measures")
-    fences = maybe_broadcast(materialize_as(
-        thresholds(sketch(measured, names[lang], names[source])), "quality-fences"))
-    values = rule_values()
-    ok = F.lit(True)
-    for r in RULES:
-        v = values[r.value]
-        ok = ok & (v <= F.col(f"{r.value}_hi"))
-        if r.low:
-            ok = ok & (v >= F.col(f"{r.value}_lo"))
-    keyed = (measured
-             .withColumn("g_lang", F.coalesce(F.col(names[lang]).cast("string"), F.lit("")))
-             .withColumn("g_source", F.coalesce(F.col(names[source]).cast("string"), F.lit(""))))
-    # one row of fences per group, broadcast if counted small; else shuffled,
-    # where AQE splits a hot group
-    joined = keyed.join(fences, ["g_lang", "g_source"], "left")
+    joined = _with_fences(measured, _fences(measured, names[lang], names[source]), names[lang], names[source])
     return joined.select(*[F.col(names[c]).alias(c) for c in carry], *MEASURES,
                          base_failed().alias("base_failed"),
-                         (~base_failed() & ok).alias("kept"))
+                         (~base_failed() & _within()).alias("kept"))
 
 
 def quality_filter(df: DataFrame, text: str = "text", lang: str = "lang",
                    source: str = "source") -> DataFrame:
     """Rows of ``df`` that pass the base rules and the adaptive fences, with
-    the columns of ``df``."""
+    the columns of ``df``.  Only measures are written for the sketch; the
+    verdicts measure the texts again, which spares a copy of all of them."""
     inner = [f"k{i}" for i in range(len(df.columns))]
     at = {c: inner[i] for i, c in enumerate(df.columns)}
-    judged = judge(df.toDF(*inner), at[text], at[lang], at[source])
-    return judged.filter("kept").select(*[F.col(at[c]).alias(c) for c in df.columns])
+    rows = df.toDF(*inner)
+    narrow = materialize_as(measures(rows.select(at[text], at[lang], at[source]), at[text]).drop(at[text]),
+                            "quality-measures")
+    fences = _fences(narrow, at[lang], at[source])
+    release(narrow)
+    # the row number keeps the filter above the measures: pushed below, it would
+    # evaluate them anew inside its own condition
+    measured = measures(rows, at[text]).withColumn("row_", F.monotonically_increasing_id())
+    joined = _with_fences(measured, fences, at[lang], at[source])
+    return joined.filter((F.col("row_") >= 0) & ~base_failed() & _within()).select(*[F.col(at[c]).alias(c) for c in df.columns])

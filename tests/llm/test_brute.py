@@ -296,3 +296,29 @@ def test_pipeline_equals_plain_version(spark):
         codec = Codec(f.read())
     got = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == {d: len(codec.encode(t)) for d, t in clean.items()}
+
+
+def test_line_dedup_of_near_copies(spark, rng):
+    from churnframe.llm.line_dedup import line_verdicts
+    base = [_text(rng, n).split() for n in (60, 45, 30, 12, 5, 3)]
+    docs = {}
+    for d in range(80):
+        lines = []
+        for b in base:
+            w = list(b)
+            for _ in range(rng.randrange(3)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(10 ** 6)}"
+            lines.append(" ".join(w) if rng.random() < 0.8 else _text(rng, rng.randrange(1, 30)))
+        rng.shuffle(lines)
+        docs[d] = "\n".join(lines + [""])
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {(r.doc, r.line): r.removed for r in line_verdicts(df).collect()}
+    earlier, want = [], {}
+    for d in sorted(docs):
+        for i, line in enumerate(docs[d].split("\n")):
+            w = line.lower().split()
+            s = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+            want[d, i] = bool(s) and any(180 * len(s & o) >= 80 * (len(s) + len(o)) for o in earlier)
+            if s:
+                earlier.append(s)
+    assert got == want and 50 < sum(want.values()) < len(want) - 50
