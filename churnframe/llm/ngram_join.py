@@ -56,7 +56,7 @@ MIN_HASHES = 3
 BROADCAST_TOKENS = 1_000_000
 #: leaders are tried until at most this many raw matches per entry are left
 RAW_PER_ENTRY = 8
-MAX_STAR_ROUNDS = 6
+MAX_STAR_ROUNDS = 2
 
 
 def _need(n: Column) -> Column:
@@ -134,7 +134,8 @@ def _by_rarity(sets: DataFrame) -> DataFrame:
 
 
 def _signatures(ranked: DataFrame) -> DataFrame:
-    """(sig, node, n, s, prev): index entries of each set's extended prefix."""
+    """(sig, node, n, s, p, prev): index entries of each set's extended prefix;
+    ``p`` is the first token's position in the whole set, rarest first."""
     n, s = F.col("n"), F.size("toks")
     length = n - _need(n) + F.floor(n / 4) + 2 - (n - s)  # less the unshared ones in front
     taken = F.greatest(F.lit(0), F.least(length, s)).cast("int")
@@ -145,14 +146,25 @@ def _signatures(ranked: DataFrame) -> DataFrame:
     cut = cut.withColumn("rare", rare)
 
     def sigs(x: Column, i: Column) -> Column:
-        single = F.array(F.xxhash64(x))
-        pair = lambda j: F.when(j < F.size(t), F.xxhash64(x, F.get(t, j)))
-        return F.when(i < F.col("rare"), single).otherwise(F.array_compact(F.array(pair(i + 1), pair(i + 2))))
+        at = F.col("n") - F.col("s") + i
+        one = lambda h: F.struct(h.alias("sig"), at.alias("p"))
+        pair = lambda j: F.when(j < F.size(t), one(F.xxhash64(x, F.get(t, j))))
+        return F.when(i < F.col("rare"), F.array(one(F.xxhash64(x)))).otherwise(
+            F.array_compact(F.array(pair(i + 1), pair(i + 2))))
 
     listed = cut.select("node", "n", "s", F.flatten(F.transform(t, sigs)).alias("sigs"))
-    entry = F.transform("sigs", lambda x, i: F.struct(
-        x.alias("sig"), F.slice("sigs", F.greatest(F.lit(1), i - RUN + 1), F.least(F.lit(RUN), i)).alias("prev")))
-    return listed.select("node", "n", "s", F.explode_outer(entry).alias("e")).select("e.sig", "node", "n", "s", "e.prev")
+    before = lambda i: F.slice(F.col("sigs.sig"), F.greatest(F.lit(1), i - RUN + 1), F.least(F.lit(RUN), i))
+    entry = F.transform("sigs", lambda x, i: F.struct(x["sig"].alias("sig"), x["p"].alias("p"), before(i).alias("prev")))
+    return (listed.select("node", "n", "s", F.explode_outer(entry).alias("e")).filter("e IS NOT NULL")
+                  .select("e.sig", "node", "n", "s", "e.p", "e.prev"))
+
+
+def _reach(na: Column, sa: Column, pa: Column, nb: Column, sb: Column, pb: Column) -> Column:
+    """Length filter, and the largest overlap that the shared shingles and the
+    shingles before and after the matching positions allow."""
+    most = F.least(sa, sb, F.least(pa, pb) + F.least(na - pa, nb - pb))
+    return ((F.least(na, nb) * DEN >= F.greatest(na, nb) * NUM)
+            & (most * (NUM + DEN) >= (na + nb) * NUM))
 
 
 def _crossing(entries: DataFrame, comp: DataFrame) -> DataFrame:
@@ -175,20 +187,20 @@ def _leader_stars(cross: DataFrame, turn: int) -> DataFrame:
     """Candidate (u, v): each entry's node and its signature's leader, which
     changes from round to round."""
     lead = cross.groupBy("sig").agg(F.min(F.struct(
-        F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("v"), F.col("comp").alias("vc"))).alias("l"))
-    return (cross.join(lead, "sig").filter("comp <> l.vc")
+        F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("v"), F.col("comp").alias("vc"),
+        F.col("n").alias("n"), F.col("s").alias("s"), F.col("p").alias("p"))).alias("l"))
+    near = _reach(*[F.col(c) for c in ("n", "s", "p", "l.n", "l.s", "l.p")])
+    return (cross.join(lead, "sig").filter((F.col("comp") != F.col("l.vc")) & near)
                  .select(F.col("node").alias("u"), F.col("l.v").alias("v")).distinct())
 
 
 def _cross_pairs(cross: DataFrame) -> DataFrame:
     a = cross.select("sig", F.col("node").alias("u"), F.col("n").alias("na"), F.col("s").alias("sa"),
-                     F.col("comp").alias("ca"), F.col("prev").alias("pa"))
+                     F.col("comp").alias("ca"), F.col("p").alias("pa"), F.col("prev").alias("ra"))
     b = cross.select("sig", F.col("node").alias("v"), F.col("n").alias("nb"), F.col("s").alias("sb"),
-                     F.col("comp").alias("cb"), F.col("prev").alias("pb"))
-    # 100 o >= 80 (na + nb - o) with o at most the smaller number of shared shingles
-    reach = F.least("sa", "sb") * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM
-    cond = ((a["sig"] == b["sig"]) & (F.col("u") < F.col("v")) & (F.col("ca") != F.col("cb")) & reach
-            & ~F.arrays_overlap("pa", "pb"))
+                     F.col("comp").alias("cb"), F.col("p").alias("pb"), F.col("prev").alias("rb"))
+    cond = ((a["sig"] == b["sig"]) & (F.col("u") < F.col("v")) & (F.col("ca") != F.col("cb"))
+            & _reach(*map(F.col, ("na", "sa", "pa", "nb", "sb", "pb"))) & ~F.arrays_overlap("ra", "rb"))
     return a.join(b, cond).select("u", "v").distinct()
 
 
