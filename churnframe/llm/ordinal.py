@@ -104,6 +104,14 @@ class Ordinal:
     """Weights by slot and ordered thresholds; grades are 0 .. len(theta)."""
     w: np.ndarray
     theta: np.ndarray
+    top_share: float = 0.5
+
+    def keep_at(self, ratio: float = 2 / 9) -> float:
+        """Probability of the top grade at which its odds are ``ratio`` times
+        its odds in the sample, so that the cut does not depend on how evenly
+        the sample holds the grades."""
+        odds = ratio * self.top_share / max(1 - self.top_share, 1e-9)
+        return odds / (1 + odds)
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """(rows, K - 1): P(grade >= k), k = 1 .. K - 1."""
@@ -176,7 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, text: str = "text",
     if len(np.unique(y)) < 2:
         return None
     rows = np.repeat(np.arange(len(sample)), [len(r["slots"]) for r in sample])
-    return fit(rows, np.concatenate([np.array(r["slots"], np.int32) for r in sample]), y)
+    model = fit(rows, np.concatenate([np.array(r["slots"], np.int32) for r in sample]), y)
+    model.top_share = float((y == y.max()).mean())
+    return model
 
 
 def _slots(texts: pa.Array) -> pa.Array:

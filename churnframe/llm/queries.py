@@ -82,9 +82,7 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     # grades: 0 toxic, 1 low quality, 2 good
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
     model = train(docs, table(spark, sf_dir, "labels"), grade)
-    # the sample holds the grades in equal shares, the corpus mostly good text:
-    # at nine good to one other the even point lies at 0.1
-    out = score(docs, model, keep_at=0.1)
+    out = score(docs, model, keep_at=model.keep_at() if model else 0.5)
     return out.select("doc_id", "expected_grade", F.get("tails", F.lit(0)).alias("p_not_toxic"),
                       F.get("tails", F.lit(1)).alias("p_good"), "kept")
 

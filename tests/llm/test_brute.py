@@ -225,7 +225,7 @@ def test_ordinal_grades_on_held_out_labels(spark):
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
     model = train(docs, labels.filter("doc_id % 2 = 0"), grade)
     assert np.all(np.diff(model.theta) > 0)
-    held = score(docs, model, keep_at=0.1).join(labels.filter("doc_id % 2 = 1").withColumn("g", grade), "doc_id")
+    held = score(docs, model, keep_at=model.keep_at()).join(labels.filter("doc_id % 2 = 1").withColumn("g", grade), "doc_id")
     rows = held.groupBy("g").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     kept = {r.g: r.kept for r in rows}
     assert kept[2] > 0.97 and kept[1] < 0.25 and kept[0] < 0.15
