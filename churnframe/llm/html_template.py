@@ -2,23 +2,36 @@
 
 Pages of one host share a template.  Every element of a page gives two tokens,
 its opening and its closing tag, told apart by the path of tags and classes
-that leads to it.  Per host, a token's *occurrence vector* is its count on each
-page; tokens with equal vectors on enough pages form an equivalence class.
-A class is valid if its tokens nest: each element's opening and closing token
-are both in it.  Valid classes nest into the template by their paths, and what
-lies between template tokens are its slots.  Slots are labelled for the whole
-host: boilerplate by the meaning of their tags and classes or by being mostly
-links; content if inside an article, else the slot with most text outside
-links.  A page's text is the text of its content slots.
-
-Occurrence vectors are compared by a 128-bit sum of per-page hashes, so they
-are aggregated (map side first) and never gathered: a host with a third of all
-pages is as cheap as many small ones.  Template rows per host are few and join
-the pages by host; the planner splits a hot host's pages.
+that leads to it; every word of its text gives one, told apart by that path and
+by its number among equal words of one run of text.  Per host, a token's
+*occurrence vector* is its count on each page; tokens with equal vectors on
+enough pages, inside the same element of another vector, form an equivalence
+class.  A class is valid as far as its tokens
+keep their order and its instances nest with those of the other classes on
+every page: elements that break the order, or the nesting with a class of more
+pages, are cut out of their class, and so are words that change their place
+among the class's tags or lie in no element of it.
+
+The valid classes make up the template, and what lies between template tokens
+are its slots.  A block whose words are all template tokens holds no slot and
+gives no text.  Slots are labelled for the whole host: boilerplate by the
+meaning of their tags and classes or by being mostly links; content if inside
+an article, else the slot with most text outside links and template words.  A
+page's text is the text of its content slots; a block that holds a slot is
+given with the template words around it.
+
+Occurrence vectors are compared by a 128-bit exclusive or of per-page hashes,
+so they are aggregated (map side first) and never gathered: a host with a third
+of all pages is as cheap as many small ones.  A word can share a class only with
+an element around it, so it must be on each of up to four pages fixed by hash
+that have the class, as often as that element; every page of the host then
+checks the counts of the words that are.
+Template rows per host are few and join the pages by host; the planner splits a
+hot host's pages.
 
 Defined results: null html gives empty text; null urls form one host of their
-own; truncated or badly nested html is closed at its end; repeated rows count
-as pages of their own and give equal results; an empty table gives an empty
+own; truncated or badly nested html is closed at its end; equal pages of a
+host count once and give equal results; an empty table gives an empty
 result; extra columns are passed through.
 """
 
@@ -26,8 +39,10 @@ from __future__ import annotations
 
 import hashlib
 import html
+import json
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,6 +55,8 @@ SUPPORT = 0.3
 MIN_PAGES = 3
 LINK_SHARE = 0.5
 LONGEST_PATH = 2000
+#: templates of so many hosts may be broadcast
+TEMPLATES = 20_000
 
 # fixed values of the HTML language
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -158,56 +175,246 @@ def walk(page: str):
     yield from pop(0)
 
 
+def run_words(run: str) -> list[str]:
+    """Word tokens of a run of text; an equal word's later occurrences in the
+    run are numbered."""
+    words = html.unescape(run).split()
+    if len(set(words)) == len(words):
+        return words
+    seen: Counter = Counter()
+    out = []
+    for w in words:
+        seen[w] += 1
+        out.append(w if seen[w] == 1 else f"{w} {seen[w]}")
+    return out
+
+
 def page_tokens(page: str) -> dict[str, list]:
     """path -> [openings, closings by an own end tag or an implied one, label,
-    characters of text directly inside, of which in links]."""
+    event of the first opening]."""
     out: dict[str, list] = {}
-    links = 0
-    for kind, path, label, x in walk(page):
+    for at, (kind, path, label, _) in enumerate(walk(page)):
         if kind == "open":
-            row = out.setdefault(path, [0, 0, label, 0, 0])
-            row[0] += 1
-            links += x == "a"
+            out.setdefault(path, [0, 0, label, at])[0] += 1
         elif kind == "close":
             out[path][1] += 1
-            links -= x == "a"
-        elif kind == "text" and path:
-            size = len(x.strip())
-            out[path][3] += size
-            out[path][4] += size if links > 0 else 0
     return out
 
 
+def page_words(page: str) -> dict[str, Counter]:
+    """path -> word tokens directly inside with their counts."""
+    out: dict[str, Counter] = {}
+    for kind, path, _, x in walk(page):
+        if kind == "text" and path:
+            out.setdefault(path, Counter()).update(run_words(x))
+    return out
+
+
+def _around(path: str) -> list[str]:
+    """The paths of an element and of all elements around it."""
+    ends = [k for k, c in enumerate(path) if c == "/"][1:]
+    return [path[:k] for k in ends] + [path]
+
+
 def _token_udf():
     def run(pages: pd.Series) -> pd.Series:
-        return pd.Series([[(p, o, c, lab, t, a) for p, (o, c, lab, t, a) in page_tokens(x or "").items()] for x in pages])
-    return F.pandas_udf(run, "array<struct<path:string,opens:int,closes:int,label:string,chars:long,linked:long>>")
+        return pd.Series([[(p, *row) for p, row in page_tokens(x or "").items()] for x in pages])
+    return F.pandas_udf(run, "array<struct<path:string,opens:int,closes:int,label:string,at:long>>")
+
+
+class Template:
+    """A host's tokens, from the slots that ``deduce`` lists."""
+
+    def __init__(self, slots: str | None):
+        tokens = json.loads(slots or "[]")
+        #: path -> token of the element
+        self.elements = {t["path"]: t for t in tokens if not t["word"]}
+        #: path -> class: the vector, and the element around that has another one
+        self.classes = {p: (t["class"], next((q for q in reversed(_around(p)) if self.elements.get(q, t)["class"]
+                                              != t["class"]), "")) for p, t in self.elements.items()}
+        #: class -> paths of its elements in order
+        self.order: dict[tuple, list] = {}
+        for t in sorted(self.elements.values(), key=lambda t: (t["at"], t["path"])):
+            self.order.setdefault(self.classes[t["path"]], []).append(t["path"])
+        #: path -> word token -> class, if an element of the class is around it
+        self.words: dict[str, dict[str, tuple]] = {}
+        for t in tokens:
+            near = next((self.classes[q] for q in reversed(_around(t["path"])) if t["word"]
+                         and q in self.classes and self.classes[q][0] == t["class"]), None)
+            if near:
+                self.words.setdefault(t["path"], {})[t["word"]] = near
+
+    def candidates(self, page: str, classes: list[str]) -> list[tuple]:
+        """(class, path, word) of words that are on the page as often as an
+        element around them that is in one of the classes."""
+        opens = Counter(path for kind, path, _, _ in walk(page) if kind == "open")
+        out = set()
+        for path, words in page_words(page).items():
+            near = [(self.elements[q]["class"], opens[q]) for q in _around(path) if q in self.elements]
+            out.update((c, path, w) for c, n in near if c in classes for w, m in words.items() if m == n)
+        return sorted(out)
+
+    def holds(self, path: str, run: str) -> bool:
+        """Whether every word of a run of text is a template token."""
+        known = self.words.get(path)
+        return all(w in known for w in run_words(run)) if known else not run.strip()
+
+    def check(self, page: str) -> list[tuple]:
+        """What the page says about the classes, as (path, word, place, chars,
+        linked): with an empty word an element out of order or nesting; with a
+        word its last tag of the class, which must be one on all pages, or "!"
+        if it is not there as often as the class; with no word the characters of
+        runs that hold a slot, and those in links."""
+        bad: set[str] = set()
+        places: set[tuple[str, str, str]] = set()
+        sizes: dict[str, list[int]] = {}
+        counts: Counter = Counter()
+        links = 0
+        live: list[tuple] = []  # class instances: (class, open elements, elements begun, tags met)
+
+        def missing(inst: tuple) -> list[str]:
+            return [p for p in self.order[inst[0]] if p not in inst[2] and p not in bad]
+
+        def tag(kind: str, path: str) -> None:
+            cls = self.classes[path]
+            at = next((k for k in range(len(live) - 1, -1, -1) if live[k][0] == cls), len(live))
+            if at == len(live):
+                if kind == "close":
+                    bad.add(path)
+                    return
+                live.append((cls, set(), set(), [""]))
+            # instances begun inside this one must have ended: the class of fewer pages gives way
+            late = live[at + 1:]
+            if any(self.elements[self.order[i[0]][0]]["pages"] > self.elements[path]["pages"] for i in late):
+                bad.add(path)
+                return
+            for i in late:
+                bad.update(i[1], missing(i))
+            del live[at + 1:]
+            inst = live[at]
+            if kind == "open" and path in inst[2]:  # the next instance
+                bad.update(inst[1], missing(inst))
+                inst = live[at] = (cls, set(), set(), [""])
+            if kind == "open" and missing(inst)[:1] != [path]:
+                bad.add(path)
+                return
+            if kind == "open":
+                inst[1].add(path)
+                inst[2].add(path)
+            else:
+                inst[1].discard(path)
+            inst[3].append(f"{kind} {path}")
+
+        for kind, path, _, x in walk(page):
+            if kind in ("open", "close"):
+                counts[path] += kind == "open"
+                links += (x == "a") * (1 if kind == "open" else -1)
+                if path in self.elements and path not in bad:
+                    tag(kind, path)
+                    while live and not (live[-1][1] - bad) and not missing(live[-1]):
+                        live.pop()
+            elif kind == "text" and path and x.strip():
+                known = self.words.get(path)
+                for w in run_words(x) if known else ():
+                    if w in known:
+                        counts[path, w] += 1
+                        places.add((path, w, next((i[3][-1] for i in reversed(live) if i[0] == known[w]), "")))
+                if not self.holds(path, x):
+                    size = sizes.setdefault(path, [0, 0])
+                    size[0] += len(x.strip())
+                    size[1] += len(x.strip()) if links > 0 else 0
+        for i in live:
+            bad.update(i[1], missing(i))
+        # elements of a class have one count on the page
+        places.update((p, w, "!") for p, known in self.words.items() for w, c in known.items()
+                      if counts[p, w] != counts[self.order[c][0]])
+        return ([(p, "", "", 0, 0) for p in sorted(bad)] + [(*t, 0, 0) for t in sorted(places)]
+                + [(p, None, None, *n) for p, n in sizes.items()])
+
+
+def _check_udf():
+    def run(pages: pd.Series, slots: pd.Series) -> pd.Series:
+        known: dict = {}
+        out = []
+        for page, s in zip(pages, slots):
+            if s not in known:
+                known[s] = Template(s)
+            out.append(known[s].check(page or ""))
+        return pd.Series(out, dtype=object)
+    return F.pandas_udf(run, "array<struct<path:string,word:string,place:string,chars:long,linked:long>>")
+
+
+def _candidate_udf():
+    def run(pages: pd.Series, slots: pd.Series, classes: pd.Series) -> pd.Series:
+        return pd.Series([Template(s).candidates(p or "", list(c)) for p, s, c in zip(pages, slots, classes)], dtype=object)
+    return F.pandas_udf(run, "array<struct<class:string,path:string,word:string>>")
+
+
+def _listed(tokens: DataFrame, *more: str) -> DataFrame:
+    token = F.struct("class", "path", "word", "pages", "label", "at", *more)
+    slots = tokens.groupBy("host").agg(F.to_json(F.sort_array(F.collect_list(token))).alias("slots"))
+    return maybe_broadcast(materialize_as(slots, "html-slots"), TEMPLATES)
+
+
+def _different(pages: DataFrame) -> DataFrame:
+    """``pages`` without repeats; only repeated ones are shuffled."""
+    named = ["host", "page"]
+    repeated = materialize_as(pages.groupBy(named).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(named),
+                              "html-repeated")
+    repeated = maybe_broadcast(repeated)
+    return pages.join(repeated, named, "left_anti").union(
+        pages.join(repeated, named, "left_semi").select(pages.columns).distinct()).select(pages.columns)
 
 
 def deduce(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """Template of each host: (host, slots), ``slots`` mapping each template
-    path to its label ``b`` or ``c``; ``pages`` has (host, page, html)."""
-    tokens = pages.select("host", "page", F.explode_outer(_token_udf()("html")).alias("t")).select("host", "page", "t.*")
-    h = lambda count, seed: F.xxhash64("page", count, F.lit(seed)).cast("decimal(20,0)")
-    per = tokens.filter("path IS NOT NULL").groupBy("host", "path").agg(
-        F.sum(h(F.col("opens"), 1)).alias("o1"), F.sum(h(F.col("opens"), 2)).alias("o2"),
-        F.sum(h(F.col("closes"), 1)).alias("c1"), F.sum(h(F.col("closes"), 2)).alias("c2"),
-        F.count(F.lit(1)).alias("pages"), F.max("label").alias("label"),
-        F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    """Template of each host: (host, slots), ``slots`` listing in JSON the
+    tokens of its valid classes, and for elements the characters of text in
+    slots (``chars``), also those in links (``linked``); ``pages`` has (host,
+    html)."""
+    pages = _different(pages.select("host", F.xxhash64("html").alias("page"), "html"))
+    found = pages.select("host", "page", F.explode(_token_udf()("html")).alias("t")).select("host", "page", "t.*")
+    h = lambda seed: F.xxhash64("page", F.lit(seed))
+    vector = lambda seed: F.bit_xor(F.xxhash64("page", "opens", F.lit(seed)))
+    per = found.groupBy("host", "path").agg(
+        vector(1).alias("o1"), vector(2).alias("o2"), F.min((F.col("opens") == F.col("closes"))).alias("even"),
+        F.count(F.lit(1)).alias("pages"), F.max(F.ascii("label")).alias("label"), F.sum("at").alias("at"),
+        *[f(h(k)).alias(f"{f.__name__}{k}") for k in (3, 4) for f in (F.min, F.max)])
     total = pages.groupBy("host").agg(F.count(F.lit(1)).alias("total"))
-    # opening and closing token have one vector: the element nests on every page
-    nested = per.join(total, "host").filter(
-        (F.col("o1") == F.col("c1")) & (F.col("o2") == F.col("c2")) & (F.col("pages") >= MIN_PAGES)
-        & (F.col("pages") >= F.col("total") * support))
-    classes = nested.groupBy("host", "o1", "o2").agg(
-        F.max("pages").alias("seen"),
-        F.collect_list(F.struct("path", "label", "chars", "linked")).alias("members"))
-    slots = classes.select("host", "seen", F.explode("members").alias("m")).select("host", "seen", "m.*")
-    return slots.groupBy("host").agg(F.collect_list(F.struct("path", "label", "chars", "linked")).alias("slots"))
-
-
-def content_paths(slots: list) -> tuple[frozenset, str | None]:
-    """From a host's template slots: paths that are boilerplate because their
+    # opening and closing token have one vector
+    elements = per.filter(F.col("even") & (F.col("pages") >= MIN_PAGES)).join(total, "host").filter(
+        F.col("pages") >= F.col("total") * support)
+    elements = materialize_as(elements.select(
+        "host", F.concat_ws(":", "o1", "o2").alias("class"), "path", F.lit("").alias("word"), "pages",
+        F.char("label").alias("label"), "at", F.array_distinct(F.array("min3", "max3", "min4", "max4")).alias("on")),
+        "html-elements")
+    # pages fixed by two hashes: words on all of them, as often as the class, are its candidates
+    marks = elements.select("host", "class", F.size("on").alias("least"), F.explode("on").alias("mark")).distinct()
+    marks = materialize_as(marks, "html-marks")
+    by_page = materialize_as(marks.groupBy("host", "mark").agg(F.collect_set("class").alias("classes")), "html-marked")
+    marked = pages.select("host", "html", F.explode(F.array(h(3), h(4))).alias("mark")).join(
+        maybe_broadcast(by_page), ["host", "mark"])
+    words = (marked.join(_listed(elements), "host")
+                   .select("host", "mark", F.explode(_candidate_udf()("html", "slots", "classes")).alias("c"))
+                   .select("host", "mark", "c.*").groupBy("host", "class", "path", "word").agg(F.count(F.lit(1)).alias("n")))
+    least = marks.groupBy("host", "class").agg(F.first("least").alias("least"))
+    words = words.join(least, ["host", "class"]).filter("n >= least").select(
+        "host", "class", "path", "word", F.lit(None).cast("long").alias("pages"),
+        F.lit(None).cast("string").alias("label"), F.lit(None).cast("long").alias("at"))
+    tokens = materialize_as(elements.drop("on").unionByName(words), "html-tokens")
+    said = (pages.join(_listed(tokens), "host").select("host", F.explode(_check_udf()("html", "slots")).alias("c"))
+                 .select("host", "c.*").groupBy("host", "path", "word")
+                 .agg(F.min("place").alias("a"), F.max("place").alias("z"), F.sum("chars").alias("chars"),
+                      F.sum("linked").alias("linked")))
+    said = materialize_as(said, "html-said")
+    wrong = (F.col("word") == "") | (F.col("a") != F.col("z")) | (F.col("a") == "!")
+    faults = said.filter(wrong).select("host", "path", "word")
+    sizes = said.filter("word IS NULL").select("host", "path", F.lit("").alias("word"), "chars", "linked")
+    valid = tokens.join(faults, ["host", "path", "word"], "left_anti").join(sizes, ["host", "path", "word"], "left")
+    return _listed(valid.fillna(0, ["chars", "linked"]), "chars", "linked")
+
+
+def content_paths(slots: Iterable[dict]) -> tuple[frozenset, str | None]:
+    """From a host's template elements: paths that are boilerplate because their
     text is mostly links, and the path of the densest slot for pages without
     an article."""
     inside: Counter = Counter()
@@ -237,20 +444,25 @@ def content_paths(slots: list) -> tuple[frozenset, str | None]:
     return frozenset(menus), best
 
 
-def page_text(page: str, menus: frozenset = frozenset(), densest: str | None = None) -> str:
-    """Main text: the blocks inside content slots, one per line."""
+def page_text(page: str, menus: frozenset = frozenset(), densest: str | None = None,
+              template: Template | None = None) -> str:
+    """Main text: the blocks inside content slots that are not all template
+    words, one per line."""
     events = list(walk(page))
     has_article = any(k == "open" and lab == "c" for k, _, lab, _ in events)
     blocks: list[str] = []
     buffer: list[str] = []
+    slots = 0  # runs in the buffer that hold more than template words
     bad: list[bool] = []
     good: list[bool] = []
 
     def flush() -> None:
+        nonlocal slots
         text = _SPACE.sub(" ", html.unescape("".join(buffer))).strip()
         buffer.clear()
-        if text:
+        if text and slots:
             blocks.append(text)
+        slots = 0
 
     inside_bad = inside_good = 0
     for kind, path, label, x in events:
@@ -276,6 +488,7 @@ def page_text(page: str, menus: frozenset = frozenset(), densest: str | None = N
                 buffer.append(" ")
         elif kind == "text" and not inside_bad and (inside_good or not (has_article or densest)):
             buffer.append(x)
+            slots += template is None or not template.holds(path, x)
     flush()
     return "\n".join(blocks)
 
@@ -284,23 +497,21 @@ def extract(df: DataFrame, url: str = "url", page_html: str = "html", key: str =
     """``df`` plus ``main_text``."""
     hname, = fresh(df, ["host"])
     hosts = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), HOST, 1))
-    pages = df.select(hosts.alias("host"), F.coalesce(F.col(key).cast("string"), F.col(page_html)).alias("page"),
-                      F.coalesce(F.col(page_html), F.lit("")).alias("html"))
-    template = materialize_as(deduce(pages), "html-template")
+    pages = df.select(hosts.alias("host"), F.coalesce(F.col(page_html), F.lit("")).alias("html"))
+    template = deduce(pages)
 
     def run(htmls: pd.Series, slots: pd.Series) -> pd.Series:
         known: dict = {}
         out = []
         for page, s in zip(htmls, slots):
-            s = [] if s is None else s
-            name = hash(tuple(x["path"] for x in s))
-            if name not in known:
-                known[name] = content_paths(s)
-            out.append(page_text(page or "", *known[name]))
+            if s not in known:
+                t = Template(s)
+                known[s] = (*content_paths(t.elements.values()), t)
+            out.append(page_text(page or "", *known[s]))
         return pd.Series(out, dtype=object)
 
     tname, = fresh(df, ["slots"])
-    plan = maybe_broadcast(template.select(F.col("host").alias(hname), F.col("slots").alias(tname)), 20_000)
+    plan = template.select(F.col("host").alias(hname), F.col("slots").alias(tname))
     joined = df.withColumn(hname, hosts).join(plan, hname, "left")
     text = F.pandas_udf(run, "string")(F.coalesce(F.col(page_html), F.lit("")), F.col(tname))
     return joined.select(*df.columns, text.alias("main_text"))
