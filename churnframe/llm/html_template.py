@@ -42,7 +42,7 @@ import html
 import json
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -447,9 +447,18 @@ def content_paths(slots: Iterable[dict]) -> tuple[frozenset, str | None]:
 def page_text(page: str, menus: frozenset = frozenset(), densest: str | None = None,
               template: Template | None = None) -> str:
     """Main text: the blocks inside content slots that are not all template
-    words, one per line."""
+    words, one per line.  Content elements without text outside boilerplate do
+    not count; then it is the densest slot, or all but boilerplate if the page
+    lacks that too."""
     events = list(walk(page))
-    has_article = any(k == "open" and lab == "c" for k, _, lab, _ in events)
+    blocks = _blocks(events, menus, template, lambda path, label: label == "c")
+    if not blocks and densest and any(k == "open" and path == densest for k, path, _, _ in events):
+        return "\n".join(_blocks(events, menus, template, lambda path, label: path == densest))
+    return "\n".join(blocks or _blocks(events, menus, template, None))
+
+
+def _blocks(events: list, menus: frozenset, template: Template | None, wanted: Callable | None) -> list[str]:
+    """Blocks inside the elements that ``wanted`` picks, anywhere if None."""
     blocks: list[str] = []
     buffer: list[str] = []
     slots = 0  # runs in the buffer that hold more than template words
@@ -471,7 +480,7 @@ def page_text(page: str, menus: frozenset = frozenset(), densest: str | None = N
                 flush()
             # a header inside an article is the article's own heading
             b = label == "b" or (label == "h" and not inside_good) or path in menus
-            g = label == "c" if has_article else path == densest
+            g = wanted is not None and wanted(path, label)
             bad.append(b)
             good.append(g)
             inside_bad += b
@@ -486,11 +495,11 @@ def page_text(page: str, menus: frozenset = frozenset(), densest: str | None = N
                 flush()
             elif x == "br" and buffer:
                 buffer.append(" ")
-        elif kind == "text" and not inside_bad and (inside_good or not (has_article or densest)):
+        elif kind == "text" and not inside_bad and (inside_good or wanted is None):
             buffer.append(x)
             slots += template is None or not template.holds(path, x)
     flush()
-    return "\n".join(blocks)
+    return blocks
 
 
 def extract(df: DataFrame, url: str = "url", page_html: str = "html", key: str = "page_id") -> DataFrame:

@@ -50,3 +50,15 @@ def test_elements_out_of_order_or_nesting_leave_their_class():
     assert cut("<r><b></b><a></a></r>") == {"/r/b"}
     assert cut("<r><a></a><x></x><y></y><b></b></r>") == set()
     assert cut("<r><a></a><x></x><b></b><y></y></r>") == {"/r/y"}
+
+
+def test_content_names_inside_boilerplate_do_not_hide_the_body(spark):
+    page = ('<html><body><aside><ul><li class="post">Old entry {0}</li></ul></aside><div class="q1"><div class="q2">'
+            '<p>The body of page {0} lies in plain elements.</p><p>It has {0} more.</p></div></div>'
+            '<footer><div class="story">Told {0}</div></footer></body></html>')
+    want = [f"The body of page {i} lies in plain elements.\nIt has {i} more." for i in range(6)]
+    assert _texts(spark, [page.format(i) for i in range(6)]) == want
+    assert _texts(spark, [page.format(0)]) == want[:1]
+    # a page without the slot of the others
+    other = "<html><body><nav><p class=post>Go</p></nav><h2>Alone {0}</h2></body></html>"
+    assert _texts(spark, [page.format(i) for i in range(6)] + [other.format(7)]) == want + ["Alone 7"]
