@@ -9,16 +9,17 @@ side is indexed under all those variants and every fingerprint within the
 radius is found.  Candidates are verified by their exact weighted Jaccard
 similarity (shingles with their counts), 0.8 or more.
 
-Only windows that can reach 0.8 are fingerprinted: such a window has a shingle
-in common with the item, so windows are laid out from each common shingle, at
-the start that lines both up.
+Only windows that can reach 0.8 are fingerprinted, whatever the order of their
+shingles: those that hold, at any place, as many of the item's shingles as 0.8
+takes.  Of equally similar windows the one that lines up with the item in some
+shingle is reported, then the first.
 
 Items are broadcast only if their shingles have been counted and are few;
 else they are joined by shuffle.  Built-in column functions only.
 
 Defined results: null or blank texts and items have no shingles and match
-nothing; a text shorter than the item is one window; fewer than five words
-make one shingle; equal texts are examined once; rows with a null id take part
+nothing; a text shorter than the item is one window; an item of fewer than five
+words is one shingle of its own width, found in texts of any length; equal texts are examined once; rows with a null id take part
 and are returned with the null id; an empty table gives an empty result;
 extra columns are passed through by ``remove_contaminated``.
 """
@@ -94,18 +95,40 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_key
                    .select("item", F.size("w").alias("size"), "sh")
                    .withColumn("fp", _simhash(F.col("sh"))).withColumn("bag", _counted(F.col("sh"))))
     listed = materialize_as(listed, "bench-items")
-    spots = materialize_as(listed.select("size", F.posexplode("sh").alias("at", "s"))
-                           .select("s", "size", "at").distinct(), "bench-shingles")
+    spots = materialize_as(listed.select("item", "size", F.posexplode("sh").alias("at", "s")).distinct(), "bench-shingles")
+    # items shorter than a shingle have widths of their own
+    short = sorted(r["size"] for r in listed.filter(F.col("size") < SHINGLE).select("size").distinct().collect())
     base = docs.select(F.col(text).alias("text"))
-    hashed = (base.withColumn("w", _words("text")).withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
-                  .withColumn("sh", _shingles(F.col("h"))))
-    # everything but the shingles is made small before the explode
-    where = (hashed.select(*text_key("text"), F.size("w").alias("n"), "sh")
-                   .select("k1", "k2", "n", F.posexplode_outer("sh").alias("pos", "s")).filter("s IS NOT NULL"))
-    starts = (where.join(maybe_broadcast(spots), "s")
-                   .select("k1", "k2", "size", F.greatest(F.lit(0), F.least(
-                       F.col("pos") - F.col("at"), F.col("n") - F.col("size"))).alias("start"))
-                   .distinct())
+    hashed = base.withColumn("w", _words("text")).withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
+
+    def laid(width: int, sh: Column) -> DataFrame:
+        # everything but the shingles is made small before the explode
+        return (hashed.withColumn("sh", sh).select(*text_key("text"), F.size("w").alias("n"), "sh")
+                      .select("k1", "k2", "n", F.lit(width).alias("width"), F.posexplode_outer("sh").alias("pos", "s"))
+                      .filter("s IS NOT NULL"))
+    where = laid(SHINGLE, _shingles(F.col("h")))
+    for k in short:
+        where = where.union(laid(k, F.when(F.size("h") >= k, F.transform(
+            F.sequence(F.lit(0), F.size("h") - k), lambda i: F.xxhash64(F.slice("h", i + 1, F.lit(k)))))))
+    spread = spots.withColumn("width", F.least(F.lit(SHINGLE), "size"))
+    last = F.greatest(F.lit(0), F.col("n") - F.col("size"))
+    common = (where.join(maybe_broadcast(spread), ["s", "width"])
+                   .groupBy("k1", "k2", "n", "item", "size")
+                   .agg(F.sort_array(F.collect_set("pos")).alias("found"), F.collect_set(
+                       F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n") - F.col("size")))).alias("lined")))
+    # shingles of the item and of a window, and how many must be common
+    of_item = F.greatest(F.lit(1), F.col("size") - (SHINGLE - 1))
+    of_window = F.greatest(F.lit(1), F.least("size", "n") - (SHINGLE - 1))
+    need = F.ceil((of_item + of_window) * NUM / (DEN + NUM)).cast("int")
+    # every start whose window holds that many, by the runs of so many in a row
+    runs = F.transform(F.sequence(F.lit(0), F.size("found") - F.col("need")), lambda i: F.struct(
+        F.greatest(F.lit(0), F.get("found", i + F.col("need") - 1) - F.col("m") + 1).alias("a"),
+        F.least(F.get("found", i), last).alias("z")))
+    fit = F.transform(F.filter(runs, lambda r: r["a"] <= r["z"]), lambda r: F.sequence(r["a"], r["z"]))
+    common = materialize_as(common.withColumn("need", need).withColumn("m", of_window)
+                                  .filter(F.size("found") >= F.col("need")), "bench-common")
+    starts = (common.select("k1", "k2", "item", "size", "lined", F.explode(F.array_distinct(F.flatten(fit))).alias("start"))
+                    .select("k1", "k2", "item", "size", "start", F.array_contains("lined", F.col("start")).alias("lined")))
     starts = materialize_as(starts, "bench-starts")
     wanted = starts.groupBy("k1", "k2").agg(F.collect_set(F.struct("size", "start")).alias("spots"))
     again = (base.select(*text_key("text"), "text").join(maybe_broadcast(materialize_as(wanted, "bench-wanted")), ["k1", "k2"])
@@ -125,12 +148,13 @@ def contaminated(docs: DataFrame, items: DataFrame, text: str = "text", item_key
                   .filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS)
                   .select("k1", "k2", "size", "start", "item").distinct())
     bags = maybe_broadcast(listed.select("item", "size", F.col("bag").alias("ibag")))
+    near = near.join(starts, ["k1", "k2", "size", "start", "item"])
     both = near.join(windows.select("k1", "k2", "size", "start", "bag"), ["k1", "k2", "size", "start"]).join(
         bags, ["item", "size"])
     o, total = F.size(F.array_intersect("bag", "ibag")), F.size("bag") + F.size("ibag")
     return (both.withColumn("o", o).withColumn("u", total - F.col("o")).filter(F.col("o") * DEN >= F.col("u") * NUM)
                 .groupBy("k1", "k2", "item")
-                .agg(F.max(F.struct((F.col("o") / F.col("u")).alias("similarity"), (-F.col("start")).alias("back"))).alias("m"))
+                .agg(F.max(F.struct((F.col("o") / F.col("u")).alias("similarity"), "lined", (-F.col("start")).alias("back"))).alias("m"))
                 .select("k1", "k2", "item", "m.similarity", (-F.col("m.back")).alias("word")))
 
 
