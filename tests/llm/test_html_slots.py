@@ -62,3 +62,13 @@ def test_content_names_inside_boilerplate_do_not_hide_the_body(spark):
     # a page without the slot of the others
     other = "<html><body><nav><p class=post>Go</p></nav><h2>Alone {0}</h2></body></html>"
     assert _texts(spark, [page.format(i) for i in range(6)] + [other.format(7)]) == want + ["Alone 7"]
+
+
+def test_hosts_with_equal_paths_keep_their_own_slots(spark):
+    from churnframe.llm.html_template import extract
+    page = ('<html><body><div class="u"><p>%s</p></div><div class="v"><p>%s</p></div></body></html>')
+    long, short = "This is the long text of page {0} with many words in it.", "Short {0}."
+    rows = [(2 * i, f"http://one.example/{i}", (page % (long, short)).format(i)) for i in range(5)]
+    rows += [(2 * i + 1, f"http://two.example/{i}", (page % (short, long)).format(i)) for i in range(5)]
+    out = extract(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    assert {r.page_id: r.main_text for r in out.collect()} == {i: long.format(i // 2) for i in range(10)}
