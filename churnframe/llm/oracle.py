@@ -137,3 +137,52 @@ l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.d
 reach(doc_id, to_id) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.doc_id, l.b FROM reach r JOIN l ON r.to_id = l.a)
 SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, m.component_id
 FROM s JOIN (SELECT doc_id, min(to_id) AS component_id FROM reach GROUP BY doc_id) m ON s.doc_id = m.doc_id"""
+
+
+#: the machine accepts an optional system turn, then user and assistant in turn
+OP13 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+        SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+s AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS before,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM c),
+l AS (SELECT *, (coalesce(before, '') || '>' || role) IN ('>system', '>user', 'system>user', 'user>assistant', 'assistant>user') AS ok,
+        CASE WHEN role IN ('system', 'user', 'assistant') THEN length('### ' || role || ': ') END
+          + length(text) + length(regexp_replace(text, '[^\\]', '', 'g'))
+          + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), lambda x: length(x) - 2)), 0)
+          + len(regexp_extract_all(text, '</turn>')) + 8 AS chars FROM s)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars, bool_and(ok) AND arg_max(role, pos) = 'assistant' AS valid,
+  CASE WHEN bool_and(ok) AND arg_max(role, pos) = 'assistant' THEN NULL
+       ELSE coalesce(min(pos) FILTER (WHERE NOT ok), count(*)) END AS bad_turn
+FROM l GROUP BY conv_id"""
+
+
+OP11 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+q AS (SELECT row_number() OVER () AS pid, lang, string_split_regex(p, '[\x20\x09]+') AS w FROM p),
+x AS (SELECT pid, lang, unnest(w) AS x, unnest(range(len(w))) AS i FROM q),
+v AS (SELECT lang, x, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM x WHERE x <> '' WINDOW o AS (PARTITION BY pid ORDER BY i)),
+g AS (SELECT lang, 1 AS size, x AS phrase FROM v
+      UNION ALL SELECT lang, 2, x || ' ' || y FROM v WHERE y IS NOT NULL
+      UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM v WHERE z IS NOT NULL),
+f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+k AS (SELECT *, unnest(range(1, size)) AS k FROM c),
+s AS (SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r,
+        (1000000::HUGEINT * k.a * k.a) // (l.f::HUGEINT * r.f) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(w[1:k], ' ')
+      JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT lang, phrase, a, arg_min(struct_pack(l := l, r := r, score := score), struct_pack(score := score, k := k)) AS c
+      FROM s GROUP BY ALL),
+i AS (SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE size = 3) GROUP BY ALL),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY c.score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE coalesce(100 * longer < 50 * a, true))
+SELECT o.lang, rank, phrase, a, c.l AS l, c.r AS r, n.n::BIGINT AS n, c.score::BIGINT AS score
+FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000"""

@@ -87,6 +87,25 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.get("tails", F.lit(1)).alias("p_good"), "kept")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.align import align_tokenizers
+    return align_tokenizers(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnframe.llm.chat_format import digest, format_chats
+    hard = r"\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return digest(format_chats(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_template": op1_html_template,
     "op2_bpe_forced_boundaries": op2_bpe_forced_boundaries,
@@ -98,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_ordinal_quality": op10_ordinal_quality,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_chat_format": op13_chat_format,
 }
 
 ORACLE: dict[str, str] = {
@@ -105,4 +127,6 @@ ORACLE: dict[str, str] = {
     "op6_ngram_jaccard": oracle.OP6,
     "op7_line_dedup": oracle.OP7,
     "op8_quality_rules": oracle.OP8,
+    "op11_phrase_collocations": oracle.OP11,
+    "op13_chat_format": oracle.OP13,
 }
