@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 from churnframe.llm.arrow_text import holds, mix, positions, slices
 from churnframe.llm.common import materialize_as
 
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 3 << 20
 SAMPLE_SHARE = 0.125
 FILTER_BITS = 1 << 28
 PHRASES = "lang string, size int, phrase string, n long"
@@ -140,7 +140,10 @@ def _count(texts: DataFrame, max_words: int, filters, slice_bytes: int) -> DataF
                         yield pa.RecordBatch.from_arrays(
                             [pa.repeat(pa.scalar(lang), k), pa.repeat(pa.scalar(size, pa.int32()), k), part,
                              pa.array(n[s:s + k].astype(np.int64))], ["lang", "size", "phrase", "n"])
-    return texts.mapInArrow(run, PHRASES).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    # a slice has each phrase once, so rows go to the shuffle as they are: summing
+    # before it would sort mostly distinct phrases for nothing
+    rows = texts.mapInArrow(run, PHRASES).repartition("lang", "size", "phrase")
+    return rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _filter_of(phrases: DataFrame, count: int) -> tuple[np.ndarray, int]:
