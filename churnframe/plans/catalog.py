@@ -17,7 +17,7 @@ from churnframe.functions.coerce import clean_total_charges, int_default, safe_d
 from churnframe.functions.features import addon_count, avg_monthly_spend, engineer
 from churnframe.functions.policy import churn_flag, threshold_for_mode
 from churnframe.ml import pipeline as MP
-from churnframe.ml.explain import explain
+from churnframe.ml import explain as X
 from churnframe.ml.transformers import MedianImputer, ModeImputer
 from churnframe.operators import analytics as A
 from churnframe.operators import evaluate as E
@@ -810,57 +810,107 @@ def model_comparison(spark, sf_dir) -> DataFrame:
     return out
 
 
-def _shap(spark, sf_dir):
+def _shap(spark, sf_dir) -> tuple[DataFrame, list[str]]:
+    """Every account explained (one row each, written once for the queries of
+    a session) and the names of the feature slots."""
     d = datasets(spark, sf_dir)
     cache = d.__dict__.setdefault("_shap", {})
-    if "long" not in cache:
+    if not cache:
         model = d.model("rf")
         feats = MP.positive_probability(model.transform(_requests(spark, sf_dir)))
-        names = MP.feature_names(feats)
-        name_df = spark.createDataFrame(list(enumerate(names)),
-                                        "feature_index int, feature_name string")
-        cache["probability"] = feats.select("snapshot_id", "churn_probability")
-        long = explain(model.stages[-1], feats, "snapshot_id")
-        cache["long"] = materialize(long.join(F.broadcast(name_df), "feature_index"), "shap")
-    return cache["long"]
+        cache["names"] = MP.feature_names(feats)
+        cache["rows"] = materialize(X.explain_rows(model.stages[-1], feats, "snapshot_id", carry=["churn_probability"]), "shap")
+    return cache["rows"], cache["names"]
 
 
 @query("shap_global")
 def shap_global(spark, sf_dir) -> DataFrame:
     """Features ranked by mean |phi| over all accounts."""
-    return (_shap(spark, sf_dir).groupBy("feature_index", "feature_name")
-            .agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))
-            .orderBy(F.desc("mean_abs_shap"), "feature_index"))
+    return X.mean_abs(*_shap(spark, sf_dir)).orderBy(F.desc("mean_abs_shap"), "feature_index")
 
 
 @query("shap_additivity", W("SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_not_additive FROM vw"))
 def shap_additivity(spark, sf_dir) -> DataFrame:
     """Accounts explained, and those whose base value and contributions do not
     add up to the model's probability."""
-    s = _shap(spark, sf_dir).groupBy("snapshot_id").agg(F.sum("phi").alias("s"), F.first("base_value").alias("b"))
-    p = datasets(spark, sf_dir).__dict__["_shap"]["probability"]
-    off = F.abs(F.col("s") + F.col("b") - F.col("churn_probability")) > 1e-9
-    return s.join(p, "snapshot_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(off).alias("n_not_additive"))
+    return X.additivity(_shap(spark, sf_dir)[0], "churn_probability")
 
 
 @query("shap_dependence")
 def shap_dependence(spark, sf_dir) -> DataFrame:
-    """(value, phi) pairs of num__tenure_months."""
-    return (_shap(spark, sf_dir).where(F.col("feature_name") == "num__tenure_months")
-            .select("snapshot_id", "value", "phi"))
+    """(value, phi) pairs of num__tenure_months, and the value of the feature
+    that goes with phi most strongly among accounts of about equal tenure."""
+    rows, names = _shap(spark, sf_dir)
+    i = names.index("num__tenure_months")
+    best = X.interaction_scores(rows, "snapshot_id", i, names).orderBy(F.desc("score"), "feature_index").first()
+    k = best["feature_index"] if best else 0
+    return rows.select("snapshot_id", F.col("x")[i].alias("value"), F.col("phi")[i].alias("phi"),
+                       F.lit(names[k]).alias("interaction_feature"), F.col("x")[k].alias("interaction_value"))
+
+
+@query("shap_interaction")
+def shap_interaction(spark, sf_dir) -> DataFrame:
+    """Score of every other feature as the companion of num__tenure_months."""
+    rows, names = _shap(spark, sf_dir)
+    return X.interaction_scores(rows, "snapshot_id", names.index("num__tenure_months"), names)
 
 
 @query("shap_local")
 def shap_local(spark, sf_dir) -> DataFrame:
-    """One account's explanation (the row with the smallest id):
-    base value and per-feature phi, largest |phi| first."""
-    s = _shap(spark, sf_dir)
-    first = s.agg(F.min("snapshot_id").alias("snapshot_id"))
-    return (s.join(first, "snapshot_id")
-            .select("snapshot_id", "feature_name", "value", "phi", "base_value")
+    """One account's explanation (the row with the smallest id), computed for
+    that row alone: base value and per-feature phi, largest |phi| first."""
+    model = datasets(spark, sf_dir).model("rf")
+    requests = _requests(spark, sf_dir)
+    first = requests.agg(F.min("snapshot_id")).first()[0]
+    feats = model.transform(requests.filter(F.col("snapshot_id") == F.lit(first)))
+    names = F.array(*[F.lit(n) for n in MP.feature_names(feats)])
+    return (X.explain(model.stages[-1], feats, "snapshot_id")
+            .select("snapshot_id", names[F.col("feature_index")].alias("feature_name"), "value", "phi", "base_value")
             .orderBy(F.desc(F.abs("phi")), "feature_name"))
 
 
+# contributions that any engine can compute, to check the tables behind the plots
+_DENSITY = ["tenure_months", "monthly_charges", "cltv"]
+
+
+def _density_sql() -> str:
+    parts = []
+    for k, c in enumerate(_DENSITY):
+        q = O.quantile_sql("vw", c, [0.05, 0.95])
+        parts.append(
+            f"SELECT '{c}' AS feature_name, CAST({c} AS DOUBLE) AS v, p, q0 AS a, q1 AS b, "
+            f"MIN(CAST({c} AS DOUBLE)) OVER () AS v0, MAX(CAST({c} AS DOUBLE)) OVER () AS v1, "
+            "MIN(p) OVER () AS p0, MAX(p) OVER () AS p1 FROM "
+            f"(SELECT {c}, CAST((snapshot_id * 7919 + {k} * 104729) % 1000 AS DOUBLE) / 1024 - 0.5 AS p FROM vw "
+            f"WHERE {c} IS NOT NULL) d, ({q}) z")
+    return W("SELECT feature_name, CAST(CASE WHEN p1 > p0 THEN floor((p - p0) / (p1 - p0) * 100) ELSE 0 END AS BIGINT) AS bin, "
+             "COUNT(*) AS n, CAST(SUM(CAST(floor(CASE WHEN hi > lo THEN (least(greatest(v, lo), hi) - lo) / (hi - lo) ELSE 0 END "
+             "* 1099511627776) AS HUGEINT)) AS DOUBLE) / 1099511627776 / CAST(COUNT(*) AS DOUBLE) AS mean_scaled_value, "
+             "MIN(p) AS phi_min, MAX(p) AS phi_max FROM (SELECT *, CASE WHEN a = b THEN v0 ELSE a END AS lo, "
+             "CASE WHEN a = b THEN v1 ELSE b END AS hi FROM l) t GROUP BY 1, 2",
+             "l AS (" + " UNION ALL ".join(parts) + ")")
+
+
+@query("shap_summary_density", _density_sql())
+def shap_summary_density(spark, sf_dir) -> DataFrame:
+    """The summary plot's density and colour of deterministic contributions."""
+    v = datasets(spark, sf_dir).view_with((), keep_snapshot_id=True)
+    long = v.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("feature_name"), F.col(c).cast("double").alias("value"),
+        (((F.col("snapshot_id") * 7919 + k * 104729) % 1000).cast("double") / 1024 - 0.5).alias("phi"))
+        for k, c in enumerate(_DENSITY)])).alias("f")).select("f.*")
+    return X.summary_density(long)
+
+
+@query("shap_summary")
+def shap_summary(spark, sf_dir) -> DataFrame:
+    """The summary plot of the fitted forest: density of phi and mean scaled
+    value per step, every feature, all accounts."""
+    rows, names = _shap(spark, sf_dir)
+    label = F.array(*[F.lit(n) for n in names])
+    return X.summary_density(X.long_form(rows, "snapshot_id").withColumn("feature_name", label[F.col("feature_index")]))
+
+
 # ---------------------------------------------------------------- streaming
 
 

@@ -6,10 +6,11 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from churnframe.ml import explain as X
 from churnframe.ml import pipeline as MP
 from churnframe.ml.explain import explain
 from churnframe.plans.datasets import datasets
@@ -124,6 +125,73 @@ def test_shap_additivity(spark, small_model):
     assert chk.count() == test.count() and err < 1e-9
 
 
+def test_shap_tables_behind_the_plots(spark, small_model):
+    model, test = small_model
+    feats = MP.positive_probability(model.transform(test))
+    names = MP.feature_names(feats)
+    rows = X.explain_rows(model.stages[-1], feats, "snapshot_id", carry=["churn_probability"]).cache()
+    check = X.additivity(rows, "churn_probability").first()
+    assert (check.n_rows, check.n_not_additive) == (test.count(), 0)
+    got = sorted(rows.select("snapshot_id", "x", "phi").collect())
+    x, phi = (np.array([r[k] for r in got]) for k in ("x", "phi"))
+    mean = {r.feature_name: r.mean_abs_shap for r in X.mean_abs(rows, names).collect()}
+    assert all(abs(mean[n] - np.abs(phi[:, i]).mean()) < 1e-12 for i, n in enumerate(names))
+    # companion feature: windows of rows in the order of the feature, ties by id
+    i = names.index("num__tenure_months")
+    order = np.lexsort(([r.snapshot_id for r in got], x[:, i]))
+    size = max(min(len(order) // 10, 50), 1)
+    exp = np.zeros(len(names))
+    for s in range(0, len(order), size):
+        w = order[s:s + size]
+        for k in range(len(names)):
+            if k != i and x[w, k].std() > 0 and phi[w, i].std() > 0:
+                exp[k] += abs(np.corrcoef(phi[w, i], x[w, k])[0, 1])
+    score = {r.feature_index: r.score for r in X.interaction_scores(rows, "snapshot_id", i, names).collect()}
+    assert set(score) == set(range(len(names))) - {i}
+    assert all(abs(score[k] - exp[k]) < 1e-6 for k in score)
+    # density: every row in one step of its feature
+    long = X.long_form(rows, "snapshot_id").withColumn("feature_name", F.col("feature_index").cast("string"))
+    cells = X.summary_density(long, bins=20).collect()
+    for k in (i, 0, len(names) - 1):
+        p, v = phi[:, k], x[:, k]
+        lo, hi = np.percentile(v, [5, 95])
+        lo, hi = (v.min(), v.max()) if lo == hi else (lo, hi)
+        scaled = (np.clip(v, lo, hi) - lo) / (hi - lo) if hi > lo else np.zeros(len(v))
+        step = np.floor((p - p.min()) / (p.max() - p.min()) * 20) if p.max() > p.min() else np.zeros(len(p))
+        mine = {r.bin: r for r in cells if r.feature_name == str(k)}
+        assert sum(r.n for r in mine.values()) == len(p)
+        for b, r in mine.items():
+            assert r.n == (step == b).sum() and abs(r.mean_scaled_value - scaled[step == b].mean()) < 1e-9
+
+
+def test_shap_of_repeated_features_and_equal_covers(spark):
+    """A deep tree over two features tests both again and again on a path."""
+    rng = np.random.default_rng(4)
+    rows = [(i, float(a), float(b), float((a > 3) ^ (b > 5) ^ (a > 7))) for i, (a, b) in enumerate(rng.integers(0, 12, (600, 2)))]
+    df = spark.createDataFrame(rows, "i long, a double, b double, label double")
+    vec = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    rf = RandomForestClassifier(numTrees=4, maxDepth=9, seed=2, featureSubsetStrategy="all").fit(vec)
+    scored = MP.positive_probability(rf.transform(vec))
+    out = X.explain_rows(rf, scored, "i", carry=["churn_probability"])
+    r = X.additivity(out, "churn_probability").first()
+    assert (r.n_rows, r.n_not_additive) == (600, 0)
+    # with two features phi follows from the expectations of the four coalitions
+    nodes = spark.read.parquet(_saved(spark, rf)).select("treeID", "nodeData.*", "nodeData.split.*").collect()
+    trees = {}
+    for n in nodes:
+        trees.setdefault(n["treeID"], {})[n["id"]] = n
+    for row in out.filter("i < 12").collect():
+        e = lambda s: sum(_tree_expectation(t, 0, row.x, s) for t in trees.values()) / len(trees)  # noqa: B023,E731
+        exp = [(e({k}) - e(set()) + e({0, 1}) - e({1 - k})) / 2 for k in (0, 1)]
+        assert np.allclose(row.phi, exp, atol=1e-9)
+
+
+def _saved(spark, rf):
+    path = spark.conf.get("spark.checkpoint.dir") + "/two_features"
+    rf.write().overwrite().save(path)
+    return path + "/data"
+
+
 def test_stream_equals_batch_with_invalid_requests(spark, sf):
     from churnframe.plans.catalog import QUERIES, _requests
     requests = _requests(spark, sf)

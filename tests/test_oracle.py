@@ -19,7 +19,7 @@ FAST = ["stream_log_summary", "raw_scan", "staging_clean", "dim_customer_first_w
         "impute_median_fit", "impute_mode_fit", "pr_curve", "roc_auc", "best_threshold_085",
         "classification_report", "stratified_split", "class_weights", "decision_policy",
         "monitoring_summary", "validate_requests", "engineered_features", "one_hot_long",
-        "feature_names"]
+        "feature_names", "shap_summary_density"]
 
 
 def _norm(v):
@@ -53,7 +53,7 @@ def test_every_query_has_oracle_or_is_model_based():
     from churnframe.plans.catalog import ORACLE, QUERIES
     no_oracle = set(QUERIES) - set(ORACLE)
     assert no_oracle <= {"score_batch", "model_comparison", "shap_global", "shap_dependence",
-                         "shap_local", "stream_scoring_log", "stream_monitoring_summary"}
+                         "shap_local", "shap_interaction", "shap_summary", "stream_scoring_log", "stream_monitoring_summary"}
 
 
 SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
