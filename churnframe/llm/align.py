@@ -32,6 +32,7 @@ passed through, but for those that the results' names replace.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import itertools
 import os
@@ -39,6 +40,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +50,9 @@ from pyspark.sql import types as T
 from churnframe.llm.arrow_text import lists, offsets, ranges, slices, sums
 from churnframe.llm.common import materialize_as
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 2 << 20
+#: stretches whose ids a worker remembers; emptied when full
+MEMORY_ENTRIES = 50_000
 BROADCAST_PAIRS = 3_000_000
 FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -84,13 +88,30 @@ class Pair:
                 if "▁" in p.lstrip("▁"):
                     raise ValueError(f"piece {p!r} holds a blank after other characters")
         self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.large_binary()), pa.array(bytes_b, pa.large_binary())
+        self.known: dict[str, tuple] = {}
 
-    def encode(self, stretches: list[str]) -> tuple[list, list]:
+    def encode(self, stretches: list[str], uses: np.ndarray) -> tuple[list, list]:
         """Ids of each stretch; each begins with a blank, which B adds itself
-        to all but the empty text."""
-        a = [e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)]
-        b = self.b.encode([s[1:] for s in stretches], num_threads=1)
-        return a, [x or [self.b.piece_to_id("▁")] for x in b]
+        to all but the empty text.  Short ones used again are remembered."""
+        known, blank = self.known, [self.b.piece_to_id("▁")]
+        got = [known.get(s) for s in stretches]
+        new = [i for i, x in enumerate(got) if x is None]
+        collecting = gc.isenabled()
+        gc.disable()  # many small lists and no cycles
+        try:
+            for k in range(0, len(new), 10_000):
+                part = new[k:k + 10_000]
+                texts = [stretches[i] for i in part]
+                encoded = self.a.encode_batch(texts, add_special_tokens=False)
+                for i, a, b in zip(part, encoded, self.b.encode([s[1:] for s in texts], num_threads=1)):
+                    got[i] = (a.ids, b or blank)
+        finally:
+            if collecting:
+                gc.enable()
+        if len(known) > MEMORY_ENTRIES:
+            known.clear()
+        known.update((stretches[i], got[i]) for i in new if uses[i] > 2 and len(stretches[i]) <= 32)
+        return [x for x, _ in got], [y for _, y in got]
 
 
 _BLANK = np.zeros(256, bool)
@@ -106,7 +127,10 @@ def stretch_starts(buf: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     p2, p3 = buf[np.maximum(at - 2, 0)], buf[np.maximum(at - 3, 0)]
     wide = ((p2 == 0xC2) & ((p1 == 0x85) | (p1 == 0xA0))) | ((p3 == 0xE2) & ((p2 == 0x80) | (p2 == 0x81))) \
         | ((p3 == 0xE3) & (p2 == 0x80)) | ((p3 == 0xE1) & (p2 == 0x9A))
-    return np.union1d(text_starts, at[~_BLANK[p1] & ~wide])
+    cut = np.zeros(len(buf), bool)
+    cut[at[~_BLANK[p1] & ~wide]] = True
+    cut[text_starts] = True
+    return np.flatnonzero(cut)
 
 
 def gallop(wanted: np.ndarray, into: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -209,7 +233,7 @@ def encode_slice(texts: list[bytes], pair: Pair) -> dict:
     codes = coded.indices.to_numpy().astype(np.int32)
     distinct = coded.dictionary
     strings = [s.decode() for s in distinct.to_pylist()]
-    lists_a, lists_b = pair.encode(strings)
+    lists_a, lists_b = pair.encode(strings, np.bincount(codes, minlength=len(strings)))
     n = len(strings)
     n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (lists_a, lists_b))
     ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(x), np.int64, int(k.sum()))
@@ -247,9 +271,9 @@ def encode_slice(texts: list[bytes], pair: Pair) -> dict:
     digests = [hashlib.sha256(s.as_buffer()).hexdigest() if v else "" for s, v in zip(whole, valid)]
     uses = np.bincount(codes[np.repeat(valid, np.diff(doc_at))], minlength=n)
     key = (got["link_a"] << 32) | got["link_b"]
-    pairs, ix = np.unique(key, return_inverse=True)
-    counts = np.zeros(len(pairs), np.int64)
-    np.add.at(counts, ix, np.repeat(uses[unit], got["links"]))
+    ix, pairs = pd.factorize(key)
+    # below 2 ** 53, so sums of doubles are exact
+    counts = np.bincount(ix, np.repeat(uses[unit], got["links"]), len(pairs)).astype(np.int64)
     return {"figures": figures, "digests": digests, "codes": codes, "n_docs": n_docs,
             "stretches": np.where(valid, np.diff(doc_at), 0), "doc_at": doc_at, "valid": valid,
             "links": per_unit["n_links"], "link_ix": ix.astype(np.int32), "pairs": pairs, "counts": counts}
