@@ -17,6 +17,7 @@ from churnframe.functions.coerce import clean_total_charges, int_default, safe_d
 from churnframe.functions.features import addon_count, avg_monthly_spend, engineer
 from churnframe.functions.policy import churn_flag, threshold_for_mode
 from churnframe.ml import pipeline as MP
+from churnframe.ml import boosting as B
 from churnframe.ml import explain as X
 from churnframe.ml.transformers import MedianImputer, ModeImputer
 from churnframe.operators import analytics as A
@@ -810,6 +811,48 @@ def model_comparison(spark, sf_dir) -> DataFrame:
     return out
 
 
+# features and fixed limits of a tree that SQL can grow as well
+_BOOST = [("CAST(tenure_months AS DOUBLE)", [12, 24, 48]), ("coalesce(monthly_charges, 0)", [20, 40, 60, 80]),
+          ("CAST(senior_citizen AS DOUBLE)", [0]), ("CASE WHEN contract_type = 'Month-to-month' THEN 1.0E0 ELSE 0.0E0 END", [0]),
+          ("coalesce(cltv, 0)", [3000, 4000, 5000])]
+
+
+def _boost_sql() -> str:
+    """The first tree (depth 2, L2 weight 1, rate 0.05, no sampling), level by
+    level: sums of gradient and hessian per node, feature and bin, running
+    totals, gains, best split."""
+    bins = " UNION ALL ".join(
+        f"SELECT snapshot_id, y, {k} AS f, " + " + ".join(f"CAST({e} > {c} AS INTEGER)" for c in cuts) + f" AS b, {len(cuts)} AS nb FROM r"
+        for k, (e, cuts) in enumerate(_BOOST))
+
+    def level(name: str, nodes: str) -> str:
+        return (f"{name}h AS (SELECT n.node, f, b, nb, SUM(0.5E0 - y) AS g, SUM(0.25E0) AS h FROM e JOIN ({nodes}) n "
+                "ON e.snapshot_id = n.snapshot_id GROUP BY ALL),\n"
+                f"{name}c AS (SELECT *, SUM(g) OVER w AS gl, SUM(h) OVER w AS hl, SUM(g) OVER t AS gt, SUM(h) OVER t AS ht FROM {name}h "
+                "WINDOW w AS (PARTITION BY node, f ORDER BY b), t AS (PARTITION BY node, f)),\n"
+                f"{name} AS (SELECT node, f, b, gain, gt, ht, gl, hl FROM (SELECT *, row_number() OVER (PARTITION BY node "
+                "ORDER BY gain DESC, f, b) AS rk FROM (SELECT *, (gl * gl / (hl + 1E0) + (gt - gl) * (gt - gl) / (ht - hl + 1E0) "
+                f"- gt * gt / (ht + 1E0)) * 0.5E0 AS gain FROM {name}c WHERE b < nb AND hl >= 1 AND ht - hl >= 1) q) q WHERE rk = 1 AND gain > 0)")
+    child = ("SELECT e.snapshot_id, 2 * s.node + CAST(e.b > s.b AS INTEGER) AS node FROM e JOIN a s ON e.f = s.f")
+    return W(
+        "SELECT node, f AS feature, b AS bin, gain, gt AS grad, ht AS hess, CAST(NULL AS DOUBLE) AS value FROM a UNION ALL "
+        "SELECT node, f, b, gain, gt, ht, NULL FROM c UNION ALL "
+        "SELECT 2 * node, NULL, NULL, NULL, gl, hl, -0.05E0 * gl / (hl + 1E0) FROM c UNION ALL "
+        "SELECT 2 * node + 1, NULL, NULL, NULL, gt - gl, ht - hl, -0.05E0 * (gt - gl) / (ht - hl + 1E0) FROM c",
+        "r AS (SELECT *, CAST(churn_target AS DOUBLE) AS y FROM vw),\n" + f"e AS ({bins}),\n"
+        + level("a", "SELECT DISTINCT snapshot_id, 1 AS node FROM e") + ",\n" + level("c", child))
+
+
+@query("boost_first_tree", _boost_sql())
+def boost_first_tree(spark, sf_dir) -> DataFrame:
+    """Nodes of the first tree of second-order boosting over all accounts."""
+    v = datasets(spark, sf_dir).view_with(("customer", "contract"), keep_snapshot_id=True)
+    x = F.array(*[F.expr(e).cast("double") for e, _ in _BOOST])
+    data = v.select("snapshot_id", F.col("churn_target").alias("label"), x.alias("features"))
+    model = B.fit_boosting(data, "snapshot_id", rounds=1, depth=2, row_share=1.0, column_share=1.0, cuts=[c for _, c in _BOOST])
+    return B.tree_table(model, 0, spark) if model.trees else B.tree_table(B.BoostedTrees([], [B.Tree.empty(0)]), 0, spark).limit(0)
+
+
 def _shap(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     """Every account explained (one row each, written once for the queries of
     a session) and the names of the feature slots."""

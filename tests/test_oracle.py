@@ -19,7 +19,7 @@ FAST = ["stream_log_summary", "raw_scan", "staging_clean", "dim_customer_first_w
         "impute_median_fit", "impute_mode_fit", "pr_curve", "roc_auc", "best_threshold_085",
         "classification_report", "stratified_split", "class_weights", "decision_policy",
         "monitoring_summary", "validate_requests", "engineered_features", "one_hot_long",
-        "feature_names", "shap_summary_density"]
+        "feature_names", "shap_summary_density", "boost_first_tree"]
 
 
 def _norm(v):
