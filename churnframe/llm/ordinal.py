@@ -99,19 +99,23 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> np.uint64(BITS)).astype(np.intp), (keys & np.uint64((1 << BITS) - 1)).astype(np.int32)
 
 
+#: one labelled document of so many is held back from the fit, to set the cut
+HOLD_BACK = 5
+#: share of the held-back top-grade documents that the cut keeps
+KEEP_GOOD = 0.985
+
+
 @dataclass
 class Ordinal:
     """Weights by slot and ordered thresholds; grades are 0 .. len(theta)."""
     w: np.ndarray
     theta: np.ndarray
-    top_share: float = 0.5
+    cut: float = 0.5
 
-    def keep_at(self, ratio: float = 2 / 9) -> float:
-        """Probability of the top grade at which its odds are ``ratio`` times
-        its odds in the sample, so that the cut does not depend on how evenly
-        the sample holds the grades."""
-        odds = ratio * self.top_share / max(1 - self.top_share, 1e-9)
-        return odds / (1 + odds)
+    def keep_at(self) -> float:
+        """Least probability of the top grade at which a document stays, set
+        on labelled documents held back from the fit (``KEEP_GOOD``)."""
+        return self.cut
 
     def tails(self, score: np.ndarray) -> np.ndarray:
         """(rows, K - 1): P(grade >= k), k = 1 .. K - 1."""
@@ -183,12 +187,25 @@ def train(docs: DataFrame, labels: DataFrame, grade: Column, text: str = "text",
     y = np.array([r["y"] for r in sample], np.intp)
     if len(np.unique(y)) < 2:
         return None
-    rows = np.repeat(np.arange(len(sample)), [len(r["slots"]) for r in sample])
-    model = fit(rows, np.concatenate([np.array(r["slots"], np.int32) for r in sample]), y)
-    model.top_share = float((y == y.max()).mean())
+    # the sample is sorted, so every HOLD_BACK-th row is the same part in every run
+    held = np.arange(len(sample)) % HOLD_BACK == HOLD_BACK - 1
+    if len(np.unique(y[~held])) < len(np.unique(y)) or not (y[held] == y.max()).any():
+        held[:] = False
+    model = fit(*_flat([r for r, h in zip(sample, held) if not h]), y[~held])
+    good = [r for r, h, g in zip(sample, held, y) if h and g == y.max()]
+    if good:
+        rows, slots = _flat(good)
+        top = np.sort(model.tails(np.bincount(rows, model.w[slots], minlength=len(good)))[:, -1])
+        model.cut = float(top[int((1 - KEEP_GOOD) * len(top))])
     return model
 
 
+def _flat(sample: list) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and slot of every slot of the sampled rows."""
+    rows = np.repeat(np.arange(len(sample)), [len(r["slots"]) for r in sample])
+    return rows, np.concatenate([np.array(r["slots"], np.int32) for r in sample])
+
+
 def _slots(texts: pa.Array) -> pa.Array:
     rows, slots = features(texts)
     offsets = np.searchsorted(rows, np.arange(len(texts) + 1)).astype(np.int32)
