@@ -792,6 +792,20 @@ def score_batch_check(spark, sf_dir) -> DataFrame:
                                                   F.count_if("wrong").alias("n_wrong_flags"))
 
 
+@query("score_batch_logged", W(
+    "SELECT mode, COUNT(*) AS n_rows, COUNT(*) AS n_ids, COUNT(*) AS n_requests FROM "
+    f"(SELECT mode, {_violations_sql()} AS v FROM (SELECT *, {_REQ_MODE} AS mode FROM vw) r) t WHERE v = '' GROUP BY mode"))
+def score_batch_logged(spark, sf_dir) -> DataFrame:
+    """All accounts scored into a prediction log; its committed rows, ids and
+    requests by mode."""
+    base = scratch_path(spark, "batch_log")
+    req = _requests(spark, sf_dir).withColumn("request_id", F.concat(F.lit("r"), F.col("snapshot_id").cast("string")))
+    ST.log_batch(spark, datasets(spark, sf_dir).model("rf"), req.select(*REQUEST_SCHEMA.fieldNames()), 0,
+                 f"{base}/log", f"{base}/summary", f"{base}/quarantine")
+    return ST.read_log(spark, f"{base}/log").groupBy("mode").agg(
+        F.count("id").alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.countDistinct("request_id").alias("n_requests"))
+
+
 @query("model_comparison")
 def model_comparison(spark, sf_dir) -> DataFrame:
     """Logistic regression, random forest and gradient boosting on the same
@@ -978,8 +992,7 @@ def _stream_run(spark, sf_dir) -> dict:
 @query("stream_scoring_log")
 def stream_scoring_log(spark, sf_dir) -> DataFrame:
     """Prediction log written by the streaming scorer (one partition per batch)."""
-    return spark.read.parquet(_stream_run(spark, sf_dir)["log"]).select(*ST.LOG_COLUMNS,
-                                                                        "batch_id")
+    return ST.read_log(spark, _stream_run(spark, sf_dir)["log"]).select(*ST.LOG_COLUMNS, "batch_id")
 
 
 @query("stream_batch_check", W(
@@ -988,7 +1001,7 @@ def stream_scoring_log(spark, sf_dir) -> DataFrame:
 def stream_batch_check(spark, sf_dir) -> DataFrame:
     """Rows and distinct ids of the streaming log, and rows that differ from
     the batch scores of the same requests or lack one."""
-    log = spark.read.parquet(_stream_run(spark, sf_dir)["log"])
+    log = ST.read_log(spark, _stream_run(spark, sf_dir)["log"])
     batch = score_batch(spark, sf_dir).select(
         F.concat(F.lit("r"), F.col("snapshot_id").cast("string")).alias("request_id"),
         F.col("churn_probability").alias("p"), F.col("churn_flag").alias("f"))
@@ -1002,7 +1015,8 @@ def stream_batch_check(spark, sf_dir) -> DataFrame:
 @query("stream_monitoring_summary")
 def stream_monitoring_summary(spark, sf_dir) -> DataFrame:
     """Last-1000 summary refreshed by the streaming scorer after each batch."""
-    return spark.read.parquet(_stream_run(spark, sf_dir)["summary"])
+    run = _stream_run(spark, sf_dir)
+    return ST.read_summary(spark, run["summary"], run["log"])
 
 
 @query("view_preview", W(f"SELECT {VIEW_SELECT}, snapshot_id FROM vw ORDER BY snapshot_id LIMIT 5"))

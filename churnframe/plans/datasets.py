@@ -69,17 +69,31 @@ class Datasets:
         from churnframe.ml.pipeline import prepared
         return prepared(self.preprocessor, self.split[0])
 
+    @cached_property
+    def store(self):
+        from churnframe.ml.store import ModelStore
+        return ModelStore(self.spark)
+
+    @cached_property
+    def training_fingerprint(self) -> str:
+        """Of the labelled accounts that the split and the fits start from."""
+        from churnframe.ml.store import fingerprint
+        return fingerprint(self.view_with(("customer", "contract", "services"), keep_snapshot_id=True))
+
     def model(self, kind: str = "rf"):
-        """Fitted scoring pipelines at full size, one per kind, shared by the
-        queries of a session."""
+        """Scoring pipelines at full size, one per kind: from the model store
+        if a session has fitted the same model on the same accounts, else
+        fitted and stored."""
         cache = self.__dict__.setdefault("_models", {})
         if kind not in cache:
             from churnframe.ml import pipeline as mp
-            n_train = self.train_features.count()
-            clf = {"rf": lambda: mp.random_forest(),
-                   "lr": lambda: mp.logistic_regression(n_train),
-                   "gbt": lambda: mp.gradient_boosting()}[kind]()
-            cache[kind] = mp.fit_classifier(self.preprocessor, self.train_features, clf)
+            from churnframe.ml.store import parameters
+            make = {"rf": lambda n: mp.random_forest(), "lr": mp.logistic_regression,
+                    "gbt": lambda n: mp.gradient_boosting()}[kind]
+            # regularisation that follows the number of rows follows the fingerprint
+            params = parameters(make(1)) | {"split": "0.2, 42"}
+            cache[kind] = self.store.load_or_fit(kind, params, self.training_fingerprint, lambda: mp.fit_classifier(
+                self.preprocessor, self.train_features, make(self.train_features.count())))
         return cache[kind]
 
     @cached_property
