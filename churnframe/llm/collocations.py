@@ -44,6 +44,8 @@ from churnframe.llm.common import materialize_as
 SLICE_BYTES = 3 << 20
 SAMPLE_SHARE = 0.125
 FILTER_BITS = 1 << 28
+#: parts that the phrases of a language are ranked in before the last ranking
+RANK_PARTS = 64
 PHRASES = "lang string, size int, phrase string, n long"
 
 # what a byte is: part of a word, a blank between words, or the end of a piece
@@ -243,8 +245,13 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", min_coun
     inner = inner.groupBy("lang", piece(F.col("s"), F.col("k")).alias("phrase")).agg(F.max("a").alias("longer"))
     kept = (scored.join(inner, ["lang", "phrase"], "left")
                   .filter(F.coalesce(F.col("longer") * 100 < F.col("a") * covered_percent, F.lit(True))))
-    order = Window.partitionBy("lang").orderBy(F.desc("c.score"), F.desc("a"), F.asc("phrase"))
-    ranked = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # the best of each of RANK_PARTS parts first, so that no task ranks all
+    # phrases of a language: the last one gets top x RANK_PARTS rows at most
+    best = [F.desc("c.score"), F.desc("a"), F.asc("phrase")]
+    part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))).orderBy(*best)
+    first = kept.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= top)
+    order = Window.partitionBy("lang").orderBy(*best)
+    ranked = first.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a",
                                              F.col("c.l").alias("l"), F.col("c.r").alias("r"), F.col("n_words").alias("n"),
                                              F.col("c.score").alias("score"))
