@@ -101,7 +101,7 @@ def _in_sample(ids: np.ndarray, tree: int, seed: int, share: float) -> np.ndarra
     return (h >> np.uint64(11)).astype(np.float64) < share * float(1 << 53)
 
 
-def _matrix(batch: pa.RecordBatch, n_features: int) -> np.ndarray:
+def matrix(batch: pa.RecordBatch, n_features: int) -> np.ndarray:
     return np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, n_features)
 
 
@@ -123,7 +123,7 @@ def level_cells(rows: DataFrame, tree: Tree, recent: list, level: int, columns:
         first, k = 1 << level, len(columns)
         g, h, n = (np.zeros((1 << level) * k * width, np.int64) for _ in range(3))
         for b in batches:
-            bins = _matrix(b, n_features)
+            bins = matrix(b, n_features)
             on = _in_sample(b.column("id").to_numpy(), number, seed, row_share)
             node = tree.leaf_of(bins)
             on &= node >= first
@@ -169,12 +169,26 @@ def _grow(tree: Tree, cells: pa.Table, level: int, columns: np.ndarray, cuts: li
             tree.grad[child], tree.hess[child], tree.value[child] = gc, hc, -rate * gc / (hc + l2)
 
 
+def binned_rows(plain: DataFrame, cuts: list, n_features: int) -> DataFrame:
+    """``plain`` (id, label, x) written once with a byte per feature and a
+    margin of 0."""
+    known = plain.sparkSession.sparkContext.broadcast(cuts)
+
+    def binned(batches):
+        m = BoostedTrees(known.value)
+        for b in batches:
+            v = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, n_features)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("label"), pa.array([r.tobytes() for r in m.bins(v)], pa.binary()),
+                 pa.array(np.zeros(b.num_rows))], ["id", "label", "bins", "margin"])
+    return materialize(plain.mapInArrow(binned, "id long, label double, bins binary, margin double"), "boosting_rows")
+
+
 def fit_boosting(data: DataFrame, id_col: str, features_col: str = "features", label_col: str = "label", rounds: int = 300,
                  depth: int = 4, rate: float = 0.05, row_share: float = 0.8, column_share: float = 0.8, l2: float = 1.0,
                  min_child: float = 1.0, bins: int = 64, seed: int = 42, cuts: list | None = None) -> BoostedTrees:
     """Trees of second-order boosting; ``cuts`` sets the limits of each
     feature (at most 255), else they are quantiles."""
-    spark = data.sparkSession
     kind = dict(data.dtypes)[features_col]
     x = F.col(features_col) if kind.startswith("array") else vector_to_array(features_col)
     plain = data.select(F.xxhash64(F.col(id_col)).alias("id"), F.col(label_col).cast("double").alias("label"), x.alias("x"))
@@ -184,16 +198,7 @@ def fit_boosting(data: DataFrame, id_col: str, features_col: str = "features", l
     n_features = len(head["x"])
     model = BoostedTrees([np.asarray(c, float) for c in cuts] if cuts else quantile_cuts(plain, n_features, min(bins, 256)))
     width = max(len(c) for c in model.cuts) + 1
-    known = spark.sparkContext.broadcast(model.cuts)
-
-    def binned(batches):
-        m = BoostedTrees(known.value)
-        for b in batches:
-            v = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, n_features)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("label"), pa.array([r.tobytes() for r in m.bins(v)], pa.binary()),
-                 pa.array(np.zeros(b.num_rows))], ["id", "label", "bins", "margin"])
-    rows = materialize(plain.mapInArrow(binned, "id long, label double, bins binary, margin double"), "boosting_rows")
+    rows = binned_rows(plain, model.cuts, n_features)
     recent: list = []
     for number in range(rounds):
         rng = np.random.default_rng([seed, number])
@@ -217,7 +222,7 @@ def _with_margins(rows: DataFrame, recent: list, n_features: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            m = _margin(b, _matrix(b, n_features), shared.value)
+            m = _margin(b, matrix(b, n_features), shared.value)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(m)], b.schema.names)
     out = materialize(rows.mapInArrow(run, rows.schema), "boosting_rows")
     release(rows)

@@ -19,6 +19,7 @@ from churnframe.functions.policy import churn_flag, threshold_for_mode
 from churnframe.ml import pipeline as MP
 from churnframe.ml import boosting as B
 from churnframe.ml import explain as X
+from churnframe.ml import forest as RF
 from churnframe.ml.transformers import MedianImputer, ModeImputer
 from churnframe.operators import analytics as A
 from churnframe.operators import evaluate as E
@@ -867,6 +868,81 @@ def boost_first_tree(spark, sf_dir) -> DataFrame:
     return B.tree_table(model, 0, spark) if model.trees else B.tree_table(B.BoostedTrees([], [B.Tree.empty(0)]), 0, spark).limit(0)
 
 
+#: trees whose bootstraps SQL draws as well
+_FOREST_TREES = 60
+
+
+def _forest_rows_sql() -> str:
+    """(tree, label, id, c): rows of every bootstrap with their counts."""
+    h = RF.bootstrap_hash_sql("CAST(snapshot_id AS BIGINT)", "tree", 42)
+    count = " + ".join(f"CASE WHEN h >= {x} THEN 1 ELSE 0 END" for x in RF.LIMITS)
+    return (f"SELECT * FROM (SELECT id, label, tree, {count} AS c FROM (SELECT snapshot_id AS id, churn_target AS label, tree, "
+            f"{h} AS h FROM vw, (SELECT range AS tree FROM range({_FOREST_TREES})) t WHERE churn_target IS NOT NULL) a) q WHERE c > 0")
+
+
+def _forest_weights_sql() -> str:
+    return ("SELECT CAST(tree AS INTEGER) AS tree, CAST(label AS INTEGER) AS label, CAST(n AS BIGINT) AS n, "
+            "CAST(SUM(n) OVER w AS DOUBLE) / CAST(COUNT(*) OVER w * n AS DOUBLE) AS weight FROM (SELECT tree, label, SUM(c) AS n "
+            f"FROM ({_forest_rows_sql()}) b GROUP BY tree, label) n WINDOW w AS (PARTITION BY tree)")
+
+
+def _forest_data(spark, sf_dir) -> DataFrame:
+    v = datasets(spark, sf_dir).view_with(("customer", "contract"), keep_snapshot_id=True)
+    x = F.array(*[F.expr(e).cast("double") for e, _ in _BOOST])
+    return v.select("snapshot_id", F.col("churn_target").alias("label"), x.alias("features"))
+
+
+@query("forest_class_weights", W(_forest_weights_sql()))
+def forest_class_weights(spark, sf_dir) -> DataFrame:
+    """Class weights of every tree's bootstrap of all accounts."""
+    return RF.class_weights(_forest_data(spark, sf_dir), "snapshot_id", n_trees=_FOREST_TREES)
+
+
+def _forest_root_sql() -> str:
+    """Root split of every tree by the summed counts of (feature, bin)."""
+    side = lambda a, b: f"2.0E0 * {a} * {b} / ({a} + {b})"
+    cells = " UNION ALL ".join(
+        f"SELECT snapshot_id AS id, {f} AS feature, {' + '.join(f'CASE WHEN {e} > {c} THEN 1 ELSE 0 END' for c in cuts)} AS bin, "
+        f"{len(cuts)} AS bins FROM vw" for f, (e, cuts) in enumerate(_BOOST))
+    chain = (f"b AS MATERIALIZED ({_forest_rows_sql()}), w AS (SELECT tree, MAX(CASE WHEN label = 0 THEN weight END) AS w0, "
+            f"MAX(CASE WHEN label = 1 THEN weight END) AS w1 FROM ({_forest_weights_sql()}) z GROUP BY tree), "
+            f"s AS (SELECT tree, feature, bin, bins, SUM(CASE WHEN label = 0 THEN c ELSE 0 END) AS n0, "
+            f"SUM(CASE WHEN label = 1 THEN c ELSE 0 END) AS n1, COUNT(*) AS r FROM b JOIN ({cells}) x USING (id) "
+            "GROUP BY tree, feature, bin, bins), "
+            "l AS (SELECT tree, feature, bin, bins, w0 * SUM(n0) OVER o AS a, w1 * SUM(n1) OVER o AS b, SUM(r) OVER o AS r, "
+            "w0 * SUM(n0) OVER t AS ta, w1 * SUM(n1) OVER t AS tb, SUM(r) OVER t AS rt FROM s JOIN w USING (tree) "
+            "WINDOW t AS (PARTITION BY tree, feature), o AS (PARTITION BY tree, feature ORDER BY bin)), "
+            f"g AS (SELECT *, {side('ta', 'tb')} - {side('a', 'b')} - {side('(ta - a)', '(tb - b)')} AS gain FROM l "
+            "WHERE bin < bins AND r >= 20 AND rt - r >= 20)")
+    return W("SELECT CAST(tree AS INTEGER) AS tree, CAST(feature AS INTEGER) AS feature, CAST(bin AS INTEGER) AS bin, "
+            "CAST(r AS BIGINT) AS rows_left, round(gain, 6) AS gain FROM g QUALIFY row_number() OVER (PARTITION BY tree "
+            "ORDER BY round(gain, 6) DESC, feature, bin) = 1", chain)
+
+
+@query("forest_root_splits", _forest_root_sql())
+def forest_root_splits(spark, sf_dir) -> DataFrame:
+    """Root split of every tree, all features looked at."""
+    data = _forest_data(spark, sf_dir)
+    model = RF.fit_forest(data, "snapshot_id", n_trees=_FOREST_TREES, depth=1, cuts=[c for _, c in _BOOST],
+                          columns_per_node=len(_BOOST))
+    return RF.split_table(model, spark).filter("node = 1").select("tree", "feature", "bin", "rows_left", F.round("gain", 6).alias("gain"))
+
+
+@query("forest_balanced")
+def forest_balanced(spark, sf_dir) -> DataFrame:
+    """The forest at full size (300 trees, depth 10, leaves of 20 rows, a
+    balanced bootstrap a tree) on the training split: held-out AUC and class-1
+    precision, recall and F1 at 0.5."""
+    d = datasets(spark, sf_dir)
+    train, test = d.split
+    model = RF.fit_forest(d.preprocessor.transform(train).select("snapshot_id", "label", MP.FEATURES), "snapshot_id")
+    s = materialize(RF.score_forest(model, d.preprocessor.transform(test)).select("churn_probability", "label", (
+        F.col("churn_probability") >= 0.5).cast("double").alias("prediction")), "model_scores")
+    auc = E.roc_auc(s.select(F.col("churn_probability").alias("score"), "label")).first()
+    rep = E.classification_report(s.select("label", "prediction")).where(F.col("class_label") == "1")
+    return rep.select(F.lit(len(model.trees)).alias("n_trees"), F.lit(float(auc.auc)).alias("auc"), "precision", "recall", "f1_score")
+
+
 def _shap(spark, sf_dir) -> tuple[DataFrame, list[str]]:
     """Every account explained (one row each, written once for the queries of
     a session) and the names of the feature slots."""
