@@ -8,6 +8,8 @@ group into a single task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,3 +185,43 @@ def histogram(df: DataFrame, value: str, group: str, nbins: int = 40) -> DataFra
                     (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
                     (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
                     "n"))
+
+
+def rounded_width(lo: float, hi: float, nbins: int) -> tuple[int, int]:
+    """(m, k): m * 10^k with m of 1, 2, 5 is the smallest such width whose
+    multiples cut [lo, hi] into at most ``nbins`` bins (two at least, as zero is
+    always a limit); one value gives (1, 0)."""
+    nbins = max(nbins, 2)
+    if not hi > lo or not math.isfinite(hi - lo):
+        return 1, 0
+    k = math.floor(math.log10((hi - lo) / nbins)) - 1
+    while True:
+        for m in (1, 2, 5):
+            if _multiple(hi, m, k) - _multiple(lo, m, k) < nbins:
+                return m, k
+        k += 1
+
+
+def _multiple(x: float, m: int, k: int) -> int:
+    # powers of ten are exact, their inverses are not
+    return math.floor(x / (m * 10.0 ** k)) if k >= 0 else math.floor(x * 10.0 ** -k / m)
+
+
+def rounded_histogram(df: DataFrame, value: str, group: str, nbins: int = 40) -> DataFrame:
+    """Histogram by group with limits at multiples of a rounded width, at most
+    ``nbins`` bins: one min/max pass, then one pre-aggregated count.  Missing,
+    NaN and infinite values are left out; an empty column gives no rows."""
+    x = F.col(value).cast("double")
+    data = df.select(x.alias("x"), F.col(group).alias("grp")).where(
+        x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+    lo, hi = data.agg(F.min("x"), F.max("x")).first()       # two scalars
+    m, k = rounded_width(lo, hi, nbins) if lo is not None else (1, 0)
+    first = _multiple(lo, m, k) if lo is not None else 0
+    if k >= 0:
+        at, edge = F.floor(F.col("x") / F.lit(m * 10.0 ** k)), lambda b: b * F.lit(m * 10.0 ** k)
+    else:
+        at, edge = F.floor(F.col("x") * F.lit(10.0 ** -k) / F.lit(float(m))), lambda b: b * F.lit(float(m)) / F.lit(10.0 ** -k)
+    return (data.withColumn("at", at.cast("long")).groupBy("at", "grp").agg(F.count(F.lit(1)).alias("n"))
+            .select((F.col("at") - first).cast("int").alias("bin"), F.col("grp").alias(group),
+                    edge(F.col("at").cast("double")).alias("bin_start"),
+                    edge((F.col("at") + 1).cast("double")).alias("bin_end"), "n"))

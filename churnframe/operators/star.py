@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 
 from churnframe.functions.coerce import clean_total_charges, int_default, safe_double
 from churnframe.operators.ordering import dense_index
-from churnframe.schema import (CONTRACT_COLS, CUSTOMER_ATTRS, HEADER_TO_COLUMN,
-                               MEASURE_COLS, REQUIRED_HEADERS, SERVICE_COLS,
+from churnframe.schema import (CONTRACT_COLS, CUSTOMER_ATTRS, DIM_CONTRACT_SCHEMA,
+                               DIM_CUSTOMER_SCHEMA, DIM_SERVICES_SCHEMA, FACT_SCHEMA,
+                               HEADER_TO_COLUMN, MEASURE_COLS, REQUIRED_HEADERS, SERVICE_COLS,
                                SNAPSHOT_DATE)
 from churnframe.session import materialize, release
 from churnframe.sources.raw import require_columns
+from churnframe.sources.snapshots import TableGroup
 
 
 class Star(NamedTuple):
@@ -38,8 +40,7 @@ class Star(NamedTuple):
     fact: DataFrame
 
 
-FACT_COLUMNS = ["snapshot_id", "customer_key", "contract_key", "services_key",
-                *MEASURE_COLS, "churn_label", "snapshot_date"]
+FACT_COLUMNS = FACT_SCHEMA.fieldNames()
 
 
 def stage(raw: DataFrame, snapshot_date: str = SNAPSHOT_DATE) -> DataFrame:
@@ -195,52 +196,58 @@ def dense_keys(dim: DataFrame, key: str) -> DataFrame:
     return dense_index(dim, key, name="dense_key")
 
 
-def read_star(spark, path: str) -> Star:
-    """A stored star; the fact's partition column comes back as text."""
-    fact = spark.read.parquet(f"{path}/fact_customer_snapshot")
-    fact = fact.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
-    return Star(*[spark.read.parquet(f"{path}/{t}") for t in ("dim_customer", "dim_contract", "dim_services")],
-                fact.select(*FACT_COLUMNS))
+def stored_star(spark, path: str) -> TableGroup:
+    """The four tables under ``path``, whose versions switch together."""
+    return TableGroup(spark, path, {"dim_customer": DIM_CUSTOMER_SCHEMA, "dim_contract": DIM_CONTRACT_SCHEMA,
+                                    "dim_services": DIM_SERVICES_SCHEMA, "fact_customer_snapshot": FACT_SCHEMA},
+                      {"fact_customer_snapshot": "snapshot_date"})
 
 
-def _write_fact(fact: DataFrame, path: str) -> None:
-    (fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("snapshot_date").parquet(f"{path}/fact_customer_snapshot"))
+def read_star(spark, path: str, version: int | None = None) -> Star:
+    """A stored star, as its last load (or the given one) left it."""
+    return Star(**{"fact" if t == "fact_customer_snapshot" else t: df
+                   for t, df in stored_star(spark, path).read_all(version).items()})
+
+
+def _write_fact(group: TableGroup, staging: DataFrame, dims: list) -> dict:
+    return group.write("fact_customer_snapshot", build_fact(staging, *[group.frame(t, f) for t, f in dims]))
 
 
 def load_and_write(staging: DataFrame, path: str) -> Star:
     """Warehouse order: write the dimensions, then resolve the fact's keys
     against the stored dimensions (each dimension is aggregated once), write
-    the fact by ``snapshot_date``, and return the stored star.
+    the fact by ``snapshot_date``, publish the four tables as one version and
+    return the stored star.
 
     Plain Parquet, not buckets: a join on a hot customer then goes through a
     shuffle, which AQE can split."""
-    spark = staging.sparkSession
-    build_dim_customer(staging).write.mode("overwrite").parquet(f"{path}/dim_customer")
+    group = stored_star(staging.sparkSession, path)
+    before, _ = group.manifest()
     dk, ds = small_dimensions(staging)
-    dk.write.mode("overwrite").parquet(f"{path}/dim_contract")
-    ds.write.mode("overwrite").parquet(f"{path}/dim_services")
-    dims = [spark.read.parquet(f"{path}/{t}") for t in ("dim_customer", "dim_contract", "dim_services")]
-    _write_fact(build_fact(staging, *dims), path)
-    return read_star(spark, path)
+    tables = {t: group.write(t, df) for t, df in (
+        ("dim_customer", build_dim_customer(staging)), ("dim_contract", dk), ("dim_services", ds))}
+    tables["fact_customer_snapshot"] = _write_fact(group, staging, list(tables.items()))
+    return read_star(staging.sparkSession, path, group.publish(before, tables))
 
 
 def merge_and_write(path: str, staging: DataFrame) -> Star:
-    """Load a new batch into a stored star: unknown natural keys are appended
-    to the dimensions (stored rows are never rewritten), and the fact's
-    partitions of the batch's snapshot dates are replaced."""
-    spark = staging.sparkSession
-    old = read_star(spark, path)
-    parts = (("dim_customer", old.dim_customer, build_dim_customer(staging), ["customer_id"], "customer_key"),
-             ("dim_contract", old.dim_contract, build_dim_contract(staging), CONTRACT_COLS, "contract_key"),
-             ("dim_services", old.dim_services, build_dim_services(staging), SERVICE_COLS, "services_key"))
-    for table, existing, incoming, natural, key in parts:
-        new = materialize(new_rows(existing, incoming, natural, key).select(*existing.columns), table)
-        new.write.mode("append").parquet(f"{path}/{table}")
+    """Load a new batch into a stored star: unknown natural keys are added to
+    the dimensions (stored rows are never rewritten), and the fact's partitions
+    of the batch's snapshot dates are replaced, all in one new version."""
+    group = stored_star(staging.sparkSession, path)
+    before, tables = group.manifest()
+    parts = (("dim_customer", build_dim_customer, ["customer_id"], "customer_key"),
+             ("dim_contract", build_dim_contract, CONTRACT_COLS, "contract_key"),
+             ("dim_services", build_dim_services, SERVICE_COLS, "services_key"))
+    for table, build, natural, key in parts:
+        existing = group.frame(table, tables[table])
+        new = materialize(new_rows(existing, build(staging), natural, key).select(*existing.columns), table)
+        if not new.isEmpty():
+            tables[table] = tables[table] + group.write(table, new)
         release(new)
-    dims = [spark.read.parquet(f"{path}/{t}") for t, *_ in parts]
-    _write_fact(build_fact(staging, *dims), path)
-    return read_star(spark, path)
+    fact = _write_fact(group, staging, [(t, tables[t]) for t, *_ in parts])
+    tables["fact_customer_snapshot"] = tables["fact_customer_snapshot"] | fact
+    return read_star(staging.sparkSession, path, group.publish(before, tables))
 
 
 def load_report(star: Star) -> DataFrame:

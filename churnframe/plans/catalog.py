@@ -466,6 +466,28 @@ def tenure_histogram(spark, sf_dir) -> DataFrame:
     return P.histogram(datasets(spark, sf_dir).view_with(()), "tenure_months", "churn_target", 40)
 
 
+def _rounded_sql(value: str, nbins: int = 40) -> str:
+    """The first width of 1, 2, 5 times a power of ten with few enough bins."""
+    at = lambda x: f"floor(CASE WHEN k >= 0 THEN {x} / (m * pow(10E0, k)) ELSE {x} * pow(10E0, -k) / m END)"
+    edge = lambda b: f"CASE WHEN k >= 0 THEN ({b}) * (m * pow(10E0, k)) ELSE ({b}) * m / pow(10E0, -k) END"
+    return (f"SELECT CAST(a - first AS INTEGER) AS bin, churn_target, {edge('a')} AS bin_start, {edge('a + 1')} AS bin_end, "
+            f"COUNT(*) AS n FROM (SELECT churn_target, m, k, first, {at('x')} AS a FROM (SELECT churn_target, CAST({value} AS DOUBLE) "
+            f"AS x FROM vw WHERE {value} IS NOT NULL) v, (SELECT m, k, {at('lo')} AS first FROM (SELECT MIN(CAST({value} AS DOUBLE)) "
+            f"AS lo, MAX(CAST({value} AS DOUBLE)) AS hi FROM vw) r, (SELECT unnest([1E0, 2E0, 5E0]) AS m) mm, "
+            f"(SELECT range AS k FROM range(-9, 12)) kk WHERE {at('hi')} - {at('lo')} < {nbins} ORDER BY k, m LIMIT 1) w) b "
+            "GROUP BY a, first, m, k, churn_target")
+
+
+@query("tenure_histogram_rounded", W(_rounded_sql("tenure_months")))
+def tenure_histogram_rounded(spark, sf_dir) -> DataFrame:
+    return P.rounded_histogram(datasets(spark, sf_dir).view_with(()), "tenure_months", "churn_target", 40)
+
+
+@query("charges_histogram_rounded", W(_rounded_sql("monthly_charges")))
+def charges_histogram_rounded(spark, sf_dir) -> DataFrame:
+    return P.rounded_histogram(datasets(spark, sf_dir).view_with(()), "monthly_charges", "churn_target", 40)
+
+
 @query("impute_median_fit", W(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, q0 AS median FROM ({O.quantile_sql('eng', c, [0.5])}) z"
     for c in NUMERIC_FEATURES), ENG))

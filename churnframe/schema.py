@@ -83,6 +83,22 @@ RAW_SCHEMA = T.StructType(
     [T.StructField("row_id", T.LongType(), False)]
     + [T.StructField(h, T.StringType(), True) for h in REQUIRED_HEADERS])
 
+
+def _fields(names: list[str], **types: T.DataType) -> list[T.StructField]:
+    """Nullable columns, text unless given."""
+    return [T.StructField(c, types.get(c, T.StringType())) for c in names]
+
+
+# Stored star: surrogate keys are ingest positions.
+DIM_CUSTOMER_SCHEMA = T.StructType([T.StructField("customer_key", T.LongType())]
+                                   + _fields(["customer_id"] + CUSTOMER_ATTRS, senior_citizen=T.IntegerType()))
+DIM_CONTRACT_SCHEMA = T.StructType([T.StructField("contract_key", T.LongType())] + _fields(CONTRACT_COLS))
+DIM_SERVICES_SCHEMA = T.StructType([T.StructField("services_key", T.LongType())] + _fields(SERVICE_COLS))
+FACT_SCHEMA = T.StructType(
+    [T.StructField(c, T.LongType()) for c in ("snapshot_id", "customer_key", "contract_key", "services_key")]
+    + _fields(MEASURE_COLS + ["churn_label", "snapshot_date"], tenure_months=T.IntegerType(),
+              monthly_charges=T.DoubleType(), total_charges=T.DoubleType(), cltv=T.DoubleType()))
+
 PREDICTION_LOG_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("ts_utc", T.TimestampType(), False),
