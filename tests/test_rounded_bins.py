@@ -22,7 +22,7 @@ def test_smallest_width_that_fits(a, b, n):
 
 
 def test_one_bin_is_two_around_zero():
-    assert rounded_width(-1.0, 1.0, 1) == rounded_width(-1.0, 1.0, 2) == (1, 0)
+    assert rounded_width(-1.0, 1.0, 1) == rounded_width(-1.0, 1.0, 2) == (2, 0)
 
 
 def test_histogram(spark):
