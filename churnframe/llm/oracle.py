@@ -69,21 +69,25 @@ OP8 = quality_sql(
 
 
 def line_dedup_sql(docs: str) -> str:
-    """Per line of ``docs``: doc_id, line, n tokens, removed; by joining all
-    lines that share any token."""
+    """Per line of ``docs``: doc_id, line, n distinct words, removed; by joining
+    lines that share one of their rarest words (as many as two lines at 0.8
+    cannot both differ in)."""
     return rf"""
 WITH l AS (SELECT doc_id, line, x FROM (
         SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line FROM {docs})),
 w AS (SELECT doc_id, line, [y FOR y IN string_split_regex(lower(x), '[\x20\x09-\x0D]+') IF y <> ''] AS w FROM l),
-s AS (SELECT doc_id, line, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)] END)) AS toks FROM w),
+s AS (SELECT doc_id, line, list_sort(list_distinct(w)) AS toks FROM w),
 g AS (SELECT row_number() OVER () AS id, * FROM (
         SELECT toks, min(struct_pack(doc_id := doc_id, line := line)) AS first_at FROM s
         WHERE len(toks) > 0 AND doc_id IS NOT NULL GROUP BY toks)),
 e AS (SELECT id, first_at, len(toks) AS n, unnest(toks) AS tok FROM g),
-p AS (SELECT a.id FROM e a JOIN e b ON a.tok = b.tok AND b.first_at < a.first_at
-      GROUP BY a.id, b.id, a.n, b.n HAVING count(*) * 180 >= (a.n + b.n) * 80),
+f AS (SELECT tok, count(*) AS c FROM e GROUP BY tok),
+r AS (SELECT e.* FROM e JOIN f USING (tok) QUALIFY row_number() OVER (PARTITION BY id ORDER BY c, tok) <= n - ceil(n * 8 / 10.0) + 1),
+c AS (SELECT DISTINCT a.id AS x, b.id AS y FROM r a JOIN r b ON a.tok = b.tok AND b.first_at < a.first_at
+      AND least(a.n, b.n) * 10 >= greatest(a.n, b.n) * 8),
+p AS (SELECT x AS id FROM c JOIN g a ON c.x = a.id JOIN g b ON c.y = b.id
+      WHERE len(list_intersect(a.toks, b.toks)) * 180 >= (len(a.toks) + len(b.toks)) * 80),
 v AS (SELECT s.doc_id, s.line, len(s.toks) AS n,
         coalesce(g.first_at < struct_pack(doc_id := s.doc_id, line := s.line) OR g.id IN (SELECT id FROM p), false) AS removed
       FROM s LEFT JOIN g ON s.toks = g.toks AND s.doc_id IS NOT NULL)"""
