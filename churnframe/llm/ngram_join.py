@@ -13,14 +13,17 @@ exact:
    first and need no index; a set with fewer than ``0.8 n`` others goes.
 4. *Signatures.*  A rare shingle of the extended prefix is indexed by itself;
    frequent ones by two-token combinations of neighbours at distance 1 and 2.
-   With ``k = n // 4 + 2`` the common shingles leave so few gaps that two
-   linked sets without a common rare shingle have such a combination in
-   common (pigeonhole over the gaps of both sets).
-5. *Stars before pairs.*  Groups are first joined to one leader each and
-   verified; only sets in different components are paired afterwards, so
-   groups of thousands of near copies do not expand into all their pairs.
-   A pair is emitted once per run of common signatures.
-6. Every candidate is verified on the whole sets.
+   Linked sets differ in at most ``n // 4`` shingles, and only a gap with two
+   of them separates neighbours, so of the first ``k = n // 8 + 2`` common
+   shingles two at least are such neighbours in both sets (pigeonhole).
+5. *Sketches.*  Each set has the parities of its shingles in 512 buckets.  Sets
+   that differ in ``d`` shingles differ in at most ``d`` parities, and linked
+   ones in at most ``(n + m) / 9``; a pair beyond that is never a row.
+6. *Stars before pairs.*  Groups are first joined to one leader each and
+   verified, in rounds with other leaders; only sets in different components
+   are paired afterwards, so groups of thousands of near copies do not expand
+   into all their pairs.  A pair is emitted once per run of common signatures.
+7. Every candidate is verified on the whole sets.
 
 Defined results: null, empty or blank text has an empty set and links with
 nothing; fewer than ``k`` words make one shingle; rows that repeat a
@@ -54,9 +57,11 @@ MIN_HASHES = 3
 #: sets are broadcast for verification only if they are counted and hold at
 #: most this many tokens (8 bytes each); beyond it the pairs are shuffled
 BROADCAST_TOKENS = 1_000_000
-#: leaders are tried until at most this many raw matches per entry are left
-RAW_PER_ENTRY = 8
-MAX_STAR_ROUNDS = 2
+#: leaders are tried until at most this many raw matches per entry are left, or
+#: a round finds less than this share of the first round's links
+RAW_PER_ENTRY, ROUND_FINDS = 8, 0.05
+#: 64-bit words of a sketch
+SKETCH_WORDS = 8
 
 
 def _need(n: Column) -> Column:
@@ -65,13 +70,20 @@ def _need(n: Column) -> Column:
 
 
 
+def _sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each bucket of their lowest bits."""
+    size = 64 * SKETCH_WORDS
+    counts = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _sets(docs: DataFrame, k: int, prefix_only: bool) -> DataFrame:
-    """(node, n, f1, f2, toks): fingerprints and either the hash-order
-    extended prefix or the whole set, ascending."""
+    """(node, n, f1, f2, toks, sk): fingerprints, either the hash-order extended
+    prefix or the whole set, ascending, and the sketch of a whole set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, texts in slices(b.column(1)):
-                n, f1, f2, toks = [], [], [], []
+                n, f1, f2, toks, sk = [], [], [], [], []
                 for s in rows_shingles(texts, k):
                     size = len(s)
                     n.append(size)
@@ -79,6 +91,7 @@ def _sets(docs: DataFrame, k: int, prefix_only: bool) -> DataFrame:
                     f2.append((mix(s ^ np.uint64(0x5851F42D4C957F2D))).sum(dtype=np.uint64))
                     if prefix_only:
                         s = s[:size - (size * NUM + DEN - 1) // DEN + (size + 9) // 10]
+                    sk.append(None if prefix_only else _sketch(s))
                     toks.append(s.view(np.int64))
                 offsets = np.concatenate([[0], np.cumsum([len(t) for t in toks])]).astype(np.int32)
                 flat = np.concatenate(toks) if toks else np.zeros(0, np.int64)
@@ -86,10 +99,11 @@ def _sets(docs: DataFrame, k: int, prefix_only: bool) -> DataFrame:
                     [b.column(0).slice(at, len(texts)), pa.array(n, pa.int64()),
                      pa.array(np.array(f1, np.uint64).view(np.int64)),
                      pa.array(np.array(f2, np.uint64).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["node", "n", "f1", "f2", "toks"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                     pa.array(sk, pa.list_(pa.int64()))],
+                    names=["node", "n", "f1", "f2", "toks", "sk"])
     kind = docs.schema[0].dataType.simpleString()
-    return docs.mapInArrow(run, f"node {kind}, n long, f1 long, f2 long, toks array<long>")
+    return docs.mapInArrow(run, f"node {kind}, n long, f1 long, f2 long, toks array<long>, sk array<long>")
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -137,7 +151,7 @@ def _signatures(ranked: DataFrame) -> DataFrame:
     """(sig, node, n, s, p, prev): index entries of each set's extended prefix;
     ``p`` is the first token's position in the whole set, rarest first."""
     n, s = F.col("n"), F.size("toks")
-    length = n - _need(n) + F.floor(n / 4) + 2 - (n - s)  # less the unshared ones in front
+    length = n - _need(n) + F.floor(n / 8) + 2 - (n - s)  # less the unshared ones in front
     taken = F.greatest(F.lit(0), F.least(length, s)).cast("int")
     cut = ranked.select("node", "n", s.alias("s"), F.slice("toks", 1, taken).alias("t"),
                         F.slice("dfs", 1, taken).alias("d")).filter(F.size("t") > 0)
@@ -167,6 +181,13 @@ def _reach(na: Column, sa: Column, pa: Column, nb: Column, sb: Column, pb: Colum
             & (most * (NUM + DEN) >= (na + nb) * NUM))
 
 
+def _alike(na: Column, ka: Column, nb: Column, kb: Column) -> Column:
+    """Whether the sketches of two sets differ in no more places than linked
+    sets of these sizes can differ in shingles."""
+    apart = sum((F.bit_count(F.get(ka, j).bitwiseXOR(F.get(kb, j))) for j in range(SKETCH_WORDS)), F.lit(0))
+    return apart * (DEN + NUM) <= (na + nb) * (DEN - NUM)
+
+
 def _crossing(entries: DataFrame, comp: DataFrame) -> DataFrame:
     """Entries, with components, of signatures held by several components."""
     joined = entries.join(comp, "node")
@@ -174,6 +195,13 @@ def _crossing(entries: DataFrame, comp: DataFrame) -> DataFrame:
     return joined.join(cross.select("sig"), "sig")
 
 
+def _pairs_within(cross: DataFrame) -> tuple[int, int]:
+    """Entries, and ordered pairs of entries with the same signature."""
+    per = cross.groupBy("sig").count().agg(
+        F.sum("count").alias("n"), F.sum(F.col("count") * (F.col("count") - 1)).alias("p")).first()
+    return per["n"] or 0, per["p"] or 0
+
+
 def _min_hash_stars(ranked: DataFrame) -> DataFrame:
     """Candidate (u, v): each set and the first node with the same minimum."""
     mins = F.array(*[F.struct(F.lit(j).alias("j"), F.array_min(F.transform(
@@ -188,19 +216,24 @@ def _leader_stars(cross: DataFrame, turn: int) -> DataFrame:
     changes from round to round."""
     lead = cross.groupBy("sig").agg(F.min(F.struct(
         F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("v"), F.col("comp").alias("vc"),
-        F.col("n").alias("n"), F.col("s").alias("s"), F.col("p").alias("p"))).alias("l"))
-    near = _reach(*[F.col(c) for c in ("n", "s", "p", "l.n", "l.s", "l.p")])
+        F.col("n").alias("n"), F.col("s").alias("s"), F.col("p").alias("p"), F.col("sk").alias("sk"))).alias("l"))
+    near = (_reach(*[F.col(c) for c in ("n", "s", "p", "l.n", "l.s", "l.p")])
+            & _alike(*[F.col(c) for c in ("n", "sk", "l.n", "l.sk")]))
+    # one leader of each component is enough for a node
     return (cross.join(lead, "sig").filter((F.col("comp") != F.col("l.vc")) & near)
-                 .select(F.col("node").alias("u"), F.col("l.v").alias("v")).distinct())
+                 .groupBy(F.col("node").alias("u"), F.col("l.vc").alias("vc")).agg(F.min("l.v").alias("v")).select("u", "v"))
 
 
 def _cross_pairs(cross: DataFrame) -> DataFrame:
     a = cross.select("sig", F.col("node").alias("u"), F.col("n").alias("na"), F.col("s").alias("sa"),
-                     F.col("comp").alias("ca"), F.col("p").alias("pa"), F.col("prev").alias("ra"))
+                     F.col("comp").alias("ca"), F.col("p").alias("pa"), F.col("prev").alias("ra"),
+                     F.col("sk").alias("ka"))
     b = cross.select("sig", F.col("node").alias("v"), F.col("n").alias("nb"), F.col("s").alias("sb"),
-                     F.col("comp").alias("cb"), F.col("p").alias("pb"), F.col("prev").alias("rb"))
+                     F.col("comp").alias("cb"), F.col("p").alias("pb"), F.col("prev").alias("rb"),
+                     F.col("sk").alias("kb"))
     cond = ((a["sig"] == b["sig"]) & (F.col("u") < F.col("v")) & (F.col("ca") != F.col("cb"))
-            & _reach(*map(F.col, ("na", "sa", "pa", "nb", "sb", "pb"))) & ~F.arrays_overlap("ra", "rb"))
+            & _reach(*map(F.col, ("na", "sa", "pa", "nb", "sb", "pb")))
+            & _alike(*map(F.col, ("na", "ka", "nb", "kb"))) & ~F.arrays_overlap("ra", "rb"))
     return a.join(b, cond).select("u", "v").distinct()
 
 
@@ -210,11 +243,12 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     ``components`` has (node, component) of every document that shares its
     component with another."""
     pair = docs.select(F.col(key).alias("node"), F.col(text).alias("text"))
-    prefixes = materialize_as(_sets(pair, k, prefix_only=True), "ngram-prefix")
+    prefixes = materialize_as(_sets(pair, k, prefix_only=True).drop("sk"), "ngram-prefix")
     keyed = prefixes.filter("n > 0 AND node IS NOT NULL")
     # equal sets: every document points to the smallest one
-    low = keyed.groupBy("f1", "f2").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    copies = materialize_as(keyed.select("node", "f1", "f2").join(low, ["f1", "f2"])
+    low = materialize_as(keyed.groupBy("f1", "f2").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("c"))
+                         .filter("c > 1").drop("c"), "ngram-equal")
+    copies = materialize_as(keyed.select("node", "f1", "f2").join(maybe_broadcast(low), ["f1", "f2"])
                             .filter("node <> rep").select("node", "rep", "f1").distinct(), "ngram-copies")
     small = maybe_broadcast(copies.select("node", "f1"))
     reps = keyed.join(small, ["node", "f1"], "left_anti")
@@ -225,6 +259,7 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     sets = materialize_as(whole, "ngram-sets")
     free_shuffles(docs.sparkSession)
     ranked = materialize_as(_by_rarity(sets), "ngram-ranked")
+    sketches = materialize_as(sets.select("node", "sk"), "ngram-sketches")
     release(sets)
 
     edges = materialize_as(_links(_min_hash_stars(ranked), ranked), "ngram-links")
@@ -232,21 +267,25 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     free_shuffles(docs.sparkSession)
     comp = _label(ranked, edges)
     cross = materialize_as(_crossing(entries, comp), "ngram-cross")
-    for turn in range(MAX_STAR_ROUNDS):
-        per = cross.groupBy("sig").count().agg(F.sum("count").alias("n"),
-                                               F.sum(F.col("count") * (F.col("count") - 1)).alias("p")).first()
-        if per["n"] is None or per["p"] <= 2 * RAW_PER_ENTRY * per["n"]:
-            break
+    release(entries)
+    known, bare = maybe_broadcast(sketches), cross
+    # a node with several sets gets an entry for each of its sketches
+    cross = materialize_as(cross.join(known, "node"), "ngram-sketched")
+    release(bare)
+    (n, raw), turn, most = _pairs_within(cross), 0, 0
+    while raw > 2 * RAW_PER_ENTRY * n:
         new = materialize_as(_links(_leader_stars(cross, turn), ranked), "ngram-links")
-        if new.isEmpty():
-            break
+        found = new.count()
+        most = max(most, found)
         edges = edges.union(new)
+        if found <= ROUND_FINDS * most:
+            break
         old = comp, cross
         comp = _label(ranked, edges)
         cross = materialize_as(_crossing(old[1].drop("comp"), comp), "ngram-cross")
         release(*old)
         free_shuffles(docs.sparkSession)
-    release(entries)
+        (n, raw), turn = _pairs_within(cross), turn + 1
     last = materialize_as(_links(_cross_pairs(cross), ranked), "ngram-links")
     release(cross)
     same = copies.select(F.col("node").alias("u"), F.col("rep").alias("v"))
