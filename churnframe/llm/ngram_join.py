@@ -57,9 +57,8 @@ MIN_HASHES = 3
 #: sets are broadcast for verification only if they are counted and hold at
 #: most this many tokens (8 bytes each); beyond it the pairs are shuffled
 BROADCAST_TOKENS = 1_000_000
-#: leaders are tried until at most this many raw matches per entry are left, or
-#: a round finds less than this share of the first round's links
-RAW_PER_ENTRY, ROUND_FINDS = 8, 0.05
+#: leaders are tried until a round finds less than this share of the most links
+ROUND_FINDS = 0.05
 #: 64-bit words of a sketch
 SKETCH_WORDS = 8
 
@@ -195,13 +194,6 @@ def _crossing(entries: DataFrame, comp: DataFrame) -> DataFrame:
     return joined.join(cross.select("sig"), "sig")
 
 
-def _pairs_within(cross: DataFrame) -> tuple[int, int]:
-    """Entries, and ordered pairs of entries with the same signature."""
-    per = cross.groupBy("sig").count().agg(
-        F.sum("count").alias("n"), F.sum(F.col("count") * (F.col("count") - 1)).alias("p")).first()
-    return per["n"] or 0, per["p"] or 0
-
-
 def _min_hash_stars(ranked: DataFrame) -> DataFrame:
     """Candidate (u, v): each set and the first node with the same minimum."""
     mins = F.array(*[F.struct(F.lit(j).alias("j"), F.array_min(F.transform(
@@ -211,17 +203,18 @@ def _min_hash_stars(ranked: DataFrame) -> DataFrame:
     return rows.join(low, ["j", "h"]).filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
 
 
-def _leader_stars(cross: DataFrame, turn: int) -> DataFrame:
+def _leader_stars(cross: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
     """Candidate (u, v): each entry's node and its signature's leader, which
-    changes from round to round."""
+    changes from round to round; one leader of each component for a node."""
     lead = cross.groupBy("sig").agg(F.min(F.struct(
         F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("v"), F.col("comp").alias("vc"),
-        F.col("n").alias("n"), F.col("s").alias("s"), F.col("p").alias("p"), F.col("sk").alias("sk"))).alias("l"))
-    near = (_reach(*[F.col(c) for c in ("n", "s", "p", "l.n", "l.s", "l.p")])
-            & _alike(*[F.col(c) for c in ("n", "sk", "l.n", "l.sk")]))
-    # one leader of each component is enough for a node
-    return (cross.join(lead, "sig").filter((F.col("comp") != F.col("l.vc")) & near)
-                 .groupBy(F.col("node").alias("u"), F.col("l.vc").alias("vc")).agg(F.min("l.v").alias("v")).select("u", "v"))
+        F.col("n").alias("n"), F.col("s").alias("s"), F.col("p").alias("p"))).alias("l"))
+    near = _reach(*[F.col(c) for c in ("n", "s", "p", "l.n", "l.s", "l.p")])
+    met = cross.join(lead, "sig").filter((F.col("comp") != F.col("l.vc")) & near).select(
+        F.col("node").alias("u"), F.col("l.v").alias("v"), F.col("l.vc").alias("vc"), F.col("n").alias("na"), F.col("l.n").alias("nb"))
+    both = (met.join(sketches.toDF("u", "ka"), "u").join(sketches.toDF("v", "kb"), "v")
+               .filter(_alike(*map(F.col, ("na", "ka", "nb", "kb")))))
+    return both.groupBy("u", "vc").agg(F.min("v").alias("v")).select("u", "v")
 
 
 def _cross_pairs(cross: DataFrame) -> DataFrame:
@@ -266,26 +259,24 @@ def similar_documents(docs: DataFrame, text: str = "text", key: str = "doc_id",
     entries = materialize_as(_signatures(ranked), "ngram-signatures")
     free_shuffles(docs.sparkSession)
     comp = _label(ranked, edges)
-    cross = materialize_as(_crossing(entries, comp), "ngram-cross")
+    cross = materialize_as(_crossing(entries, comp).drop("comp"), "ngram-cross")
     release(entries)
-    known, bare = maybe_broadcast(sketches), cross
     # a node with several sets gets an entry for each of its sketches
-    cross = materialize_as(cross.join(known, "node"), "ngram-sketched")
-    release(bare)
-    (n, raw), turn, most = _pairs_within(cross), 0, 0
-    while raw > 2 * RAW_PER_ENTRY * n:
-        new = materialize_as(_links(_leader_stars(cross, turn), ranked), "ngram-links")
-        found = new.count()
+    known = maybe_broadcast(sketches)
+    found, most, turn = edges.count(), 1, 0
+    while found > ROUND_FINDS * most or turn == 0:
         most = max(most, found)
+        labelled = cross.join(maybe_broadcast(comp), "node")
+        new = materialize_as(_links(_leader_stars(labelled, known, turn), ranked), "ngram-links")
+        free_shuffles(docs.sparkSession)
+        found, turn, old = new.count(), turn + 1, comp
         edges = edges.union(new)
-        if found <= ROUND_FINDS * most:
-            break
-        old = comp, cross
         comp = _label(ranked, edges)
-        cross = materialize_as(_crossing(old[1].drop("comp"), comp), "ngram-cross")
-        release(*old)
-        free_shuffles(docs.sparkSession)
-        (n, raw), turn = _pairs_within(cross), turn + 1
+        release(old)
+    bare = cross
+    cross = materialize_as(_crossing(bare, maybe_broadcast(comp)).join(known, "node"), "ngram-sketched")
+    release(bare)
+    free_shuffles(docs.sparkSession)
     last = materialize_as(_links(_cross_pairs(cross), ranked), "ngram-links")
     release(cross)
     same = copies.select(F.col("node").alias("u"), F.col("rep").alias("v"))
