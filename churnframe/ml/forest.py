@@ -39,6 +39,9 @@ from churnframe.session import release
 
 #: cells (node, feature, bin) of one job
 CELLS = 1 << 20
+#: rows added up together, so that their three sums fit into one double: a row
+#: is drawn at most 10 times
+PACK_ROWS, PACK_BITS = 32_000, 19
 #: hashes are below this prime; every product stays below 2^63
 PRIME = (1 << 31) - 1
 #: a row's count is the number of these limits that its hash reaches
@@ -109,7 +112,34 @@ def _plain(data: DataFrame, id_col: str, label_col: str, *more) -> DataFrame:
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(label_col).cast("double").alias("label"), *more)
 
 
-def _job_cells(rows: DataFrame, work: list, n_features: int, width: int, k: int, seed: int) -> pa.Table:
+def _add_cells(total: np.ndarray, work: list, bins: np.ndarray, ids: np.ndarray, y: np.ndarray, k: int, width: int,
+               seed: int, level: int) -> None:
+    """Adds a block of at most ``PACK_ROWS`` rows to the three sums of each
+    cell.  The three are added up in one number (below 2^53, so exact)."""
+    flat, n_features, before = bins.ravel(), bins.shape[1], 0
+    for number, tree, slots, columns in work:
+        times = bootstrap_counts(ids, number, seed)
+        at = np.flatnonzero(times)
+        # no node lies below the level that is being split
+        start, node = at * n_features, np.ones(len(at), np.intp)
+        for _ in range(level):
+            f = tree.feature[node]
+            right = flat[start + np.maximum(f, 0)] > tree.cut[node]
+            node = np.where(f >= 0, 2 * node + right, node)
+        slot = slots[node]
+        open_ = np.flatnonzero(slot >= 0)
+        at, slot, start = at[open_], slot[open_], start[open_]
+        cell = ((slot * (k * width))[:, None] + np.arange(k) * width + flat[start[:, None] + columns[slot]]).ravel()
+        packed = (times[at] << np.where(y[at] == 1, PACK_BITS, 0)) + (1 << 2 * PACK_BITS)
+        size = len(columns) * k * width
+        got = np.bincount(cell, np.repeat(packed.astype(float), k), size).astype(np.int64)
+        mask = (1 << PACK_BITS) - 1
+        for j, v in enumerate((got & mask, (got >> PACK_BITS) & mask, got >> 2 * PACK_BITS)):
+            total[j, before:before + size] += v
+        before += size
+
+
+def _job_cells(rows: DataFrame, work: list, n_features: int, width: int, k: int, seed: int, level: int) -> pa.Table:
     """Bootstrap rows of class 0 and of class 1, and different rows, of each
     cell.  ``work`` lists (tree number, Tree, slot of each node or -1, features
     of each slot); slots are numbered through."""
@@ -118,20 +148,21 @@ def _job_cells(rows: DataFrame, work: list, n_features: int, width: int, k: int,
     def run(batches):
         work = shared.value
         total = np.zeros((3, sum(len(cols) for *_, cols in work) * k * width), np.int64)
-        for b in batches:
-            bins, ids = matrix(b, n_features), b.column("id").to_numpy()
-            y = b.column("label").to_numpy()
-            before = 0
-            for number, tree, slots, columns in work:
-                times = bootstrap_counts(ids, number, seed)
-                slot = np.where(times > 0, slots[tree.leaf_of(bins)], -1)
-                at = np.flatnonzero(slot >= 0)
-                cols = columns[slot[at]]
-                cell = (((slot[at, None] * k) + np.arange(k)) * width + bins[at[:, None], cols]).ravel()
-                size = len(columns) * k * width
-                for j, v in enumerate((times * (y == 0), times * (y == 1), times > 0)):
-                    total[j, before:before + size] += np.bincount(cell, np.repeat(v[at], k), size).astype(np.int64)
-                before += size
+
+        def add(block):
+            table = pa.Table.from_batches(block)
+            whole = table.combine_chunks().to_batches()[0]
+            _add_cells(total, work, matrix(whole, n_features), whole.column("id").to_numpy(), whole.column("label").to_numpy(),
+                       k, width, seed, level)
+        block, n = [], 0
+        for b in (b.slice(a, PACK_ROWS) for b in batches for a in range(0, b.num_rows, PACK_ROWS)):
+            if block and n + b.num_rows > PACK_ROWS:
+                add(block)
+                block, n = [], 0
+            block.append(b)
+            n += b.num_rows
+        if block:
+            add(block)
         at = np.flatnonzero(total[2])
         yield pa.RecordBatch.from_arrays([pa.array(at)] + [pa.array(t[at]) for t in total], ["cell", "n0", "n1", "r"])
     out = (rows.mapInArrow(run, "cell long, n0 long, n1 long, r long").groupBy("cell")
@@ -211,7 +242,7 @@ def fit_forest(data: DataFrame, id_col: str, features_col: str = "features", lab
                 columns = np.stack([np.random.default_rng([seed, t, n]).choice(n_features, k, replace=False) for n in nodes[t]])
                 work.append((t, forest.trees[t], slots, columns))
                 cells += len(nodes[t]) * k * width
-            got = _job_cells(rows, work, n_features, width, k, seed)
+            got = _job_cells(rows, work, n_features, width, k, seed, level)
             sums = np.zeros((3, cells), np.int64)
             sums[:, got.column("cell").to_numpy()] = [got.column(c).to_numpy() for c in ("n0", "n1", "r")]
             before = 0

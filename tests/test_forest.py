@@ -128,3 +128,32 @@ def test_edges(spark, made):
     assert all((t.feature == u.feature).all() and (t.value == u.value).all() for t, u in zip(a.trees, b.trees))
     twice = RF.fit_forest(made.limit(1), "i", n_trees=30, depth=2)
     assert 0 < len(twice.trees) < 30  # a bootstrap without a row gives no tree
+
+
+def test_cells_are_added_in_one_pass_per_tree(monkeypatch):
+    """The three sums of a cell come from one count over the rows, and equal a
+    loop over rows."""
+    rng = np.random.default_rng(7)
+    n, k, width, seed = 2000, 2, 4, 42
+    bins, ids, y = rng.integers(0, width, (n, 5)).astype(np.uint8), np.arange(n), rng.integers(0, 2, n).astype(float)
+    tree = RF.Tree.empty(3)
+    tree.feature[1], tree.cut[1], tree.feature[2], tree.cut[2] = 3, 1, 0, 2
+    slots = np.full(16, -1)
+    slots[[4, 5]] = [0, 1]
+    columns = np.array([[1, 4], [2, 0]])
+    work = [(t, tree, slots, columns) for t in range(3)]
+    calls, count = [], np.bincount
+    monkeypatch.setattr(RF.np, "bincount", lambda *a: calls.append(1) or count(*a))
+    total = np.zeros((3, 3 * 2 * k * width), np.int64)
+    RF._add_cells(total, work, bins, ids, y, k, width, seed, 2)
+    assert len(calls) == len(work)
+    exp = np.zeros_like(total)
+    for t in range(3):
+        for i, c in enumerate(RF.bootstrap_counts(ids, t, seed)):
+            slot = slots[tree.leaf_of(bins[i:i + 1])[0]]
+            if c and slot >= 0:
+                for j, f in enumerate(columns[slot]):
+                    cell = ((t * 2 + slot) * k + j) * width + bins[i, f]
+                    exp[int(y[i]), cell] += c
+                    exp[2, cell] += 1
+    assert (total == exp).all() and total[2].any()
