@@ -53,6 +53,8 @@ from churnframe.llm.common import materialize_as
 SLICE_BYTES = 2 << 20
 #: stretches whose ids a worker remembers; emptied when full
 MEMORY_ENTRIES = 50_000
+#: stretches encoded and aligned at a time
+ENCODED = 10_000
 BROADCAST_PAIRS = 3_000_000
 FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -90,28 +92,39 @@ class Pair:
         self.bytes_a, self.bytes_b = pa.array(bytes_a, pa.large_binary()), pa.array(bytes_b, pa.large_binary())
         self.known: dict[str, tuple] = {}
 
-    def encode(self, stretches: list[str], uses: np.ndarray) -> tuple[list, list]:
-        """Ids of each stretch; each begins with a blank, which B adds itself
-        to all but the empty text.  Short ones used again are remembered."""
+    def encode(self, stretches: pa.Array, uses: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and B the ids of all stretches, joined, and how many each has;
+        a stretch begins with a blank, which B adds itself to all but the empty
+        text.  ``ENCODED`` stretches at a time are Python objects.  Short ones
+        used again are remembered."""
         known, blank = self.known, [self.b.piece_to_id("▁")]
-        got = [known.get(s) for s in stretches]
-        new = [i for i, x in enumerate(got) if x is None]
+        ids: tuple[list, list] = ([], [])
+        counts: tuple[list, list] = ([], [])
         collecting = gc.isenabled()
         gc.disable()  # many small lists and no cycles
         try:
-            for k in range(0, len(new), 10_000):
-                part = new[k:k + 10_000]
-                texts = [stretches[i] for i in part]
+            for k in range(0, len(stretches), ENCODED):
+                part = [s.decode() for s in stretches.slice(k, ENCODED).to_pylist()]
+                got = [known.get(s) for s in part]
+                new = [i for i, x in enumerate(got) if x is None]
+                texts = [part[i] for i in new]
                 encoded = self.a.encode_batch(texts, add_special_tokens=False)
-                for i, a, b in zip(part, encoded, self.b.encode([s[1:] for s in texts], num_threads=1)):
+                for i, a, b in zip(new, encoded, self.b.encode([s[1:] for s in texts], num_threads=1)):
                     got[i] = (a.ids, b or blank)
+                del encoded
+                if len(known) > MEMORY_ENTRIES:
+                    known.clear()
+                known.update((part[i], got[i]) for i in new if uses[k + i] > 2 and len(part[i]) <= 32)
+                for side in (0, 1):
+                    mine = [x[side] for x in got]
+                    n = np.fromiter(map(len, mine), np.int64, len(mine))
+                    counts[side].append(n)
+                    ids[side].append(np.fromiter(itertools.chain.from_iterable(mine), np.int32, int(n.sum())))
         finally:
             if collecting:
                 gc.enable()
-        if len(known) > MEMORY_ENTRIES:
-            known.clear()
-        known.update((stretches[i], got[i]) for i in new if uses[i] > 2 and len(stretches[i]) <= 32)
-        return [x for x, _ in got], [y for _, y in got]
+        return [(np.concatenate([np.zeros(0, np.int32), *i]), np.concatenate([np.zeros(0, np.int64), *n]))
+                for i, n in zip(ids, counts)]
 
 
 _BLANK = np.zeros(256, bool)
@@ -201,6 +214,18 @@ def align(ids_a: np.ndarray, ids_b: np.ndarray, ends_a: np.ndarray, ends_b: np.n
             "link_a": la[by_link], "link_b": lb[by_link], "links": np.bincount(l_owner, minlength=n)}
 
 
+def align_parts(ids: list, ends: list, n: list) -> dict:
+    """``align`` of A's and B's tokens, ``ENCODED`` stretches at a time: its
+    working arrays take some 150 bytes a token."""
+    at, parts = [offsets(x) for x in n], []
+    for k in range(0, max(len(n[0]), 1), ENCODED):
+        stop = min(k + ENCODED, len(n[0]))
+        tokens = [slice(x[k], x[stop]) for x in at]
+        parts.append(align(*(x[t] for x, t in zip(ids, tokens)), *(x[t] for x, t in zip(ends, tokens)),
+                           *(x[k:stop] for x in n)))
+    return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
+
 def group_strings(got: dict, ids_a: np.ndarray, ids_b: np.ndarray) -> pa.Array:
     """Per stretch ``a1,a2|b1;a3|b2,b3``."""
     comma, bar, semi = (pa.scalar(x, pa.large_string()) for x in ",|;")
@@ -232,13 +257,8 @@ def encode_slice(texts: list[bytes], pair: Pair) -> dict:
     coded = stretches.dictionary_encode()
     codes = coded.indices.to_numpy().astype(np.int32)
     distinct = coded.dictionary
-    strings = [s.decode() for s in distinct.to_pylist()]
-    lists_a, lists_b = pair.encode(strings, np.bincount(codes, minlength=len(strings)))
-    n = len(strings)
-    n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (lists_a, lists_b))
-    ids_a, ids_b = (np.fromiter(itertools.chain.from_iterable(x), np.int64, int(k.sum()))
-                    for x, k in ((lists_a, n_a), (lists_b, n_b)))
-    del lists_a, lists_b, strings
+    n = len(distinct)
+    (ids_a, n_a), (ids_b, n_b) = pair.encode(distinct, np.bincount(codes, minlength=n))
     d_at = np.frombuffer(distinct.buffers()[1], np.int64)[:n + 1] if n else np.zeros(1, np.int64)
     d_buf = np.frombuffer(distinct.buffers()[2], np.uint8) if n else np.zeros(0, np.uint8)
     ok, ends = np.ones(n, bool), []
@@ -255,7 +275,7 @@ def encode_slice(texts: list[bytes], pair: Pair) -> dict:
         width = np.diff(np.concatenate(([0], e)))[pick]
         tokens.append((ids[pick], np.cumsum(width), k[unit]))
     (ia, ea, ka), (ib, eb, kb) = tokens
-    got = align(ia, ib, ea, eb, ka, kb)
+    got = align_parts([ia, ib], [ea, eb], [ka, kb])
     per_unit = {c: np.zeros(n, np.int64) for c in FIGURES}
     for c, v in zip(FIGURES, (ka, kb, got["groups"], got["links"])):
         per_unit[c][unit] = v
@@ -270,7 +290,7 @@ def encode_slice(texts: list[bytes], pair: Pair) -> dict:
     whole = pc.binary_join(lists(doc_at, text.take(pa.array(codes))), pa.scalar(";", pa.large_string()))
     digests = [hashlib.sha256(s.as_buffer()).hexdigest() if v else "" for s, v in zip(whole, valid)]
     uses = np.bincount(codes[np.repeat(valid, np.diff(doc_at))], minlength=n)
-    key = (got["link_a"] << 32) | got["link_b"]
+    key = (got["link_a"].astype(np.int64) << 32) | got["link_b"]
     ix, pairs = pd.factorize(key)
     # below 2 ** 53, so sums of doubles are exact
     counts = np.bincount(ix, np.repeat(uses[unit], got["links"]), len(pairs)).astype(np.int64)

@@ -109,6 +109,30 @@ def test_alignment_equals_all_pairs_of_tokens(spark, kw):
     assert align_tokenizers(df.limit(0), **kw).count() == 0
 
 
+def test_a_slice_is_encoded_in_parts_with_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    from churnframe.llm import align
+    a, b = align.default_vocabularies()
+    with open(a, encoding="utf-8") as f, open(b, "rb") as g:
+        pair = align.Pair(f.read(), g.read())
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(60_000)).encode()
+    tracemalloc.start()
+    align.encode_slice([text], pair)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 110 * len(text)  # 134 a byte with all stretches at once
+    texts = [(t or "").encode() for t in _texts().values()]
+    whole = align.encode_slice(texts, pair)
+    monkeypatch.setattr(align, "ENCODED", 7)
+    pair.known.clear()
+    parts = align.encode_slice(texts, pair)
+    assert whole["digests"] == parts["digests"]
+    for k in ("codes", "links", "link_ix", "pairs", "counts", "stretches"):
+        assert whole[k].tolist() == parts[k].tolist() and whole[k].dtype == parts[k].dtype
+
+
 def test_gallop_finds_the_first_not_below():
     from churnframe.llm.align import gallop
     rng = np.random.default_rng(2)
