@@ -16,7 +16,8 @@ step (numpy).
 The work runs in four steps, each a Spark job over written tables:
 
 1. slices: per slice of texts (``SLICE_BYTES``) the figures of each document,
-   the distinct stretches' links and the distinct id pairs with their counts;
+   the distinct stretches' links and the distinct id pairs with their counts,
+   written in row groups of about ``GROUP_BYTES``;
 2. pair counts: summed over all slices by a shuffle, one row per id pair;
 3. the best count of each B id (as many rows as B has ids);
 4. figures that need the counts, per document.  The commonest pairs, at most
@@ -55,6 +56,10 @@ SLICE_BYTES = 2 << 20
 MEMORY_ENTRIES = 50_000
 #: stretches encoded and aligned at a time
 ENCODED = 10_000
+#: a row group of the written slices.  A reader holds a whole row group of each
+#: column, and a slice is megabytes; by default Parquet looks at the size of a
+#: group after 100 rows only
+GROUP_BYTES = 8 << 20
 BROADCAST_PAIRS = 3_000_000
 FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
@@ -374,7 +379,8 @@ def align_tokenizers(df: DataFrame, text: str = "text", vocabularies: tuple[str,
     own = {c.lower() for c in (*FIGURES, "groups_sha256", "n_best", "count_sum", text)}
     carried = [c for c in df.columns if c.lower() not in own]
     inner = df.select(F.col(text).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carried)])
-    sliced = materialize_as(_slice_table(inner, spec, slice_bytes), "aligned-slices")
+    sliced = materialize_as(_slice_table(inner, spec, slice_bytes), "aligned-slices", {
+        "parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1})
     pairs = materialize_as(
         sliced.select("pairs", "counts").mapInArrow(_pair_rows, "pair long, n long")
         .groupBy("pair").agg(F.sum("n").alias("n")).filter("n > 0"), "aligned-pairs")
