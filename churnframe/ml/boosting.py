@@ -102,7 +102,12 @@ def _in_sample(ids: np.ndarray, tree: int, seed: int, share: float) -> np.ndarra
 
 
 def matrix(batch: pa.RecordBatch, n_features: int) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(batch.num_rows, n_features)
+    """Bins of a batch (rows x features), without a copy."""
+    column = batch.column("bins")
+    if not len(column):
+        return np.zeros((0, n_features), np.uint8)
+    at = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset]
+    return np.frombuffer(column.buffers()[2], np.uint8, len(column) * n_features, at).reshape(len(column), n_features)
 
 
 def _margin(batch: pa.RecordBatch, bins: np.ndarray, trees: list) -> np.ndarray:
@@ -169,9 +174,9 @@ def _grow(tree: Tree, cells: pa.Table, level: int, columns: np.ndarray, cuts: li
             tree.grad[child], tree.hess[child], tree.value[child] = gc, hc, -rate * gc / (hc + l2)
 
 
-def binned_rows(plain: DataFrame, cuts: list, n_features: int) -> DataFrame:
+def binned_rows(plain: DataFrame, cuts: list, n_features: int, parts: int | None = None) -> DataFrame:
     """``plain`` (id, label, x) written once with a byte per feature and a
-    margin of 0."""
+    margin of 0, in ``parts`` equal parts if that is given."""
     known = plain.sparkSession.sparkContext.broadcast(cuts)
 
     def binned(batches):
@@ -181,7 +186,8 @@ def binned_rows(plain: DataFrame, cuts: list, n_features: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("label"), pa.array([r.tobytes() for r in m.bins(v)], pa.binary()),
                  pa.array(np.zeros(b.num_rows))], ["id", "label", "bins", "margin"])
-    return materialize(plain.mapInArrow(binned, "id long, label double, bins binary, margin double"), "boosting_rows")
+    rows = plain.mapInArrow(binned, "id long, label double, bins binary, margin double")
+    return materialize(rows.repartition(parts) if parts else rows, "boosting_rows")
 
 
 def fit_boosting(data: DataFrame, id_col: str, features_col: str = "features", label_col: str = "label", rounds: int = 300,

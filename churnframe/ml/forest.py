@@ -42,18 +42,41 @@ CELLS = 1 << 20
 #: rows added up together, so that their three sums fit into one double: a row
 #: is drawn at most 10 times
 PACK_ROWS, PACK_BITS = 32_000, 19
+#: rows of a task at most
+PART_ROWS = 1_000_000
+#: rows whose bins stay in the cache
+CACHE_ROWS = 8_000
 #: hashes are below this prime; every product stays below 2^63
 PRIME = (1 << 31) - 1
 #: a row's count is the number of these limits that its hash reaches
 LIMITS = [int(PRIME * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(10)]
 
 
+def _mod_prime(x: np.ndarray) -> np.ndarray:
+    """``x % PRIME`` of numbers that are not negative; a division by a constant
+    is faster than a remainder."""
+    return x - x // PRIME * PRIME
+
+
+def _hash_base(ids: np.ndarray, seed: int) -> np.ndarray:
+    """The part of a row's hash that all trees share."""
+    return np.mod(ids, PRIME) * 48271 + seed * 7919
+
+
+def _drawn(base: np.ndarray, tree: int) -> np.ndarray:
+    """How often each row is in the tree's bootstrap."""
+    h = _mod_prime(base + (tree + 1) * 69621)
+    h = _mod_prime((h ^ (h >> 15)) * 16807)
+    h = _mod_prime((h ^ (h >> 13)) * 39373).astype(np.int32)
+    times = (h >= LIMITS[0]).view(np.uint8)
+    for limit in LIMITS[1:]:
+        times += h >= limit
+    return times
+
+
 def bootstrap_counts(ids: np.ndarray, tree: int, seed: int) -> np.ndarray:
     """How often each row is in the tree's bootstrap."""
-    h = (np.mod(ids, PRIME) * 48271 + (tree + 1) * 69621 + seed * 7919) % PRIME
-    h = (h ^ (h >> 15)) * 16807 % PRIME
-    h = (h ^ (h >> 13)) * 39373 % PRIME
-    return np.searchsorted(np.array(LIMITS), h, "right")
+    return _drawn(_hash_base(ids, seed), tree).astype(np.int64)
 
 
 def bootstrap_hash_sql(row_id: str, tree: str, seed: int) -> str:
@@ -86,9 +109,9 @@ def bootstrap_classes(rows: DataFrame, n_trees: int, seed: int) -> DataFrame:
     def run(batches):
         n = np.zeros((n_trees, 2), np.int64)
         for b in batches:
-            ids, y = b.column("id").to_numpy(), b.column("label").to_numpy().astype(np.int64)
+            base, y = _hash_base(b.column("id").to_numpy(), seed), b.column("label").to_numpy().astype(np.int64)
             for t in range(n_trees):
-                n[t] += np.bincount(y, bootstrap_counts(ids, t, seed), 2).astype(np.int64)
+                n[t] += np.bincount(y, _drawn(base, t), 2).astype(np.int64)
         tree, label = np.nonzero(n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(tree.astype(np.int32)), pa.array(label.astype(np.int32)), pa.array(n[tree, label])],
@@ -112,34 +135,58 @@ def _plain(data: DataFrame, id_col: str, label_col: str, *more) -> DataFrame:
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(label_col).cast("double").alias("label"), *more)
 
 
-def _add_cells(total: np.ndarray, work: list, bins: np.ndarray, ids: np.ndarray, y: np.ndarray, k: int, width: int,
+def _widths(columns: np.ndarray, width) -> np.ndarray:
+    """Bins of each (slot, feature) of ``columns``; ``width`` is the number of
+    bins of every feature, or has one number per feature."""
+    return np.full(columns.shape, width) if np.ndim(width) == 0 else np.asarray(width)[columns]
+
+
+def _add_cells(total: np.ndarray, work: list, bins: np.ndarray, ids: np.ndarray, y: np.ndarray, k: int, width,
                seed: int, level: int) -> None:
     """Adds a block of at most ``PACK_ROWS`` rows to the three sums of each
-    cell.  The three are added up in one number (below 2^53, so exact)."""
-    flat, n_features, before = bins.ravel(), bins.shape[1], 0
+    cell; the cells of a tree lie by slot, feature and bin.  The three are added
+    up in one number (below 2^53, so exact)."""
+    n_features, plans, before = bins.shape[1], [], 0
     for number, tree, slots, columns in work:
-        times = bootstrap_counts(ids, number, seed)
-        at = np.flatnonzero(times)
-        # no node lies below the level that is being split
-        start, node = at * n_features, np.ones(len(at), np.intp)
-        for _ in range(level):
-            f = tree.feature[node]
-            right = flat[start + np.maximum(f, 0)] > tree.cut[node]
-            node = np.where(f >= 0, 2 * node + right, node)
-        slot = slots[node]
-        open_ = np.flatnonzero(slot >= 0)
-        at, slot, start = at[open_], slot[open_], start[open_]
-        cell = ((slot * (k * width))[:, None] + np.arange(k) * width + flat[start[:, None] + columns[slot]]).ravel()
-        packed = (times[at] << np.where(y[at] == 1, PACK_BITS, 0)) + (1 << 2 * PACK_BITS)
-        size = len(columns) * k * width
-        got = np.bincount(cell, np.repeat(packed.astype(float), k), size).astype(np.int64)
-        mask = (1 << PACK_BITS) - 1
-        for j, v in enumerate((got & mask, (got >> PACK_BITS) & mask, got >> 2 * PACK_BITS)):
-            total[j, before:before + size] += v
+        widths = _widths(columns, width)
+        size = int(widths.sum())
+        first = (np.cumsum(widths) - widths.ravel()).reshape(columns.shape)
+        # at a leaf a row goes to the leaf again
+        inner = tree.feature >= 0
+        walk = (np.maximum(tree.feature, 0), np.where(inner, tree.cut, 255).astype(np.uint8),
+                np.where(inner, 2, 1) * np.arange(len(inner)))
+        plans.append((number, walk, slots, [*columns.T.copy()], [*first.T.copy()], slice(before, before + size), size))
         before += size
+    packed = np.zeros(before)
+    for a in range(0, len(ids), CACHE_ROWS):
+        flat = bins[a:a + CACHE_ROWS].ravel()
+        base, row_start = _hash_base(ids[a:a + CACHE_ROWS], seed), np.arange(len(ids[a:a + CACHE_ROWS])) * n_features
+        unit = np.where(y[a:a + CACHE_ROWS] == 1, float(1 << PACK_BITS), 1.0)
+        for number, (feature, cut, below), slots, columns, first, cells, size in plans:
+            times = _drawn(base, number)
+            at = np.flatnonzero(times != 0)
+            start, node = row_start.take(at), np.ones(len(at), np.intp)
+            # no node lies below the level that is being split
+            for _ in range(level):
+                right = flat.take(feature.take(node) + start) > cut.take(node)
+                node = below.take(node) + right
+            slot = slots.take(node)
+            open_ = np.flatnonzero(slot >= 0)
+            if len(open_) < len(at):
+                at, slot, start = at.take(open_), slot.take(open_), start.take(open_)
+            cell = np.empty((k, len(at)), np.intp)
+            for j in range(k):
+                np.add(first[j].take(slot), flat.take(columns[j].take(slot) + start), out=cell[j])
+            weight = times.take(at) * unit.take(at) + float(1 << 2 * PACK_BITS)
+            packed[cells] += np.bincount(cell.ravel(), np.tile(weight, k), size)
+    mask = (1 << PACK_BITS) - 1
+    for *_, cells, _ in plans:
+        got = packed[cells].astype(np.int64)
+        for j, v in enumerate((got & mask, (got >> PACK_BITS) & mask, got >> 2 * PACK_BITS)):
+            total[j, cells] += v
 
 
-def _job_cells(rows: DataFrame, work: list, n_features: int, width: int, k: int, seed: int, level: int) -> pa.Table:
+def _job_cells(rows: DataFrame, work: list, n_features: int, width: np.ndarray, k: int, seed: int, level: int) -> pa.Table:
     """Bootstrap rows of class 0 and of class 1, and different rows, of each
     cell.  ``work`` lists (tree number, Tree, slot of each node or -1, features
     of each slot); slots are numbered through."""
@@ -147,7 +194,7 @@ def _job_cells(rows: DataFrame, work: list, n_features: int, width: int, k: int,
 
     def run(batches):
         work = shared.value
-        total = np.zeros((3, sum(len(cols) for *_, cols in work) * k * width), np.int64)
+        total = np.zeros((3, sum(int(_widths(cols, width).sum()) for *_, cols in work)), np.int64)
 
         def add(block):
             table = pa.Table.from_batches(block)
@@ -223,32 +270,37 @@ def fit_forest(data: DataFrame, id_col: str, features_col: str = "features", lab
         return Forest([], np.zeros((0, 2)))
     n_features = len(head["x"])
     cuts = [np.asarray(c, float) for c in cuts] if cuts else quantile_cuts(plain, n_features, min(bins, 256))
-    width, k = max(len(c) for c in cuts) + 1, columns_per_node or max(1, math.isqrt(n_features))
-    rows = binned_rows(plain, cuts, n_features)
+    # a feature has as many cells as bins: the two of a flag, not the most of any
+    width, k = np.array([len(c) + 1 for c in cuts]), columns_per_node or max(1, math.isqrt(n_features))
+    # each level waits for its longest task
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    rows = binned_rows(plain, cuts, n_features, cores * math.ceil(plain.count() / (cores * PART_ROWS)))
     weights = np.zeros((n_trees, 2))
     for r in class_weights(rows, "id", n_trees=n_trees, seed=seed).collect():
         weights[r.tree, r.label] = r.weight
     forest = Forest(cuts, weights, [Tree.empty(depth) for _ in range(n_trees)])
     # a bootstrap of few rows may hold none: no tree
     nodes = {t: [1] for t in range(n_trees) if weights[t].any()}
+    most = int(np.sort(width)[-k:].sum())  # cells of a node at most
     for level in range(depth):
         todo = [t for t in nodes if nodes[t]]
         while todo:
             work, cells = [], 0
-            while todo and (not work or cells + len(nodes[todo[0]]) * k * width <= CELLS):
+            while todo and (not work or cells + most * len(nodes[todo[0]]) <= CELLS):
                 t = todo.pop(0)
                 slots = np.full(2 << depth, -1)
                 slots[nodes[t]] = np.arange(len(nodes[t]))
                 columns = np.stack([np.random.default_rng([seed, t, n]).choice(n_features, k, replace=False) for n in nodes[t]])
                 work.append((t, forest.trees[t], slots, columns))
-                cells += len(nodes[t]) * k * width
+                cells += int(width[columns].sum())
             got = _job_cells(rows, work, n_features, width, k, seed, level)
             sums = np.zeros((3, cells), np.int64)
             sums[:, got.column("cell").to_numpy()] = [got.column(c).to_numpy() for c in ("n0", "n1", "r")]
             before = 0
             for t, tree, _, columns in work:
-                part = sums[:, before:before + columns.size * width].reshape(3, len(columns), k, width)
-                before += columns.size * width
+                of_bin = np.arange(width.max()) < width[columns][..., None]
+                part = np.zeros((3, *of_bin.shape), np.int64)
+                part[:, of_bin] = sums[:, before:(before := before + int(width[columns].sum()))]
                 nodes[t] = _split(tree, weights[t], nodes[t], columns, part, cuts, min_leaf, level + 1 < depth)
     release(rows)
     forest.trees = [forest.trees[t] for t in nodes]
